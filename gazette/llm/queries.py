@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, gam, rules, secrets, toxicity
 from .common import table
 
 
@@ -17,11 +17,31 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gam.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
+def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
+    "op4_toxicity": op4_toxicity,
+    "op5_secrets": op5_secrets,
+    "op9_rules": op9_rules,
     "op10_bpe": op10_bpe,
 }
 ORACLES: dict[str, str] = {}
