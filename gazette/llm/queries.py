@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, gam, rules, secrets, toxicity
+from . import bpe, decontaminate, gam, licences, rules, secrets, toxicity
 from .common import table
 
 
@@ -29,6 +29,14 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scanned(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scanned(table(spark, sf_dir, "documents"))
+
+
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"))
 
@@ -41,6 +49,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op4_toxicity": op4_toxicity,
     "op5_secrets": op5_secrets,
+    "op7_decontamination": op7_decontamination,
+    "op8_licences": op8_licences,
     "op9_rules": op9_rules,
     "op10_bpe": op10_bpe,
 }
