@@ -6,6 +6,7 @@ documents of a few megabytes, so the memory of a task doesn't depend on its part
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -158,3 +159,9 @@ def ragged(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[n
     """The runs values[start : start + size] one after the other, and where each begins (with the end as the last)."""
     at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
     return values[np.arange(at[-1]) + np.repeat(starts - at[:-1], sizes)], at
+
+
+def released(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of finished steps; without this they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
