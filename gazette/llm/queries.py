@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, gam, licences, ngrams, rules, secrets, toxicity
+from . import bpe, decontaminate, fm_index, gam, licences, ngrams, rules, secrets, suffix_array, toxicity
 from .common import table
 
 
@@ -25,6 +25,10 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gam.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fm_index.kept_words(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -33,6 +37,10 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scanned(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_array.kept_bytes(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -52,8 +60,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
+    "op3_substrings": op3_substrings,
     "op4_toxicity": op4_toxicity,
     "op5_secrets": op5_secrets,
+    "op6_suffix_array": op6_suffix_array,
     "op7_decontamination": op7_decontamination,
     "op8_licences": op8_licences,
     "op9_rules": op9_rules,
