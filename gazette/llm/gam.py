@@ -19,10 +19,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, grams, in_training, mix, raw, span_hashes, texts, words
+from .common import CHUNK_BYTES, chunks, grams, in_training, mix, raw, span_hashes, texts, words
 
 FEATURES = ("log_words", "mean_word", "symbols", "capitals", "digits", "shouts", "pipes", "full_stops", "commas", "repeated_lines", "repeated_grams", "distinct_words", "words_per_line", "short_words")
 
@@ -184,3 +185,21 @@ def scored(docs: DataFrame, labels: DataFrame, column: str = "quality", threshol
 
     out = texts(docs).mapInArrow(run, "doc_id long, score double")
     return out.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def kept(docs: DataFrame, labels: DataFrame, column: str = "quality", threshold: float = 0.3, max_rows: int = 20_000) -> DataFrame:
+    """The rows of docs that the classifier doesn't reject; all columns stay, nothing is shuffled."""
+    model = trained(docs, labels, column, max_rows)
+
+    def run(batches):
+        for batch in batches:
+            text = pc.fill_null(batch.column("text").cast(pa.string()), "")
+            ends = np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False).astype(np.int64))
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + CHUNK_BYTES, side="right")))
+                good = model.score(features(text.slice(at, to - at))) >= threshold
+                yield batch.slice(at, to - at).filter(pa.array(good))
+                at = to
+
+    return docs.mapInArrow(run, docs.schema)
