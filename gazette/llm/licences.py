@@ -1,7 +1,7 @@
 """Licence scans (operator 8): a positional rare-token index over short licence notices.
 
 1. Document frequencies of the templates' words are counted over all documents; words in
-   more than `common` of them are too frequent to look up (the two rarest of a template stay).
+   more than `common` of them are too frequent to look up (the three rarest of a template that occur stay).
 2. In each file the rare licence words are looked up in the templates' postings; each hit
    votes for where the template would begin. An alignment needs two votes, or all words of
    a template that has only one.
@@ -70,12 +70,12 @@ class Index:
         votes, forms, phrases = [], [], []
         for t, (_, form, keys) in enumerate(templates):
             ws = form.split()
-            rarest = sorted(set(ws), key=lambda w: (seen.get(w, 0), w))
-            rare = {w for i, w in enumerate(rarest) if i < 2 or seen.get(w, 0) <= common * docs}
+            rarest = sorted({w for w in ws if seen.get(w, 0)}, key=lambda w: (seen[w], w))  # a word that no file holds needs no lookup
+            rare = {w for i, w in enumerate(rarest) if i < 3 or seen[w] <= common * docs}
             for at, w in enumerate(ws):
                 if w in rare:
                     lookup.setdefault(w, []).append((t, at))
-            votes.append(min(2, len(rare)))
+            votes.append(max(1, min(2, len(rare))))
             forms.append(word_hashes(ws))
             phrases.append([(next(i for i in range(len(ws)) if ws[i : i + len(k.split())] == k.split()), word_hashes(k.split())) for k in keys])
         names = sorted(lookup)
