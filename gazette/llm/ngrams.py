@@ -8,7 +8,7 @@ first shingle that it shares with a partner. Documents with equal sets are one f
   documents, puts these last, the most frequent at the very end; others go by hash. The order
   decides how many candidates there are, never which links are found.
 * Hub round: in each prefix shingle's bucket every document is paired with the bucket's hub
-  only (the one that has the shingle earliest), which is linear in the bucket.
+  only (the one with the fewest shingles of its own before it), which is linear in the bucket.
 * Rest round: where a bucket still holds several components, the documents outside its
   largest one are paired with the bucket's documents of other components. A pair inside one
   component can't change the result, so after this round no link can be missing.
@@ -25,10 +25,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_written, grams, lower_ascii, mix, raw, released, span_hashes, texts, words, written
+from .common import chunks, drop_written, grams, held, id_bits, lower_ascii, mix, raw, released, span_hashes, texts, words, written
 from .graph import components
 
 K, PERCENT = 4, 85
@@ -121,9 +121,13 @@ def prefixes(docs: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
     return texts(docs).where(F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id long, n long, k1 long, k2 long, prefix array<long>, bits array<long>")
 
 
-def _may_link(na: Column, ia: Column, nb: Column, ib: Column, percent: int) -> Column:
-    """Length and positional filter for a shared shingle at the places ia and ib."""
-    most = F.least(ia, ib) + 1 + F.least(na - ia - 1, nb - ib - 1)
+def _may_link(na: Column, ia: Column, sa: Column, nb: Column, ib: Column, sb: Column, percent: int) -> Column:
+    """Length and positional filter for a shingle at the places ia and ib.
+
+    sa and sb are how many of the shingles before it stand in two prefixes or more. Only those
+    can be common: one that both sets hold before a common place is in both prefixes.
+    """
+    most = F.least(sa, sb) + 1 + F.least(na - ia - 1, nb - ib - 1)
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * most >= percent * (na + nb))
 
 
@@ -134,9 +138,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int)
     both = F.col("na") + F.col("nb")
     near = pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= both - 2 * F.ceil(percent * both / F.lit(100 + percent) - F.lit(1e-9)))
     near = written(near.select("a", "b"), "near")
-    text = texts(docs)
     needed = near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct()
-    text = written(text.join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    text = written(held(texts(docs), id_bits(needed)).join(needed, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
     one = lambda x: text.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
 
     def run(batches):
@@ -163,25 +166,28 @@ def joined(docs: DataFrame, percent: int = PERCENT, hot_most: int = 1 << 17) ->
     sets = written(prefixes(docs, hot_shingles(docs, hot_most), percent), "sets")
     one = sets.groupBy("doc_id").agg(F.max(F.struct("n", "k1", "k2")).alias("s")).select("doc_id", "s.n", "s.k1", "s.k2")
     classes = one.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("first"))
-    firsts = sets.join(classes.select(F.col("first").alias("doc_id"), "n", "k1", "k2"), ["doc_id", "n", "k1", "k2"], "left_semi").dropDuplicates(["doc_id"])
+    firsts = sets.join(classes.select(F.col("first").alias("doc_id"), "n", "k1", "k2"), ["doc_id", "n", "k1", "k2"], "left_semi")
 
     tokens = firsts.select("doc_id", "n", F.posexplode("prefix").alias("i", "token"))
-    hubs = tokens.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("i", "doc_id", "n")).alias("hub")).where("c > 1")
-    shared = written(tokens.join(hubs, "token").select("token", "doc_id", "n", "i", F.col("hub.doc_id").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.i").alias("hub_i")), "shared")
+    twice = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
+    shared = written(tokens.join(twice, "token"), "tokens")
+    before = F.row_number().over(Window.partitionBy("doc_id").orderBy("i", "token")) - 1
+    shared = written(shared.dropDuplicates(["doc_id", "token"]).withColumn("s", before), "shared")
+    hubs = shared.groupBy("token").agg(F.min(F.struct((F.col("i") - F.col("s")).alias("own"), "doc_id", "n", "i", "s")).alias("hub"))
     released(spark)
-    pairs = shared.where(F.col("doc_id") != F.col("hub")).where(_may_link(F.col("n"), F.col("i"), F.col("hub_n"), F.col("hub_i"), percent))
-    links = _verified(pairs.select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct(), sets, docs, percent)
+    pairs = shared.join(hubs, "token").where(F.col("doc_id") != F.col("hub.doc_id")).where(_may_link(F.col("n"), F.col("i"), F.col("s"), F.col("hub.n"), F.col("hub.i"), F.col("hub.s"), percent)).select(F.col("doc_id").alias("a"), F.col("hub.doc_id").alias("b"))
+    links = _verified(pairs.distinct(), sets, docs, percent)
     released(spark)
     groups = components(links)
 
-    own = shared.select("token", "doc_id", "n", "i").join(groups.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
+    own = shared.join(groups.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id"))
     held = own.groupBy("token", "component").agg(F.count("*").alias("c"))
     mixed = held.groupBy("token").agg(F.count("*").alias("parts"), F.max(F.struct("c", "component")).alias("m")).where("parts > 1").select("token", F.col("m.component").alias("main"))
     open_ = written(own.join(mixed, "token"), "open")
-    minor = open_.where("component <> main").select("token", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), F.col("component").alias("ca"))
-    other = open_.select("token", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), F.col("component").alias("cb"), "main")
+    minor = open_.where("component <> main").select("token", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"), F.col("s").alias("sa"), F.col("component").alias("ca"))
+    other = open_.select("token", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), F.col("s").alias("sb"), F.col("component").alias("cb"), "main")
     rest = minor.join(other, "token").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))))
-    rest = rest.where(_may_link(F.col("na"), F.col("ia"), F.col("nb"), F.col("ib"), percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rest = rest.where(_may_link(F.col("na"), F.col("ia"), F.col("sa"), F.col("nb"), F.col("ib"), F.col("sb"), percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     more = _verified(rest, sets, docs, percent)
     released(spark)
     linked = components(links.unionByName(more)) if more.limit(1).count() else groups
