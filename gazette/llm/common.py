@@ -175,29 +175,32 @@ def _slots(ids: np.ndarray) -> np.ndarray:
     return (mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(ID_BITS)).astype(np.int64)
 
 
-def id_bits(ids: DataFrame) -> np.ndarray:
-    """A bit map of hashed doc_ids, of fixed size. With very many ids it fills up and thins out less; it never loses one."""
+def id_bits(rows: DataFrame, column: str = "doc_id") -> np.ndarray:
+    """A bit map of hashed values, of fixed size. With very many values it fills up and thins out less; it never loses one."""
 
     def run(batches):
         bits = np.zeros(ID_BITS, bool)
         for batch in batches:
-            bits[_slots(batch.column("doc_id").to_numpy(zero_copy_only=False))] = True
+            bits[_slots(batch.column(column).to_numpy(zero_copy_only=False))] = True
         yield pa.RecordBatch.from_arrays([pa.array([np.packbits(bits).tobytes()], pa.binary())], ["bits"])
 
     out = np.zeros(ID_BITS // 8, np.uint8)
-    for row in ids.select("doc_id").coalesce(8).mapInArrow(run, "bits binary").toLocalIterator():
+    for row in rows.select(column).coalesce(8).mapInArrow(run, "bits binary").toLocalIterator():
         out |= np.frombuffer(row["bits"], np.uint8)
     return out
 
 
+def in_bits(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    at = _slots(values)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
 def held(docs: DataFrame, bits: np.ndarray) -> DataFrame:
     """The rows whose doc_id may be in the bit map. Row-local; an exact join follows."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
-        have = shared.value
         for batch in batches:
-            at = _slots(batch.column("doc_id").to_numpy(zero_copy_only=False))
-            yield batch.filter(pa.array((have[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)))
+            yield batch.filter(pa.array(in_bits(batch.column("doc_id").to_numpy(zero_copy_only=False), shared.value)))
 
     return docs.where(F.col("doc_id").isNotNull()).mapInArrow(run, docs.schema)

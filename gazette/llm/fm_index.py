@@ -77,7 +77,7 @@ class FmIndex:
             nxt = np.zeros(n, np.int64)
             nxt[: n - step] = rank[step:] + 1
             key = rank << 32 | nxt
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             new = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)])
             rank[order] = new
             if new[-1] == n - 1:

@@ -25,10 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_written, mix, ragged, raw, released, span_hashes, texts, words, written
+from .common import chunks, drop_written, held, id_bits, in_bits, mix, ragged, raw, released, span_hashes, texts, words, written
 
 
 @dataclass(frozen=True)
@@ -80,13 +81,20 @@ def cut(values: np.ndarray, bounds: np.ndarray, unit: Unit) -> tuple[np.ndarray,
     return row[first], first - begin, many, h[begin + anchor[new].astype(np.int64)], span_hashes(values, first, first + many + unit.width - 1)
 
 
-def _segments(docs: DataFrame, unit: Unit) -> DataFrame:
+def _segments(docs: DataFrame, unit: Unit, bits: np.ndarray | None = None) -> DataFrame:
+    """All segments; with a bit map of anchors, only those whose anchor may be in it."""
+    shared = docs.sparkSession.sparkContext.broadcast(bits)
+
     def run(batches):
         for ids, text in chunks(batches):
             values, bounds, _, _ = unit.tokens(*raw(text))
             row, first, many, anchor, whole = cut(values, bounds, unit)
+            anchor = anchor.view(np.int64)
+            if shared.value is not None:
+                on = in_bits(anchor, shared.value)
+                row, first, many, anchor, whole = row[on], first[on], many[on], anchor[on], whole[on]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[row], pa.int64()), pa.array(first.astype(np.int32)), pa.array(many.astype(np.int32)), pa.array(anchor.view(np.int64)), pa.array(whole.view(np.int64))],
+                [pa.array(ids[row], pa.int64()), pa.array(first.astype(np.int32)), pa.array(many.astype(np.int32)), pa.array(anchor), pa.array(whole.view(np.int64))],
                 ["doc_id", "at", "m", "anchor", "segment"],
             )
 
@@ -94,40 +102,50 @@ def _segments(docs: DataFrame, unit: Unit) -> DataFrame:
 
 
 def _bodies(docs: DataFrame, wanted: DataFrame, unit: Unit, shards: int) -> DataFrame:
-    """The bytes of the wanted segments: shard, doc_id, at, m, copies, body."""
+    """The bytes of the wanted segments: shard, doc_id, at, m, copies, body. Crowded ones come window by window."""
     lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("at", "m", "copies", "anchor", "crowded")).alias("want"))
 
     def run(batches):
-        for batch in batches:
-            for k in range(batch.num_rows):
-                part = batch.slice(k, 1)
-                body, offsets = raw(part.column("text"))
-                _, _, starts, ends = unit.tokens(body, offsets)
-                text, out = body.tobytes(), []
-                for x in part.column("want")[0].as_py():
-                    pieces = [(x["at"] + d, 1) for d in range(x["m"])] if x["crowded"] else [(x["at"], x["m"])]
-                    for at, m in pieces:
-                        to = at + m + unit.width - 1
-                        piece = text[starts[at] : ends[to - 1]] if unit.by_words else text[at:to]
-                        out.append((at, m, x["copies"], piece, x["anchor"]))
-                doc = part.column("doc_id")[0].as_py()
-                at, m, copies, pieces, anchors = zip(*out)
-                key = np.array(anchors, np.int64).view(np.uint64)
-                if any(x["crowded"] for x in part.column("want")[0].as_py()):
-                    flat = np.frombuffer(b"".join(b" ".join(p.split()) if unit.by_words else p for p in pieces), np.uint8)
-                    sizes = np.array([len(b" ".join(p.split())) if unit.by_words else len(p) for p in pieces], np.int64)
-                    to = np.cumsum(sizes)
-                    crowd = np.repeat([x["crowded"] for x in part.column("want")[0].as_py()], [x["m"] if x["crowded"] else 1 for x in part.column("want")[0].as_py()])
-                    key = np.where(crowd, span_hashes(flat, to - sizes, to), key)
+        for part in batches:
+            rows = np.arange(part.num_rows)
+            for ids, text in chunks([pa.RecordBatch.from_arrays([pa.array(rows), part.column("text")], ["doc_id", "text"])]):
+                body, offsets = raw(text)
+                _, bounds, starts, ends = unit.tokens(body, offsets)
+                want = part.column("want").slice(int(ids[0]), len(ids))
+                sizes = pc.list_value_length(want).to_numpy(zero_copy_only=False)
+                flat = want.flatten()
+                field = lambda name: flat.field(name).to_numpy(zero_copy_only=False)
+                row, at, m, copies, key = np.repeat(np.arange(len(ids)), sizes), field("at").astype(np.int64), field("m").astype(np.int64), field("copies"), field("anchor").view(np.uint64)
+                crowded = field("crowded").astype(bool)
+                times = np.where(crowded, m, 1)
+                step = ragged(np.arange(int(times.max(initial=0))), np.zeros(len(times), np.int64), times)[0]
+                row, copies, key, crowded = (np.repeat(x, times) for x in (row, copies, key, crowded))
+                at, m = np.repeat(at, times) + step, np.where(crowded, 1, np.repeat(m, times))
+                first = bounds[row] + at
+                last = first + m + unit.width - 1
+                if unit.by_words:
+                    first, last = starts[first], ends[last - 1]
+                pieces, edges = ragged(body, first, last - first)
+                if crowded.any():
+                    key = np.where(crowded, span_hashes(pieces, edges[:-1], edges[1:]) if not unit.by_words else _word_keys(pieces, edges), key)
+                doc = part.column("doc_id").to_numpy(zero_copy_only=False)[ids[row]]
+                bodies = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(pieces))])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((mix(key) % np.uint64(shards)).astype(np.int32)), pa.array([doc] * len(at), pa.int64()), pa.array(at, pa.int32()), pa.array(m, pa.int32()), pa.array(copies, pa.int64()), pa.array(pieces, pa.binary())],
+                    [pa.array((mix(key.copy()) % np.uint64(shards)).astype(np.int32)), pa.array(doc, pa.int64()), pa.array(at.astype(np.int32)), pa.array(m.astype(np.int32)), pa.array(copies, pa.int64()), bodies],
                     ["shard", "doc_id", "at", "m", "copies", "body"],
                 )
 
-    rows = docs.join(lists, "doc_id").select("doc_id", "text", "want")
+    rows = held(docs, id_bits(lists)).join(lists, "doc_id").select("doc_id", "text", "want")
     return rows.mapInArrow(run, "shard int, doc_id long, at int, m int, copies long, body binary")
 
 
+def _word_keys(pieces: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Hashes of the words of each piece, whatever white space is between them."""
+    starts, ends, rows = words(pieces, edges)
+    bounds = np.searchsorted(rows, np.arange(len(edges)))
+    return span_hashes(span_hashes(pieces, starts, ends), bounds[:-1], bounds[1:])
+
+
 def repeated(docs: DataFrame, unit: Unit, search: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], keep_first: bool, per_shard: int = 20_000, crowd: int = 20_000) -> DataFrame:
     """doc_id and spans, an array of (a, b): the tokens a to b - 1 are covered by windows that repeat.
 
@@ -138,7 +156,8 @@ def repeated(docs: DataFrame, unit: Unit, search: Callable[[pa.Table], tuple[np.
     found = _segments(docs, unit)
     anchors = found.groupBy("anchor").agg(F.count("*").alias("c"), F.min("segment").alias("lo"), F.max("segment").alias("hi")).where("c > 1")
     anchors = anchors.select("anchor", (F.col("lo") != F.col("hi")).alias("differ"), (F.col("c") > crowd).alias("crowded"))
-    shared = written(found.join(anchors, "anchor"), "shared")
+    anchors = written(anchors, "anchors")
+    shared = written(_segments(docs, unit, id_bits(anchors, "anchor")).join(anchors, "anchor"), "shared")
     released(docs.sparkSession)
     kinds = shared.groupBy("anchor", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at")).alias("first"), F.first("m").alias("m"), F.first("differ").alias("differ"), F.first("crowded").alias("crowded"))
     kinds = written(kinds, "kinds")
@@ -164,7 +183,7 @@ def repeated(docs: DataFrame, unit: Unit, search: Callable[[pa.Table], tuple[np.
     inside = written(bodies.repartition(shards, "shard").groupBy("shard").applyInArrow(index, "doc_id long, a int, b int"), "inside")
     released(docs.sparkSession)
     spans = written(whole.unionByName(inside).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
-    for t in (shared, kinds, inside):
+    for t in (anchors, shared, kinds, inside):
         drop_written(t)
     released(docs.sparkSession)
     return spans

@@ -44,7 +44,7 @@ def sample_ranks(text: np.ndarray, depth: int) -> np.ndarray:
     rank = np.zeros(len(text) + depth, np.int64)
     key, known = _packed(text, at, V), V
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         rank[at[order]] = np.concatenate([[0], np.cumsum(np.diff(key[order]) != 0)]) + 1
         if known >= depth:
             return rank
@@ -56,7 +56,7 @@ def ordered(text: np.ndarray, starts: np.ndarray, depth: int, bucket: int = 200_
     """Blocks of starts in suffix order (as deep as `depth`), one bucket of leading bytes at a time."""
     rank = sample_ranks(text, depth)
     lead = _packed(text, starts, 3).astype(np.int64)
-    by_lead = np.argsort(lead, kind="stable")
+    by_lead = np.argsort(lead)
     lead = lead[by_lead]
     edges = np.concatenate([[0], np.flatnonzero(np.diff(lead)) + 1, [len(lead)]])
     at = 0
@@ -74,7 +74,7 @@ def ordered(text: np.ndarray, starts: np.ndarray, depth: int, bucket: int = 200_
                     step = STEP[a, b]
                     theirs = np.sort(group[classes[b]] | rank[part[classes[b]] + step])
                     less[classes[a]] += np.searchsorted(theirs, group[classes[a]] | rank[part[classes[a]] + step])
-        yield part[np.argsort(less, kind="stable")]
+        yield part[np.argsort(less)]
 
 
 def search(shard: pa.Table) -> tuple[np.ndarray, np.ndarray]:
