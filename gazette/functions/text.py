@@ -1,7 +1,5 @@
 """Text shaping, one column in and one column out (Column -> Column)."""
 
-from __future__ import annotations
-
 import html
 import re
 from functools import reduce
@@ -35,13 +33,16 @@ def falsy(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-@pandas_udf("string")
-def unescape(c: pd.Series) -> pd.Series:
-    """HTML entities decoded; there is no built-in for it. Rows without '&' are passed through."""
+def _unescape(c: pd.Series) -> pd.Series:
     has = c.str.contains("&", regex=False, na=False)
     return c.where(~has, c[has].map(html.unescape))
 
 
+def unescape(c: Column) -> Column:
+    """HTML entities decoded; there is no built-in for it. Rows without '&' are passed through."""
+    return pandas_udf(_unescape, "string")(c)
+
+
 def collapse(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
 

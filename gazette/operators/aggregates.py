@@ -33,15 +33,10 @@ def allowlist_misses(rows: DataFrame, most: int = 10) -> DataFrame:
 
 def digest_metrics(rows: DataFrame) -> DataFrame:
     """(metric, name, n): totals, drop reasons, labels, sources, categories and importance in one long table."""
-    long = rows.select(
-        F.explode(
-            F.concat(
-                F.array(F.struct(F.lit("total").alias("metric"), F.lit("in").alias("name")), F.struct(F.lit("total"), F.when(F.col("drop_reason").isNull(), "out").otherwise("dropped")), F.struct(F.lit("source"), F.col("source")), F.struct(F.lit("category"), F.col("category")), F.struct(F.lit("importance"), F.col("importance").cast("string"))),
-                F.when(F.col("drop_reason").isNotNull(), F.array(F.struct(F.lit("drop_reason").alias("metric"), F.col("drop_reason").alias("name")))).otherwise(F.array().cast("array<struct<metric:string,name:string>>")),
-                F.transform("signals", lambda s: F.struct(F.lit("label").alias("metric"), s.alias("name"))),
-            )
-        ).alias("x")
-    )
+    pair = lambda metric, name: F.struct(F.lit(metric).alias("metric"), name.cast("string").alias("name"))
+    fixed = F.array(pair("total", F.lit("in")), pair("total", F.when(F.col("drop_reason").isNull(), "out").otherwise("dropped")), pair("source", F.col("source")), pair("category", F.col("category")), pair("importance", F.col("importance")))
+    dropped = F.filter(F.array(pair("drop_reason", F.col("drop_reason"))), lambda x: x["name"].isNotNull())
+    long = rows.select(F.explode(F.concat(fixed, dropped, F.transform("signals", lambda s: pair("label", s)))).alias("x"))
     return long.groupBy("x.metric", "x.name").agg(F.count("*").alias("n"))
 
 
