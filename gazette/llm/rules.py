@@ -1,13 +1,13 @@
 """Quality rules (operator 9), with DataFrame functions only: cross-document line frequency over simple text rules.
 
-Base rules look at one text. The method hashes normalised lines (lower case, digits masked,
-white space collapsed), counts the distinct documents of a host (`source`) that hold each,
+Base rules look at one text. The method hashes normalised lines (lower case, white
+space collapsed), counts the distinct documents of a host (`source`) that hold each,
 takes lines above the limit out, and rejects documents that too little is left of. The limit
 is a count and a share of the host's documents, so it means the same at every size.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null host is a
-host of its own; a doc_id that repeats counts as one document, and each of its rows is
-returned with its own text's figures; empty tables give empty results.
+host of its own; each row is a document, and rows that repeat a doc_id share the words that
+frequent lines take; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -53,21 +53,22 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def normal(line: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.lower(F.trim(line, F.lit(BLANKS))), "[0-9]", "0"), _GAP, " ")
+    return F.regexp_replace(F.lower(F.trim(line, F.lit(BLANKS))), _GAP, " ")
 
 
 def judged(docs: DataFrame, least_words: int = 20, repeat_percent: int = 30, limit_docs: int = 20, limit_share: float = 0.001, least_left: float = 0.5) -> DataFrame:
     """Figures, base_failed, the words that frequent lines take, and kept."""
     base = measured(docs)
-    lined = F.transform("lines", lambda x: F.struct(F.xxhash64(normal(x)).alias("line"), F.size(F.split(F.trim(x, F.lit(BLANKS)), _GAP)).alias("w")))
-    # a line counts once for a document, with all the words that it takes there
-    lines = base.select("doc_id", F.coalesce("source", F.lit("\0")).alias("source"), F.explode(lined).alias("l")).select("doc_id", "source", "l.line", "l.w")
-    own = lines.groupBy("source", "line", "doc_id").agg(F.sum("w").alias("w"))
+    host = F.coalesce("source", F.lit("\0"))
+    hashes = F.transform("lines", lambda x: F.xxhash64(normal(x)))
+    # a line counts once for a document; all its words there go
+    seen = base.select(host.alias("source"), F.explode(F.array_distinct(hashes)).alias("line")).groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") > limit_docs)
     hosts = docs.select(F.coalesce(docs["source"].cast("string"), F.lit("\0")).alias("source")).groupBy("source").agg(F.count("*").alias("docs"))
-    seen = own.groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") > limit_docs)
     frequent = seen.join(hosts, "source").where(F.col("n") > F.col("docs") * limit_share).select("source", "line")
+    lined = F.transform("lines", lambda x: F.struct(F.xxhash64(normal(x)).alias("line"), F.size(F.split(F.trim(x, F.lit(BLANKS)), _GAP)).alias("w")))
+    own = base.select("doc_id", host.alias("source"), F.explode(lined).alias("l")).select("doc_id", "source", "l.line", "l.w")
     taken = own.join(frequent, ["source", "line"], "left_semi").groupBy("doc_id").agg(F.sum("w").alias("n_line_words"))
-    out = base.drop("lines", "source").join(taken, "doc_id", "left").withColumn("n_line_words", F.coalesce("n_line_words", F.lit(0)).cast("long"))
+    out = base.drop("lines", "source").join(taken, "doc_id", "left").withColumn("n_line_words", F.least("n_words", F.coalesce("n_line_words", F.lit(0))).cast("long"))
     out = out.withColumn("base_failed", (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words")))
     left = F.col("n_words") - F.col("n_line_words")
     return out.withColumn("kept", ~F.col("base_failed") & (left >= least_words) & (left >= F.col("n_words") * least_left))
