@@ -95,7 +95,7 @@ def parse_timestamp(c: Column) -> Column:
 
 
 def age_hours(published: Column, updated: Column, cfg: Config) -> Column:
-    at = F.coalesce(published, updated)
+    at = F.coalesce(published.cast("timestamp"), updated)
     return (F.unix_micros(F.lit(cfg.run_ts).cast("timestamp")) - F.unix_micros(at)) / F.lit(3.6e9)
 
 

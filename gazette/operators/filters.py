@@ -69,7 +69,7 @@ def body_reason(body: Column, status: Column, extractor: Column, least: int = 50
 
 
 def outdated(published: Column, digest_date: Column, carried: Column, hours: float = 72.0) -> Column:
-    gap = F.abs(F.unix_seconds(published) - F.unix_seconds(digest_date.cast("timestamp"))) / 3600
+    gap = F.abs(F.unix_seconds(published.cast("timestamp")) - F.unix_seconds(digest_date.cast("timestamp"))) / 3600
     return F.coalesce(gap > hours, F.lit(False)) & ~F.coalesce(carried, F.lit(False))
 
 

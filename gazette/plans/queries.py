@@ -456,7 +456,8 @@ def _checked(spark, sf_dir) -> DataFrame:
         "stale": filters.stale_incident(F.col("full_text"), F.lit(CFG.run_ts).cast("date"), CFG)["stale"],
         "date": F.date_format("published_at", "yyyy-MM-dd"),
     })
-    return validation.handled(df.withColumn("outdated", F.coalesce("outdated", F.lit(False))), CFG)
+    # rows are staged before they are judged as editions: a filter on the outcome would otherwise be computed from all stages again
+    return dedupe.stored(validation.handled(df.withColumn("outdated", F.coalesce("outdated", F.lit(False))), CFG))
 
 
 @query()
@@ -569,7 +570,7 @@ def history_upsert(spark, sf_dir):
 def recent_stream(spark, sf_dir):
     """STR-1: the first row of each key, as a stream over landed files."""
     landed, out = _folder(spark), _folder(spark)
-    events = table(spark, sf_dir, "events").select("user_id", "ts")
+    events = table(spark, sf_dir, "events").select("user_id", F.col("ts").cast("timestamp").alias("ts"))
     events.write.parquet(landed)
     stream = first_within(spark.readStream.schema(events.schema).parquet(landed), "user_id", "ts", "40 days")
     stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start().awaitTermination()
