@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fm_index, gam, licences, ngrams, rules, secrets, suffix_array, toxicity
+from . import bpe, decontaminate, fm_index, gam, licences, ngrams, oracles, rules, secrets, suffix_array, toxicity
 from .common import table
 
 
@@ -69,4 +69,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_rules": op9_rules,
     "op10_bpe": op10_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
