@@ -1,8 +1,9 @@
-"""N-gram Jaccard join (operator 1): documents whose sets of 4-word shingles are alike.
+"""N-gram Jaccard join (operator 1): documents whose sets of k-word shingles are alike.
 
-Two documents link when 100 * |A and B| >= 85 * |A or B|. Each set is put in one global
-order, rare shingles first, and only its prefix (the first n - ceil(0.85 n) + 1) can hold the
-first shingle that it shares with a partner. Documents with equal sets are one from then on.
+Two documents link when 100 * |A and B| >= percent * |A or B|; five words and 80 unless the
+caller says otherwise. Each set is put in one global order, rare shingles first, and only its
+prefix (the first n - ceil(n * percent / 100) + 1) can hold the first shingle that it shares
+with a partner. Documents with equal sets are one from then on.
 
 * Order: a bounded table (`hot_most`) of the most frequent shingles, counted over all
   documents, puts these last, the most frequent at the very end; others go by hash. The order
@@ -17,7 +18,7 @@ first shingle that it shares with a partner. Documents with equal sets are one f
   as a suffix filter does. What is left is verified once, by the exact intersection.
 
 Defined cases: null, empty and blank texts have no shingles and link with nothing; texts of
-1 to 3 words have their whole sequence as one shingle; a doc_id that repeats is one node of
+fewer than k words have their whole sequence as one shingle; a doc_id that repeats is one node of
 the graph, with one row in the result, its largest set; other columns go.
 """
 
@@ -31,11 +32,11 @@ from pyspark.sql import functions as F
 from .common import chunks, drop_written, grams, held, id_bits, lower_ascii, mix, raw, released, span_hashes, texts, words, written
 from .graph import components
 
-K, PERCENT = 4, 85
+K, PERCENT = 5, 80
 SIGNATURE = 2048
 
 
-def shingle_sets(text: pa.Array, k: int = K) -> list[np.ndarray]:
+def shingle_sets(text: pa.Array, k: int) -> list[np.ndarray]:
     """Per text, the sorted distinct hashes of its k-word shingles."""
     body, offsets = raw(text)
     body = lower_ascii(body)
@@ -59,7 +60,7 @@ def shingle_sets(text: pa.Array, k: int = K) -> list[np.ndarray]:
     return out
 
 
-def hot_shingles(docs: DataFrame, hot_most: int, per_task: int = 1 << 22, least: int = 3) -> np.ndarray:
+def hot_shingles(docs: DataFrame, k: int, hot_most: int, per_task: int = 1 << 22, least: int = 3) -> np.ndarray:
     """The most frequent shingles, the rarest of them first. Each task counts its own and sends those it saw often; all documents count."""
 
     def counted(held: list[np.ndarray]):
@@ -70,7 +71,7 @@ def hot_shingles(docs: DataFrame, hot_most: int, per_task: int = 1 << 22, least:
     def run(batches):
         held, size = [], 0
         for _, text in chunks(batches):
-            sets = shingle_sets(text)
+            sets = shingle_sets(text, k)
             held += sets
             size += sum(map(len, sets))
             if size >= per_task:
@@ -84,14 +85,14 @@ def hot_shingles(docs: DataFrame, hot_most: int, per_task: int = 1 << 22, least:
     return np.array([r["g"] for r in reversed(rows)], np.int64).view(np.uint64)
 
 
-def prefixes(docs: DataFrame, hot: np.ndarray, percent: int) -> DataFrame:
+def prefixes(docs: DataFrame, hot: np.ndarray, k: int, percent: int) -> DataFrame:
     """doc_id, n (set size), k1 and k2 (a 128-bit key of the set), prefix (array<long>) and bits (array<long>)."""
     order = np.argsort(hot)
     known = hot[order]
 
     def run(batches):
         for ids, text in chunks(batches):
-            sets = shingle_sets(text)
+            sets = shingle_sets(text, k)
             sizes = np.array([len(s) for s in sets])
             flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
             rows = np.repeat(np.arange(len(sets)), sizes)
@@ -131,7 +132,7 @@ def _may_link(na: Column, ia: Column, sa: Column, nb: Column, ib: Column, sb: Co
     return (100 * F.least(na, nb) >= percent * F.greatest(na, nb)) & ((100 + percent) * most >= percent * (na + nb))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) that link: first by signature, then by the exact intersection."""
     side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
     apart = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
@@ -147,7 +148,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int)
             step = 256
             for at in range(0, batch.num_rows, step):
                 part = batch.slice(at, step)
-                left, right = shingle_sets(part.column("text_a")), shingle_sets(part.column("text_b"))
+                left, right = shingle_sets(part.column("text_a"), k), shingle_sets(part.column("text_b"), k)
                 keep = []
                 for x, y in zip(left, right):
                     shared = len(np.intersect1d(x, y, assume_unique=True))
@@ -160,10 +161,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, percent: int)
     return out
 
 
-def joined(docs: DataFrame, percent: int = PERCENT, hot_most: int = 1 << 17) -> DataFrame:
+def joined(docs: DataFrame, k: int = K, percent: int = PERCENT, hot_most: int = 1 << 17) -> DataFrame:
     """doc_id, n_shingles, component_id for every document."""
     spark: SparkSession = docs.sparkSession
-    sets = written(prefixes(docs, hot_shingles(docs, hot_most), percent), "sets")
+    sets = written(prefixes(docs, hot_shingles(docs, k, hot_most), k, percent), "sets")
     one = sets.groupBy("doc_id").agg(F.max(F.struct("n", "k1", "k2")).alias("s")).select("doc_id", "s.n", "s.k1", "s.k2")
     classes = one.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("first"))
     firsts = sets.join(classes.select(F.col("first").alias("doc_id"), "n", "k1", "k2"), ["doc_id", "n", "k1", "k2"], "left_semi")
@@ -176,7 +177,7 @@ def joined(docs: DataFrame, percent: int = PERCENT, hot_most: int = 1 << 17) ->
     hubs = shared.groupBy("token").agg(F.min(F.struct((F.col("i") - F.col("s")).alias("own"), "doc_id", "n", "i", "s")).alias("hub"))
     released(spark)
     pairs = shared.join(hubs, "token").where(F.col("doc_id") != F.col("hub.doc_id")).where(_may_link(F.col("n"), F.col("i"), F.col("s"), F.col("hub.n"), F.col("hub.i"), F.col("hub.s"), percent)).select(F.col("doc_id").alias("a"), F.col("hub.doc_id").alias("b"))
-    links = _verified(pairs.distinct(), sets, docs, percent)
+    links = _verified(pairs.distinct(), sets, docs, k, percent)
     released(spark)
     groups = components(links)
 
@@ -188,7 +189,7 @@ def joined(docs: DataFrame, percent: int = PERCENT, hot_most: int = 1 << 17) ->
     other = open_.select("token", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"), F.col("s").alias("sb"), F.col("component").alias("cb"), "main")
     rest = minor.join(other, "token").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b"))))
     rest = rest.where(_may_link(F.col("na"), F.col("ia"), F.col("sa"), F.col("nb"), F.col("ib"), F.col("sb"), percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = _verified(rest, sets, docs, percent)
+    more = _verified(rest, sets, docs, k, percent)
     released(spark)
     linked = components(links.unionByName(more)) if more.limit(1).count() else groups
     drop_written(open_)

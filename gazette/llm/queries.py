@@ -18,7 +18,7 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngrams.joined(table(spark, sf_dir, "documents"))
+    return ngrams.joined(table(spark, sf_dir, "documents"), k=4, percent=85)
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
