@@ -108,19 +108,27 @@ def _conflict() -> Column:
 def exact_keys(rows: DataFrame) -> DataFrame:
     """Equal keys of 2+ tokens: each row against the latest one before it that wasn't merged so itself.
 
-    A fold over each key's rows in rank order. Rows that repeat (numbers, entities) of a key's
-    earlier row bring nothing new, so a key with very many rows folds over its different ones.
+    Neighbours in rank order with the same numbers and entities share their first row's fate, so
+    only these first rows are folded: a key with very many copies folds over a few. A key whose
+    rows keep switching between different numbers is still folded whole.
     """
-    held = rows.where(F.size(key_tokens(F.col("dedupe_key"))) >= 2)
-    listed = held.groupBy("dedupe_key").agg(F.array_sort(F.collect_list(F.struct("rank", "id", "numbers", "entities"))).alias("l"))
+    w = Window.partitionBy("dedupe_key").orderBy("rank", "id")
+    held = rows.where(F.size(key_tokens(F.col("dedupe_key"))) >= 2).select("dedupe_key", "rank", F.col("id").cast("long").alias("id"), F.array_sort("numbers").alias("numbers"), F.array_sort("entities").alias("entities"))
+    same = F.lag(F.struct("numbers", "entities")).over(w).eqNullSafe(F.struct("numbers", "entities"))
+    held = held.withColumn("start", F.when(~same, F.col("id")))
+    runs = stored(held.withColumn("head", F.last("start", ignorenulls=True).over(w)).drop("start"))
+
+    listed = runs.where("id = head").groupBy("dedupe_key").agg(F.array_sort(F.collect_list(F.struct("rank", "id", "numbers", "entities"))).alias("l"))
     blank = F.struct(F.get("l", F.lit(0)).alias("last"), F.array().cast("array<struct<lo:bigint,matched_to:bigint>>").alias("out"))
 
     def step(acc: Column, x: Column) -> Column:
         apart = lambda f: (F.size(acc["last"][f]) > 0) & (F.size(x[f]) > 0) & ~F.arrays_overlap(acc["last"][f], x[f])
         hit = (x["id"] != acc["last"]["id"]) & ~apart("numbers") & ~apart("entities")
-        return F.struct(F.when(hit, acc["last"]).otherwise(x).alias("last"), F.when(hit, F.array_append(acc["out"], F.struct(x["id"].cast("long").alias("lo"), acc["last"]["id"].cast("long").alias("matched_to")))).otherwise(acc["out"]).alias("out"))
+        return F.struct(F.when(hit, acc["last"]).otherwise(x).alias("last"), F.when(hit, F.array_append(acc["out"], F.struct(x["id"].alias("lo"), acc["last"]["id"].alias("matched_to")))).otherwise(acc["out"]).alias("out"))
 
-    return listed.select(F.explode(F.aggregate("l", blank, step, lambda a: a["out"])).alias("x")).select("x.lo", "x.matched_to")
+    of_heads = listed.select(F.explode(F.aggregate("l", blank, step, lambda a: a["out"])).alias("x")).select(F.col("x.lo").alias("head"), "x.matched_to")
+    out = runs.join(of_heads, "head", "left").select(F.col("id").alias("lo"), F.coalesce("matched_to", "head").alias("matched_to"))
+    return out.where("lo <> matched_to")
 
 
 def key_similarity(rows: DataFrame, cfg: Config) -> DataFrame:

@@ -159,3 +159,21 @@ def test_queries_and_oracles_belong_together():
     import __spark_entry__
 
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_exact_keys_are_the_sequential_walk(spark):
+    rng = random.Random(12)
+    rows = [(i, rng.choice(["a-b", "c-d-e", "f"]), rng.randrange(40), rng.sample(["1", "2", "3"], rng.choice([0, 1, 1, 2])), rng.sample(["x", "y"], rng.choice([0, 1]))) for i in range(200)]
+    rows += [(i, "copies-key", 5, ["7"], ["x"]) for i in range(200, 400)]
+    apart = lambda a, b: bool(a) and bool(b) and not set(a) & set(b)
+    last, want = {}, {}
+    for i, key, _, numbers, entities in sorted(rows, key=lambda r: (r[2], r[0])):
+        if "-" not in key:
+            continue
+        held = last.get(key)
+        if held is None or apart(held[1], numbers) or apart(held[2], entities):
+            last[key] = (i, numbers, entities)
+        else:
+            want[i] = held[0]
+    df = spark.createDataFrame(rows, "id long, dedupe_key string, rank int, numbers array<string>, entities array<string>")
+    assert {r["lo"]: r["matched_to"] for r in dedupe.exact_keys(df).collect()} == want
