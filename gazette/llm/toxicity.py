@@ -9,14 +9,17 @@
 4. Every whole text is restored and scored.
 
 Defined cases: null and empty texts get the score of a text without any marked word; with
-no labelled rows the score is the prior 0.5 below `threshold` (0.25); words longer than 40
-characters aren't restored, as no word of the model is that long.
+no labelled rows the score is the prior 0.5 below `threshold` (0.25). Disguised words of any
+length are restored: signs repeated more than three times count three times, runs of fillers
+once; words glued by separators are also read piece by piece, and a piece that is still longer
+than 40 characters in windows that overlap by half.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -39,8 +42,17 @@ _SIGN = np.zeros(256, bool)
 _SIGN[list(b"0123456789@$!|+(" + FILLERS.encode())] = True
 _STRONG = np.zeros(256, bool)
 _STRONG[list(b"0123456789@$")] = True
-_RUN = re.compile(r"(.)\1{2,}")
+#: Signs that stand for letters at a word's ends, too; 0xC3 to 0xC5 lead the accented letters, 0xC2A3 and 0xE282AC are money signs.
+_END = np.zeros(256, bool)
+_END[list(b"!|+(")] = True
 _STRIP = ".,;:!?\"'()[]*#&%$-_~`^"
+_SOFT = "".join(c for c in _STRIP if c not in LEET)
+_DRAWN = re.compile(r"(.)\1{3,}", re.S)
+_FILLED = re.compile(f"([{re.escape(FILLERS)}])[{re.escape(FILLERS)}]+")
+_ODD = re.compile(r"[^a-z]|(.)\1\1")
+_LETTERS = re.compile(r"[^\W\d_]")
+#: Where glued words come apart: at signs that are neither letters nor fillers inside a word, then at fillers as well.
+_GLUE = (re.compile(r"(?:[-_/]|[^\w@$!|+(€£*.~'`^#])+"), re.compile(r"(?:[-_/*.~'`^#]|[^\w@$!|+(€£])+"))
 
 
 @dataclass
@@ -68,6 +80,8 @@ def emissions(token: str) -> list[list[tuple[str, float]]]:
         may = [("", -0.4)] if i and c == token[i - 1] else []
         if "a" <= c <= "z":
             may.append((c, -0.05))
+        elif _base(c) != c:
+            may.append((_base(c), -0.1))
         for x in LEET.get(c, ""):
             may.append((x, -0.5))
         if c in FILLERS or c in LEET:
@@ -76,8 +90,17 @@ def emissions(token: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+def _base(c: str) -> str:
+    """The letter under an accent; other signs as they are."""
+    base = c if c < "\x80" else unicodedata.normalize("NFKD", c)[:1].lower()
+    return base if "a" <= base <= "z" else c
+
+
 def decode(token: str, channel: Channel) -> list[str]:
-    """Viterbi over (last two letters): the restored words, best first, one per end state."""
+    """Viterbi over (last two letters): the restored words, best first, one per end state. Letters alone, none doubled, have one reading."""
+    plain = "".join(map(_base, token))
+    if re.fullmatch("[a-z]+", plain) and not re.search(r"(.)\1", plain):
+        return [plain]
     log = channel.log
     states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     for may in emissions(token):
@@ -100,23 +123,65 @@ def _disguised(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     before[1:], after[:-1] = letter[:-1], letter[1:]
     odd = sign & before & after | _STRONG[body] & after
     odd[:-1] |= (_STRONG[body] & before & (body != 36))[:-1]
+    solid = np.flatnonzero(~sign)  # a run of signs between two letters
+    odd[solid[1:][(np.diff(solid) > 1) & letter[solid[:-1]] & letter[solid[1:]]]] = True
+    odd |= _END[body] & (before | after)
+    odd[:-1] |= (body[:-1] >= 0xC3) & (body[:-1] <= 0xC5) | (body[:-1] == 0xC2) & (body[1:] == 0xA3)
+    odd[:-2] |= (body[:-2] == 0xE2) & (body[1:-1] == 0x82) & (body[2:] == 0xAC)
     same = np.zeros(len(body), bool)
     same[2:] = (body[2:] == body[1:-1]) & (body[1:-1] == body[:-2]) & letter[2:]
     seen = np.concatenate([[0], np.cumsum(odd | same)])
-    return (seen[ends] > seen[starts]) & (ends - starts <= WIDEST + 8)
-
-
-def restored(text: pa.Array, decoder) -> list[list[tuple[str, ...]]]:
-    """Per text, its disguised words restored: candidates for each, best first. Runs of single letters are one word."""
+    return seen[ends] > seen[starts]
+
+
+def _windows(token: str) -> list[str]:
+    return [token[j : j + WIDEST] for j in range(0, max(1, len(token) - WIDEST // 2), WIDEST // 2)]
+
+
+def readings(token: str) -> list[tuple[str, bool]]:
+    """What to decode for a disguised word of any length: (string, whether a marked word may be a part of it only)."""
+    token = _FILLED.sub(r"\1", _DRAWN.sub(r"\1\1\1", token))
+    out: dict[tuple[str, bool], None] = {}
+
+    def read(piece: str) -> None:
+        for t in (piece.strip(_STRIP), piece.strip(_SOFT)):
+            if len(t) > 2 and _ODD.search(t) and _LETTERS.search(t):
+                for w in [t] if len(t) <= WIDEST else _windows(t):
+                    out[w, len(t) > WIDEST] = None
+
+    if len(token) <= WIDEST:
+        read(token)
+    for glue in _GLUE:
+        pieces = [p for p in glue.split(token) if p]
+        if len(pieces) == 1 and len(token) <= WIDEST:
+            continue
+        singles = ""
+        for p in [*pieces, "  "]:
+            if len(p) == 1:
+                singles += p
+                continue
+            if len(singles) > 2:
+                out.update(((w, True), None) for w in _windows(singles))
+            singles = ""
+            read(p)
+    return list(out)
+
+
+def restored(text: pa.Array, decoder) -> list[list[list[tuple[str, ...]]]]:
+    """Per text, its disguised words restored: for each the candidates of its readings, best first. Runs of single letters are one word.
+
+    Candidates that begin with a zero byte may hold a word as a part; others are the word.
+    """
     body, offsets = raw(text)
     body = lower_ascii(body)
     starts, ends, rows = words(body, offsets)
-    out: list[list[tuple[str, ...]]] = [[] for _ in range(len(text))]
+    out: list[list[list[tuple[str, ...]]]] = [[] for _ in range(len(text))]
     data = body.tobytes()
     for i in np.flatnonzero(_disguised(body, starts, ends)).tolist():
-        token = data[starts[i] : ends[i]].decode("utf-8", "ignore").strip(_STRIP)
-        if 2 < len(token) <= WIDEST:
-            out[rows[i]].append(decoder(token))
+        token = data[starts[i] : ends[i]].decode("utf-8", "ignore")
+        plain = token.strip(_STRIP)  # counted without being restored
+        found = [("\0", *decoder(t)) if part else tuple(c for c in decoder(t) if c != plain) for t, part in readings(token)]
+        out[rows[i]].append([f for f in found if f])
     single = (ends - starts == 1) & (_LETTER[body[starts]] | _STRONG[body[starts]])
     edge = np.flatnonzero(np.diff(np.concatenate([[False], single, [False]]).astype(np.int8)))
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
@@ -125,7 +190,7 @@ def restored(text: pa.Array, decoder) -> list[list[tuple[str, ...]]]:
             for j in range(0, len(k) if len(k) >= 3 else 0, WIDEST // 2):  # windows overlap by half
                 spaced = "".join(chr(body[starts[m]]) for m in k[j : j + WIDEST])
                 if len(spaced) >= 3:
-                    out[row].append(("\0", *decoder(spaced)))
+                    out[row].append([("\0", *decoder(spaced))])
     return out
 
 
@@ -175,12 +240,12 @@ class Scorer:
         order = np.argsort(h)
         self.known, self.names = h[order], [names[i] for i in order]
         self.values = np.array([model.weights[n] for n in self.names])
-        self.decoder = lru_cache(100_000)(lambda t: tuple(decode(t, model.channel)))
+        self.decoder = lru_cache(100_000)(lambda t: tuple(decode(t, model.channel)[:4]))
 
     def restored_hit(self, candidates: tuple[str, ...]) -> str | None:
         if candidates and candidates[0] == "\0":
             return next((n for c in candidates[1:2] for n in self.names if len(n) >= 4 and n in c), None)
-        return next((c for c in candidates[:4] if c in self.model.weights), None)
+        return next((c for c in candidates if c in self.model.weights), None)
 
     def features(self, text: pa.Array) -> np.ndarray:
         """Per text: summed weight of distinct marked words, largest weight, number of hits (log), hits per word (log)."""
@@ -198,8 +263,8 @@ class Scorer:
                 per.setdefault(r, []).append(k)
             index = {m: i for i, m in enumerate(self.names)}
             for r, found in enumerate(restored(text, self.decoder)):
-                for name in map(self.restored_hit, found):
-                    if name is not None:
+                for word in found:  # a word counts once for all its readings
+                    for name in {self.restored_hit(f) for f in word} - {None}:
                         per.setdefault(r, []).append(index[name])
             count = np.bincount(rows, minlength=n)
             for r, ks in per.items():
@@ -223,11 +288,11 @@ def _marked(rows: DataFrame, channel: Channel, most: int, least_docs: int) -> di
     """Words of restored texts that tell toxic rows apart: log-odds for those far beyond chance, `most` of them."""
 
     def run(batches):
-        decoder = lru_cache(100_000)(lambda t: tuple(decode(t, channel)))
+        decoder = lru_cache(100_000)(lambda t: tuple(decode(t, channel)[:4]))
         for batch in batches:
             text = batch.column("text")
             for t, found, y in zip(text.to_pylist(), restored(text, decoder), batch.column("y").to_pylist()):
-                seen = set(re.findall(r"[^\W\d_]{2,40}", t.lower())) | {f[0] for f in found if f and f[0] != "\0"}
+                seen = set(re.findall(r"[^\W\d_]{2,40}", t.lower())) | {f[0] for word in found for f in word if f[0] != "\0"}
                 yield pa.RecordBatch.from_arrays([pa.array(sorted(seen), pa.string()), pa.array([y] * len(seen), pa.int32())], ["word", "y"])
 
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()

@@ -233,6 +233,22 @@ def test_toxicity_sees_through_disguise(spark, none):
     assert toxicity.scored(none, labels).count() == 0
 
 
+def test_toxicity_restores_disguises_of_any_length_and_place(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choices("aeiourstnl", k=rng.randint(3, 8)))
+    rows = [(i, " ".join([word() for _ in range(30)] + ([rng.choice(["idiot", "scumbag", "stupid"])] if i % 5 == 0 else []))) for i in range(900)]
+    labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(900)], "doc_id long, quality int, toxic int")
+    hidden = ["stu" + "u" * 45 + "pid", "s" + "*" * 30 + "tup" + "._" * 20 + "id", "$tupid", "!diot", "stup!d", "ïdiot", "st\u00fcpid", "nose-1d10t_tree", "tree/1d10t", "a/" + "ruse/lane-" * 12 + "1d10t/" + "sole_" * 9, "x/s-c-u-m-b-a-g/rose"]
+    rows += [(1000 + k, " ".join([word() for _ in range(20)] + [h] + [word() for _ in range(20)])) for k, h in enumerate(hidden)]
+    rows += [(1100, "nose-1001_tree/" * 40), (1101, "(rose tree! 1+1 +one"), (1102, "zq0" * 5000)]
+    got = collected(toxicity.scored(spark.createDataFrame(rows, "doc_id long, text string"), labels))
+    assert [h for k, h in enumerate(hidden) if not got[1000 + k]["predicted"]] == []
+    assert not any(got[i]["predicted"] for i in (1100, 1101, 1102))
+    channel = toxicity.Channel.of(np.zeros((27, 27, 27)), ["idiot"] * 50, 1.0)
+    (found,) = toxicity.restored(pa.array(["an idio+ and !diot"]), lambda t: tuple(toxicity.decode(t, channel)))
+    assert [any("idiot" in f for f in w) for w in found] == [True, True]
+
+
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 
 
