@@ -3,7 +3,8 @@
 Three fixed patterns give the base spans. The method adds spans of its own: candidate
 strings are scanned by a sliding window, per character class, whose letter counts and
 entropy sum are updated as one character enters and one leaves; a candidate whose most
-mixed window reaches the class's limit is a secret, unless an allow-list pattern fits it.
+mixed window reaches the class's limit is a secret. Parts that fit the allow-list are taken out
+first and what is left is judged, so a secret glued to a placeholder is still found, whole.
 
 Offsets count code points, ends are exclusive. A pattern's matches and the pieces between
 them give the offsets: both are arrays, and their lengths add up.
@@ -35,8 +36,11 @@ CLASSES = (
     (r"^[0-9a-fA-F]+$", "0123456789abcdef", 3.0),
     (r"^[A-Za-z0-9+/_=-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.7),
 )
-#: Strings that look random but are no secrets: words without digits, digits alone, counting and alphabet runs, placeholders, one sign repeated.
-ALLOWED = r"^[^0-9]+$|^[^A-Za-z]+$|(?i:example|sample|placeholder|dummy|xxxxx)|0123456789|abcdefgh|^sha(1|256|384|512)-|(.)\2{9}"
+#: Parts that look random but are no secrets, taken out of a candidate: placeholders, counting and alphabet runs, one sign repeated, a digest that names its method.
+_DIGESTS = "|".join(f"{bits}-(?:[0-9a-fA-F]{{{h}}}(?![A-Za-z0-9+/])|[A-Za-z0-9+/]{{{b}}})" for bits, h, b in ((1, 40, 27), (256, 64, 43), (384, 96, 64), (512, 128, 86)))
+ALLOWED = rf"^sha(?:{_DIGESTS})={{0,2}}|(?i:example|sample|placeholder|dummy|x{{5,}})|0123456789|abcdefgh|(.)\1{{9,}}"
+#: What is left is no secret where it has no digit or no letter.
+PLAIN = r"^[^0-9]*$|^[^A-Za-z]*$"
 
 
 def spans(text: Column, pattern: str) -> Column:
@@ -78,12 +82,16 @@ def best_entropy(text: Column, alphabet: str) -> Column:
 
 
 def is_secret(text: Column) -> Column:
-    """Entropy reaches the limit of the first class that the candidate belongs to, and no allow-list pattern fits."""
-    verdict = F.lit(False)
-    for whole, alphabet, least in reversed(CLASSES):
-        scanned = F.lower(text) if alphabet.islower() or alphabet[:10].isdigit() else text
-        verdict = F.when(text.rlike(whole), best_entropy(scanned, alphabet) >= least).otherwise(verdict)
-    return F.when(text.rlike(ALLOWED), F.lit(False)).otherwise(verdict)
+    """Without its allowed parts, the candidate reaches the entropy limit of the first class that it then belongs to."""
+
+    def judged(left: Column) -> Column:
+        verdict = F.lit(False)
+        for whole, alphabet, least in reversed(CLASSES):
+            scanned = F.lower(left) if alphabet.islower() or alphabet[:10].isdigit() else left
+            verdict = F.when(left.rlike(whole), best_entropy(scanned, alphabet) >= least).otherwise(verdict)
+        return F.when((F.length(left) < WINDOW) | left.rlike(PLAIN), F.lit(False)).otherwise(verdict)
+
+    return F.exists(F.array(F.regexp_replace(text, ALLOWED, "")), judged)  # computed once
 
 
 def found(docs: DataFrame, *keep: str) -> DataFrame:

@@ -280,6 +280,19 @@ def test_secret_spans(spark, none):
     assert secrets.scanned(none).count() == 0
 
 
+def test_allowed_parts_hide_no_secret(spark):
+    key = "9fK2xQ7LmZ0vTb4RcY8wHnE1sUgJ5aPd"
+    digest = "sha256-47DEQpj8HBSa+/TImW+5JCeuQeRkm5NMpJWZG3hSuFU="
+    secret = [f"docs/example/{key}", f"{key}_sample", f"{key[:16]}dummy{key[16:]}", f"{key}{'A' * 12}{key}", f"0123456789-{key}", f"abcdefgh/{key}", f"xxxxxxx-{key}", f"{digest}/{key}"]
+    clean = ["docs/example/placeholder/sample", "0123456789abcdefghijklmnop", digest, "sha256-" + hashlib.sha256(b"x").hexdigest().upper(), "xxxxxxxxxxxxxxxxxxxxxxxx", "A1" + "q" * 40, "example-example-example-1"]
+    df = spark.createDataFrame(list(enumerate(f"see {t} here" for t in secret + clean)), "doc_id long, text string")
+    got = collected(secrets.scanned(df))
+    want = [f"entropy:4:{4 + len(t)}" for t in secret] + [""] * len(clean)
+    assert [got[i]["spans"] for i in range(len(want))] == want
+    out = collected(secrets.redacted(df))
+    assert [out[i]["text"] for i in range(len(secret))] == ["see [SECRET] here"] * len(secret)
+
+
 def test_incremental_entropy_is_the_entropy(spark):
     rng = random.Random(2)
     many = ["".join(rng.choices("abcdef0123456789", k=rng.randint(20, 60))) for _ in range(30)]
