@@ -2,12 +2,13 @@
 
 Base rules look at one text. The method hashes normalised lines (lower case, white
 space collapsed), counts the distinct documents of a host (`source`) that hold each,
-takes lines above the limit out, and rejects documents that too little is left of. The limit
-is a count and a share of the host's documents, so it means the same at every size.
+takes lines above the limit out, and rejects documents that too little is left of. A line is above the
+limit when more than 20 distinct doc_ids and more than 0.1 % of the host's rows hold it: the
+count decides on hosts of up to 20,000 rows, the share on larger ones.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null host is a
-host of its own; each row is a document, and rows that repeat a doc_id share the words that
-frequent lines take; empty tables give empty results.
+host of its own; rows that repeat a doc_id count once towards a line's limit and share the words
+that frequent lines take; rows without a doc_id don't count towards it; empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -64,10 +65,13 @@ def judged(docs: DataFrame, least_words: int = 20, repeat_percent: int = 30, lim
     # a line counts once for a document; all its words there go
     seen = base.select(host.alias("source"), F.explode(F.array_distinct(hashes)).alias("line")).groupBy("source", "line").agg(F.count("*").alias("n")).where(F.col("n") > limit_docs)
     hosts = docs.select(F.coalesce(docs["source"].cast("string"), F.lit("\0")).alias("source")).groupBy("source").agg(F.count("*").alias("docs"))
-    frequent = seen.join(hosts, "source").where(F.col("n") > F.col("docs") * limit_share).select("source", "line")
+    enough = F.col("n") > F.col("docs") * limit_share
+    many = seen.join(hosts, "source").where(enough).select("source", "line", "docs")  # by rows, never fewer than documents
     lined = F.transform("lines", lambda x: F.struct(F.xxhash64(normal(x)).alias("line"), F.size(F.split(F.trim(x, F.lit(BLANKS)), _GAP)).alias("w")))
     own = base.select("doc_id", host.alias("source"), F.explode(lined).alias("l")).select("doc_id", "source", "l.line", "l.w")
-    taken = own.join(frequent, ["source", "line"], "left_semi").groupBy("doc_id").agg(F.sum("w").alias("n_line_words"))
+    held = own.join(many, ["source", "line"]).groupBy("source", "line", "docs", "doc_id").agg(F.sum("w").alias("w"))
+    frequent = held.where("doc_id IS NOT NULL").groupBy("source", "line", "docs").agg(F.count("*").alias("n")).where((F.col("n") > limit_docs) & enough).select("source", "line")
+    taken = held.join(frequent, ["source", "line"], "left_semi").groupBy("doc_id").agg(F.sum("w").alias("n_line_words"))
     out = base.drop("lines", "source").join(taken, "doc_id", "left").withColumn("n_line_words", F.least("n_words", F.coalesce("n_line_words", F.lit(0))).cast("long"))
     out = out.withColumn("base_failed", (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > repeat_percent * F.col("n_words")))
     left = F.col("n_words") - F.col("n_line_words")

@@ -330,6 +330,14 @@ def test_frequent_lines_deplete_a_document(spark):
     assert got[100]["kept"] and got[101]["kept"] and got[1]["n_line_words"] == 30
 
 
+def test_repeats_of_one_document_make_no_line_frequent(spark):
+    line = " ".join(f"w{k}" for k in range(30))
+    rows = [(1, line, "a")] * 40 + [(None, line, "a")] * 5 + [(i, line, "b") for i in range(100, 121)]
+    got = collected(rules.judged(spark.createDataFrame(rows, "doc_id long, text string, source string")))
+    assert (got[1]["n_line_words"], got[1]["kept"]) == (0, True)
+    assert (got[100]["n_line_words"], got[100]["kept"]) == (30, False)
+
+
 def test_decontamination_finds_reordered_passages(spark, none):
     rng = random.Random(9)
     word = lambda: "".join(rng.choices("abcdefgh", k=5))
