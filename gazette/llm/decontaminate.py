@@ -111,7 +111,7 @@ def _against(docs: DataFrame, block: Block, threshold: float) -> DataFrame:
             for r, item, found in block.matches(h, rows):
                 covered, size = sum(n for _, _, n in found), int(block.sizes[item])
                 if covered >= threshold * size:
-                    out.append((int(ids[r]), block.ids[item], len(found), covered, size))
+                    out.append((ids[r].as_py(), block.ids[item], len(found), covered, size))
             columns = list(zip(*out)) or [(), (), (), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "n_tiles", "covered", "item_words"])
 

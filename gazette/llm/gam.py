@@ -162,7 +162,7 @@ def featured(docs: DataFrame) -> DataFrame:
     def run(batches):
         for ids, text in chunks(batches):
             x = features(text)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))], ["doc_id", "x"])
+            yield pa.RecordBatch.from_arrays([ids, pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))], ["doc_id", "x"])
 
     return texts(docs).mapInArrow(run, "doc_id long, x array<double>")
 
@@ -181,7 +181,7 @@ def scored(docs: DataFrame, labels: DataFrame, column: str = "quality", threshol
 
     def run(batches):
         for ids, text in chunks(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(model.score(features(text)))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(model.score(features(text)))], ["doc_id", "score"])
 
     out = texts(docs).mapInArrow(run, "doc_id long, score double")
     return out.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

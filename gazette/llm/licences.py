@@ -165,7 +165,7 @@ def scanned(docs: DataFrame, templates: tuple = TEMPLATES, common: float = 0.05,
             labels = [",".join(sorted(own[r] | set(more.get(r, ())))) for r in range(n)]
             score = [max([1.0 if own[r] else 0.0, *more.get(r, {}).values()]) for r in range(n)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(counts, pa.int64()), pa.array(places), pa.array(firsts, mask=firsts < 0), pa.array(lasts, mask=lasts < 0), pa.array([",".join(sorted(o)) for o in own], pa.string()), pa.array(labels, pa.string()), pa.array(score, pa.float64())],
+                [ids, pa.array(counts, pa.int64()), pa.array(places), pa.array(firsts, mask=firsts < 0), pa.array(lasts, mask=lasts < 0), pa.array([",".join(sorted(o)) for o in own], pa.string()), pa.array(labels, pa.string()), pa.array(score, pa.float64())],
                 ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
             )
 

@@ -94,7 +94,7 @@ def _segments(docs: DataFrame, unit: Unit, bits: np.ndarray | None = None) -> Da
                 on = in_bits(anchor, shared.value)
                 row, first, many, anchor, whole = row[on], first[on], many[on], anchor[on], whole[on]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[row], pa.int64()), pa.array(first.astype(np.int32)), pa.array(many.astype(np.int32)), pa.array(anchor), pa.array(whole.view(np.int64))],
+                [ids.take(pa.array(row)), pa.array(first.astype(np.int32)), pa.array(many.astype(np.int32)), pa.array(anchor), pa.array(whole.view(np.int64))],
                 ["doc_id", "at", "m", "anchor", "segment"],
             )
 
@@ -108,9 +108,10 @@ def _bodies(docs: DataFrame, wanted: DataFrame, unit: Unit, shards: int) -> Data
     def run(batches):
         for part in batches:
             rows = np.arange(part.num_rows)
-            for ids, text in chunks([pa.RecordBatch.from_arrays([pa.array(rows), part.column("text")], ["doc_id", "text"])]):
+            for at_row, text in chunks([pa.RecordBatch.from_arrays([pa.array(rows), part.column("text")], ["doc_id", "text"])]):
                 body, offsets = raw(text)
                 _, bounds, starts, ends = unit.tokens(body, offsets)
+                ids = at_row.to_numpy()
                 want = part.column("want").slice(int(ids[0]), len(ids))
                 sizes = pc.list_value_length(want).to_numpy(zero_copy_only=False)
                 flat = want.flatten()

@@ -338,7 +338,7 @@ def scored(docs: DataFrame, labels: DataFrame, column: str = "toxic", threshold:
         scorer = Scorer(model)
         for ids, text in chunks(batches):
             z = model.coefficients[0] + scorer.features(text) @ model.coefficients[1:]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["doc_id", "score"])
 
     out = texts(docs).mapInArrow(run, "doc_id long, score double")
     return out.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
