@@ -31,11 +31,8 @@ KINDS = ("assign", "access", "hex", "entropy")
 #: A candidate: a run of 20 or more characters of encoded data.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
-#: Character classes: (whole candidate, alphabet, least entropy in bits of its most mixed window).
-CLASSES = (
-    (r"^[0-9a-fA-F]+$", "0123456789abcdef", 3.0),
-    (r"^[A-Za-z0-9+/_=-]+$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", 3.7),
-)
+#: Character classes: (whole candidate, whether case is folded, least entropy in bits of its most mixed window).
+CLASSES = ((r"^[0-9a-fA-F]+$", True, 3.0), (r"^[A-Za-z0-9+/_=-]+$", False, 3.7))
 #: Parts that look random but are no secrets, taken out of a candidate: placeholders, counting and alphabet runs, one sign repeated, a digest that names its method.
 _DIGESTS = "|".join(f"{bits}-(?:[0-9a-fA-F]{{{h}}}(?![A-Za-z0-9+/])|[A-Za-z0-9+/]{{{b}}})" for bits, h, b in ((1, 40, 27), (256, 64, 43), (384, 96, 64), (512, 128, 86)))
 ALLOWED = rf"^sha(?:{_DIGESTS})={{0,2}}|(?i:example|sample|placeholder|dummy|x{{5,}})|0123456789|abcdefgh|(.)\1{{9,}}"
@@ -43,42 +40,68 @@ ALLOWED = rf"^sha(?:{_DIGESTS})={{0,2}}|(?i:example|sample|placeholder|dummy|x{{
 PLAIN = r"^[^0-9]*$|^[^A-Za-z]*$"
 
 
+_BLOCK = 128
+
+
+def running(values: Column, zero: Column, join) -> Column:
+    """array of join(values[0], ..., values[i]) for each i. An array grows by copying, so it is done in blocks: cost n * _BLOCK + (n / _BLOCK)^2, not n^2."""
+    none = F.slice(F.array(zero), 1, 0)
+    many = lambda x: F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / _BLOCK).cast("int")), lambda k: F.slice(x, k * _BLOCK + 1, F.lit(_BLOCK)))
+
+    def alone(block: Column, first: Column) -> Column:
+        step = lambda acc, v: F.struct(join(acc["at"], v).alias("at"), F.array_append(acc["out"], join(acc["at"], v)).alias("out"))
+        return F.aggregate(block, F.struct(first.alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+
+    def whole(x: Column) -> Column:
+        blocks = F.transform(many(x), lambda block: F.struct(block.alias("v"), F.aggregate(block, zero, join).alias("all")))
+        return _let(blocks, lambda bs: _let(alone(F.transform(bs, lambda b: b["all"]), zero), lambda sums: F.flatten(F.transform(bs, lambda b, k: alone(b["v"], F.when(k > 0, F.get(sums, k - 1)).otherwise(zero))))))
+
+    return _let(values, lambda x: F.when(F.size(x) == 0, none).otherwise(whole(x)))
+
+
+def _let(value: Column, use) -> Column:
+    """use(value) with value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def spans(text: Column, pattern: str) -> Column:
     """array<struct<s, e, t>> of the leftmost matches that don't overlap; null where there is none."""
     found, between = F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
     both = F.struct(found.alias("m"), between.alias("p"))
 
     def place(x: Column) -> Column:
-        empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int,t:string>>").alias("out"))
+        lengths = F.transform(x["m"], lambda m, i: F.length(F.get(x["p"], i)) + F.length(m))
+        return _let(running(lengths, F.lit(0), lambda a, v: a + v), lambda ends: F.transform(x["m"], lambda m, i: F.struct((F.get(ends, i) - F.length(m)).alias("s"), F.get(ends, i).alias("e"), m.alias("t"))))
+
+    return F.when(text.rlike(pattern), _let(both, place))
 
-        def add(acc: Column, i: Column) -> Column:
-            s = acc["at"] + F.length(F.get(x["p"], i))
-            e = s + F.length(F.get(x["m"], i))
-            return F.struct(e.alias("at"), F.array_append(acc["out"], F.struct(s.alias("s"), e.alias("e"), F.get(x["m"], i).alias("t"))).alias("out"))
 
-        return F.aggregate(F.sequence(F.lit(0), F.size(x["m"]) - 1), empty, add, lambda acc: acc["out"])
+#: c * log2(c) for the numbers that a window can hold of one character.
+_WEIGHTS = [c * math.log2(c) if c else 0.0 for c in range(WINDOW + 1)]
 
-    placed = F.get(F.transform(F.array(both), place), F.lit(0))
-    return F.when(text.rlike(pattern), placed)
 
+def best_entropy(text: Column) -> Column:
+    """The largest entropy of a window: the sum of c * log2(c) changes by the counts of the character that enters and of the one that leaves.
 
-def best_entropy(text: Column, alphabet: str) -> Column:
-    """The largest entropy of a window: counts and the sum of c * log2(c) change by the character that enters and the one that leaves."""
-    slots = F.array_repeat(F.lit(0), len(alphabet) + 1)
-    start = F.struct(slots.alias("n"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
-    weight = lambda c: F.when(c > 0, c * F.log2(F.greatest(c, F.lit(1)).cast("double"))).otherwise(F.lit(0.0))
-    slot = lambda i: F.instr(F.lit(alphabet), F.substring(text, i, F.lit(1)))  # noqa: E731  0 for a sign of another class
+    The candidate is split once. A character enters with the number of its equals among the
+    WINDOW - 1 before it, and leaves with that among those after it, so a step costs the same
+    at any place of a candidate of any length.
+    """
+    weight = lambda c: F.get(F.array(*map(F.lit, _WEIGHTS)), c)
+    near = lambda c, x, start, n: F.size(F.filter(F.slice(c, start, n), lambda y: y == x))
 
-    def step(acc: Column, i: Column) -> Column:
-        enters = slot(i)
-        leaves = F.when(i > WINDOW, slot(i - WINDOW)).otherwise(F.lit(-1))
-        was, left = F.get(acc["n"], enters), F.coalesce(F.get(acc["n"], F.when(leaves >= 0, leaves)), F.lit(0))
-        same = enters == leaves
-        total = acc["sum"] + F.when(same, F.lit(0.0)).otherwise(weight(was + 1) - weight(was) + F.when(leaves >= 0, weight(left - 1) - weight(left)).otherwise(F.lit(0.0)))
-        counts = F.when(same, acc["n"]).otherwise(F.transform(acc["n"], lambda v, k: v + (k == enters).cast("int") - (k == leaves).cast("int")))
-        return F.struct(counts.alias("n"), total.alias("sum"), F.when(i >= WINDOW, F.greatest(acc["best"], F.lit(math.log2(WINDOW)) - total / WINDOW)).otherwise(acc["best"]).alias("best"))
+    def scan(c: Column) -> Column:
+        before = F.transform(c, lambda x, i: near(c, x, F.greatest(i - WINDOW + 2, F.lit(1)), F.least(i, F.lit(WINDOW - 1))))
+        after = F.transform(c, lambda x, i: near(c, x, i + 2, F.lit(WINDOW - 1)))
+        return _let(F.struct(before.alias("b"), after.alias("a")), lambda n: F.aggregate(F.sequence(F.lit(0), F.size(c) - 1), F.struct(F.lit(0.0).alias("sum"), F.lit(0.0).alias("best")), lambda acc, i: step(n, acc, i), lambda acc: acc["best"]))
 
-    return F.aggregate(F.sequence(F.lit(1), F.length(text)), start, step, lambda acc: acc["best"])
+    def step(n: Column, acc: Column, i: Column) -> Column:
+        enters, leaves = F.get(n["b"], i), F.get(n["a"], i - WINDOW)
+        total = acc["sum"] + weight(enters + 1) - weight(enters) + F.when(i >= WINDOW, weight(leaves) - weight(leaves + 1)).otherwise(F.lit(0.0))
+        best = F.when(i >= WINDOW - 1, F.greatest(acc["best"], F.lit(math.log2(WINDOW)) - total / WINDOW)).otherwise(acc["best"])
+        return F.struct(total.alias("sum"), best.alias("best"))
+
+    return _let(F.split(text, ""), scan)
 
 
 def is_secret(text: Column) -> Column:
@@ -86,9 +109,8 @@ def is_secret(text: Column) -> Column:
 
     def judged(left: Column) -> Column:
         verdict = F.lit(False)
-        for whole, alphabet, least in reversed(CLASSES):
-            scanned = F.lower(left) if alphabet.islower() or alphabet[:10].isdigit() else left
-            verdict = F.when(left.rlike(whole), best_entropy(scanned, alphabet) >= least).otherwise(verdict)
+        for whole, fold, least in reversed(CLASSES):
+            verdict = F.when(left.rlike(whole), best_entropy(F.lower(left) if fold else left) >= least).otherwise(verdict)
         return F.when((F.length(left) < WINDOW) | left.rlike(PLAIN), F.lit(False)).otherwise(verdict)
 
     return F.exists(F.array(F.regexp_replace(text, ALLOWED, "")), judged)  # computed once
@@ -101,8 +123,11 @@ def found(docs: DataFrame, *keep: str) -> DataFrame:
     df = df.select(*keep, "text", spans(df["text"], ASSIGN).alias("assign"), spans(df["text"], ACCESS).alias("access"), spans(df["text"], HEX).alias("hex"), spans(df["text"], CANDIDATE).alias("candidates"))
     df = df.withColumn("assign", F.filter("assign", lambda x: F.length(F.regexp_extract(x["t"], ASSIGN, 2)) >= 6))
     df = df.select(*keep, "text", *(F.coalesce(c, none).alias(c) for c in ("assign", "access", "hex", "candidates")))
-    base = F.concat("assign", "access", "hex")
-    outside = F.filter("candidates", lambda x: ~F.exists(base, lambda b: (b["s"] <= x["s"]) & (x["e"] <= b["e"])) & is_secret(x["t"]))
+    # a candidate inside a base span isn't judged: of the base spans that start at or before it, the furthest end decides
+    ranked = F.array_sort(F.concat(F.transform(F.concat("assign", "access", "hex"), lambda x: F.struct(x["s"].alias("s"), F.lit(0).alias("own"), x["e"].alias("e"), F.lit("").alias("t"))), F.transform("candidates", lambda x: F.struct(x["s"].alias("s"), F.lit(1).alias("own"), x["e"].alias("e"), x["t"].alias("t")))))
+    reach = lambda r: running(F.transform(r, lambda x: F.when(x["own"] == 0, x["e"]).otherwise(F.lit(0))), F.lit(0), lambda a, v: F.greatest(a, v))
+    outside = _let(ranked, lambda r: _let(reach(r), lambda far: F.filter(r, lambda x, i: (x["own"] == 1) & (F.get(far, i) < x["e"]) & is_secret(x["t"]))))
+    outside = F.transform(outside, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["t"].alias("t")))
     return df.select(*keep, "text", "assign", "access", "hex", F.when(F.size("candidates") > 0, outside).otherwise(none).alias("entropy"))
 
 
@@ -120,17 +145,30 @@ def scanned(docs: DataFrame) -> DataFrame:
     return found(texts(docs), "doc_id").select("doc_id", *counts, F.sha2(listed(KINDS[:3]), 256).alias("base_sha256"), listed(KINDS).alias("spans"))
 
 
+_PAGE = 4096
+
+
+def _cut(pages: Column, start: Column, end: Column) -> Column:
+    """The code points start to end - 1 of a text given as pages: only the pages that they touch are read."""
+    first = F.floor(start / _PAGE).cast("int")
+    touched = F.slice(pages, first + 1, F.greatest(F.ceil(end / _PAGE).cast("int") - first, F.lit(0)))
+    inside = lambda page, k: F.substring(page, F.greatest(start - (first + k) * _PAGE, F.lit(0)) + 1, F.least(end - F.greatest(start, (first + k) * _PAGE), F.lit(_PAGE)))
+    return F.array_join(F.transform(touched, inside), "")
+
+
 def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     """docs with each secret in text replaced by the mark (spans that overlap are one); other columns stay, n_chars follows the text."""
     every = F.array_sort(F.concat(*(F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in KINDS)))
 
-    def step(acc: Column, x: Column) -> Column:
-        before = F.substring(F.col("text"), acc["at"] + 1, F.greatest(x["s"] - acc["at"], F.lit(0)))
-        out = F.when(x["s"] >= acc["at"], F.concat(acc["out"], before, F.lit(mark))).otherwise(acc["out"])
-        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), out.alias("out"))
+    def cleaned(all_: Column) -> Column:
+        far = running(F.transform(all_["spans"], lambda x: x["e"]), F.lit(0), lambda a, v: F.greatest(a, v))
+        opens = lambda x, end: F.struct((x["s"] >= end).alias("new"), end.alias("s"), x["s"].alias("e"))
+        gaps = lambda f: F.filter(F.transform(all_["spans"], lambda x, i: opens(x, F.coalesce(F.get(f, i - 1), F.lit(0)))), lambda g: g["new"])
+        parts = lambda f: F.concat(F.transform(gaps(f), lambda g: F.concat(_cut(all_["pages"], g["s"], g["e"]), F.lit(mark))), F.array(_cut(all_["pages"], F.element_at(f, -1), F.length("text"))))
+        return _let(far, lambda f: F.array_join(parts(f), ""))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    clean = F.aggregate(every, start, step, lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.length("text"))))
+    pages = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{_PAGE}}}"), F.lit(0))
+    clean = _let(F.struct(every.alias("spans"), pages.alias("pages")), cleaned)
     rest = [c for c in docs.columns if c != "text"]
     whole = docs.select(F.struct(*rest).alias("rest"), F.col("text").cast("string").alias("text")) if rest else docs
     out = found(whole, "rest").withColumn("text", F.when(F.size(every) > 0, clean).otherwise(F.col("text")))
