@@ -9,18 +9,20 @@ window belongs to exactly one segment.
    repeat and go no further.
 2. Equal segments are one from there on, with their number and their first place.
 3. Where an anchor has several different segments, one copy of each goes, with its tokens,
-   to a shard chosen by the anchor. A shard's index finds the windows that repeat. An anchor
-   with more than `crowd` segments sends every window on its own, to a shard chosen by the
-   window, so no group grows with the corpus.
-4. The windows found become intervals of tokens, gathered by document.
+   to a shard chosen by the anchor. A shard's index finds the windows that repeat.
+4. An anchor with more than `crowd` different segments doesn't go to one shard: it stands in a
+   passage that many documents hold, with different texts around it. There each window is
+   counted by a 128-bit hash, pre-aggregated like equal segments, and no body is sent. So no
+   shard holds more than its share and `crowd` segments, however common a passage is.
+5. The windows found become intervals of tokens, gathered by document.
 
 No text is compared with all others; what is shuffled are hashes, the different segments of
-shared anchors, and each text twice.
+shared anchors, and each text twice. Rows without a doc_id are compared with nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +34,10 @@ from pyspark.sql import functions as F
 from .common import chunks, drop_written, held, id_bits, in_bits, mix, ragged, raw, released, span_hashes, texts, words, written
 
 
+#: Tasks of the index stage at most; with more shards, a task takes several, one after the other.
+MOST_PARTS = 20_000
+
+
 @dataclass(frozen=True)
 class Unit:
     """What a token is. values: bytes -> (token values, their rows, byte starts, byte ends)."""
@@ -101,75 +107,83 @@ def _segments(docs: DataFrame, unit: Unit, bits: np.ndarray | None = None) -> Da
     return docs.mapInArrow(run, "doc_id long, at int, m int, anchor long, segment long")
 
 
-def _bodies(docs: DataFrame, wanted: DataFrame, unit: Unit, shards: int) -> DataFrame:
-    """The bytes of the wanted segments: shard, doc_id, at, m, copies, body. Crowded ones come window by window."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("at", "m", "copies", "anchor", "crowded")).alias("want"))
+def _wanted(docs: DataFrame, kinds: DataFrame) -> DataFrame:
+    """The documents that hold the first places of some segments, with the list of these."""
+    lists = kinds.groupBy("doc_id").agg(F.collect_list(F.struct("at", "m", "copies", "anchor")).alias("want"))
+    return held(docs, id_bits(lists)).join(lists, "doc_id").select("doc_id", "text", "want")
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], unit: Unit):
+    """Chunk by chunk: the bytes, token values, their bounds and byte places, and the wanted segments as arrays (row in the chunk, doc, at, m, copies, anchor)."""
+    for part in batches:
+        for at_row, text in chunks([pa.RecordBatch.from_arrays([pa.array(np.arange(part.num_rows)), part.column("text")], ["doc_id", "text"])]):
+            body, offsets = raw(text)
+            values, bounds, starts, ends = unit.tokens(body, offsets)
+            ids = at_row.to_numpy()
+            want = part.column("want").slice(int(ids[0]), len(ids))
+            flat = want.flatten()
+            row = np.repeat(np.arange(len(ids)), pc.list_value_length(want).to_numpy(zero_copy_only=False))
+            field = [flat.field(name).to_numpy(zero_copy_only=False) for name in ("at", "m", "copies", "anchor")]
+            yield body, values, bounds, starts, ends, row, part.column("doc_id").to_numpy()[ids[row]], *field
+
+
+def _bodies(docs: DataFrame, kinds: DataFrame, unit: Unit, shards: int) -> DataFrame:
+    """The bytes of some segments: shard, doc_id, at, m, copies, body."""
+
+    def run(batches):
+        for body, _, bounds, starts, ends, row, doc, at, m, copies, anchor in _pieces(batches, unit):
+            first = bounds[row] + at
+            last = first + m + unit.width - 1
+            if unit.by_words:
+                first, last = starts[first], ends[last - 1]
+            pieces, edges = ragged(body, first, last - first)
+            bodies = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(pieces))])
+            shard = mix(anchor.view(np.uint64).copy()) % np.uint64(shards)
+            yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), pa.array(doc), pa.array(at, pa.int32()), pa.array(m, pa.int32()), pa.array(copies, pa.int64()), bodies], ["shard", "doc_id", "at", "m", "copies", "body"])
+
+    return _wanted(docs, kinds).mapInArrow(run, "shard int, doc_id long, at int, m int, copies long, body binary")
+
+
+def _windows(docs: DataFrame, kinds: DataFrame, unit: Unit) -> DataFrame:
+    """Every window of some segments: two hashes, doc_id and at."""
 
     def run(batches):
-        for part in batches:
-            rows = np.arange(part.num_rows)
-            for at_row, text in chunks([pa.RecordBatch.from_arrays([pa.array(rows), part.column("text")], ["doc_id", "text"])]):
-                body, offsets = raw(text)
-                _, bounds, starts, ends = unit.tokens(body, offsets)
-                ids = at_row.to_numpy()
-                want = part.column("want").slice(int(ids[0]), len(ids))
-                sizes = pc.list_value_length(want).to_numpy(zero_copy_only=False)
-                flat = want.flatten()
-                field = lambda name: flat.field(name).to_numpy(zero_copy_only=False)
-                row, at, m, copies, key = np.repeat(np.arange(len(ids)), sizes), field("at").astype(np.int64), field("m").astype(np.int64), field("copies"), field("anchor").view(np.uint64)
-                crowded = field("crowded").astype(bool)
-                times = np.where(crowded, m, 1)
-                step = ragged(np.arange(int(times.max(initial=0))), np.zeros(len(times), np.int64), times)[0]
-                row, copies, key, crowded = (np.repeat(x, times) for x in (row, copies, key, crowded))
-                at, m = np.repeat(at, times) + step, np.where(crowded, 1, np.repeat(m, times))
-                first = bounds[row] + at
-                last = first + m + unit.width - 1
-                if unit.by_words:
-                    first, last = starts[first], ends[last - 1]
-                pieces, edges = ragged(body, first, last - first)
-                if crowded.any():
-                    key = np.where(crowded, span_hashes(pieces, edges[:-1], edges[1:]) if not unit.by_words else _word_keys(pieces, edges), key)
-                doc = part.column("doc_id").to_numpy(zero_copy_only=False)[ids[row]]
-                bodies = pa.Array.from_buffers(pa.binary(), len(row), [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(pieces))])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array((mix(key.copy()) % np.uint64(shards)).astype(np.int32)), pa.array(doc, pa.int64()), pa.array(at.astype(np.int32)), pa.array(m.astype(np.int32)), pa.array(copies, pa.int64()), bodies],
-                    ["shard", "doc_id", "at", "m", "copies", "body"],
-                )
-
-    rows = held(docs, id_bits(lists)).join(lists, "doc_id").select("doc_id", "text", "want")
-    return rows.mapInArrow(run, "shard int, doc_id long, at int, m int, copies long, body binary")
-
-
-def _word_keys(pieces: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """Hashes of the words of each piece, whatever white space is between them."""
-    starts, ends, rows = words(pieces, edges)
-    bounds = np.searchsorted(rows, np.arange(len(edges)))
-    return span_hashes(span_hashes(pieces, starts, ends), bounds[:-1], bounds[1:])
-
-
-def repeated(docs: DataFrame, unit: Unit, search: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], keep_first: bool, per_shard: int = 20_000, crowd: int = 20_000) -> DataFrame:
+        for _, values, bounds, _, _, row, doc, at, m, _, _ in _pieces(batches, unit):
+            m = m.astype(np.int64)
+            step = ragged(np.arange(int(m.max(initial=0))), np.zeros(len(m), np.int64), m)[0]
+            at = np.repeat(at, m) + step
+            first = np.repeat(bounds[row], m) + at
+            hashes = [span_hashes(v, first, first + unit.width).view(np.int64) for v in (values, mix(values.astype(np.uint64)))]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, hashes), pa.array(np.repeat(doc, m)), pa.array(at.astype(np.int32))], ["h1", "h2", "doc_id", "at"])
+
+    return _wanted(docs, kinds).mapInArrow(run, "h1 long, h2 long, doc_id long, at int")
+
+
+def repeated(docs: DataFrame, unit: Unit, search: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], keep_first: bool, per_shard: int = 4_000, crowd: int = 1_000) -> DataFrame:
     """doc_id and spans, an array of (a, b): the tokens a to b - 1 are covered by windows that repeat.
 
     keep_first: the first place (by doc_id, then start) of a window isn't reported. search gets a
     shard (doc_id, at, m, copies, body) and returns the row and window number of what it found.
     """
-    docs = texts(docs)
-    found = _segments(docs, unit)
-    anchors = found.groupBy("anchor").agg(F.count("*").alias("c"), F.min("segment").alias("lo"), F.max("segment").alias("hi")).where("c > 1")
-    anchors = anchors.select("anchor", (F.col("lo") != F.col("hi")).alias("differ"), (F.col("c") > crowd).alias("crowded"))
-    anchors = written(anchors, "anchors")
+    docs = texts(docs).where(F.col("doc_id").isNotNull())
+    later = F.struct("doc_id", "at") != F.struct("first.doc_id", "first.at")
+    anchors = written(_segments(docs, unit).groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"), "anchors")
     shared = written(_segments(docs, unit, id_bits(anchors, "anchor")).join(anchors, "anchor"), "shared")
     released(docs.sparkSession)
-    kinds = shared.groupBy("anchor", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at")).alias("first"), F.first("m").alias("m"), F.first("differ").alias("differ"), F.first("crowded").alias("crowded"))
+    kinds = shared.groupBy("anchor", "segment").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "at")).alias("first"), F.first("m").alias("m"))
     kinds = written(kinds, "kinds")
     many = kinds.where("copies > 1").select("anchor", "segment", "first")
     whole = shared.join(many, ["anchor", "segment"])
     if keep_first:
-        whole = whole.where((F.col("doc_id") != F.col("first.doc_id")) | (F.col("at") != F.col("first.at")))
+        whole = whole.where(later)
     whole = whole.select("doc_id", F.col("at").alias("a"), (F.col("at") + F.col("m") + unit.width - 1).alias("b"))
 
-    wanted = kinds.where("differ").select("first.doc_id", "first.at", "m", "copies", "anchor", "crowded")
-    shards = max(1, -(-wanted.count() // per_shard))
+    several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    wanted = kinds.join(several, "anchor").select("first.doc_id", "first.at", "m", "copies", "anchor", (F.col("kinds") > crowd).alias("crowded"))
+    wanted = written(wanted, "wanted")
+    counts = wanted.groupBy("crowded").count().collect()
+    number = {r["crowded"]: r["count"] for r in counts}
+    shards = max(1, -(-number.get(False, 0) // per_shard))
 
     def index(shard: pa.Table) -> pa.Table:
         row, window = search(shard)
@@ -180,11 +194,22 @@ def repeated(docs: DataFrame, unit: Unit, search: Callable[[pa.Table], tuple[np.
         a = shard.column("at").to_numpy()[row[start]] + window[start]
         return pa.table({"doc_id": shard.column("doc_id").to_numpy()[row[start]], "a": a.astype(np.int32), "b": (a + sizes + unit.width - 1).astype(np.int32)})
 
-    bodies = _bodies(docs, wanted, unit, shards)
-    inside = written(bodies.repartition(shards, "shard").groupBy("shard").applyInArrow(index, "doc_id long, a int, b int"), "inside")
+    bodies = _bodies(docs, wanted.where("NOT crowded"), unit, shards)
+    parts = min(shards, MOST_PARTS)  # shards are dealt out by number, so none of two meet by chance while another task has none
+    dealt = bodies.withColumn("part", F.col("shard") % parts).repartitionById(parts, F.col("part")).groupBy("part", "shard")
+    inside = written(dealt.applyInArrow(index, "doc_id long, a int, b int"), "inside")
     released(docs.sparkSession)
-    spans = written(whole.unionByName(inside).groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
-    for t in (anchors, shared, kinds, inside):
+    found = whole.unionByName(inside)
+    windows = None
+    if number.get(True):
+        windows = written(_windows(docs, wanted.where("crowded"), unit), "windows")
+        often = windows.groupBy("h1", "h2").agg(F.count("*").alias("c"), F.min(F.struct("doc_id", "at")).alias("first")).where("c > 1").drop("c")
+        places = windows.join(often, ["h1", "h2"])
+        if keep_first:
+            places = places.where(later)
+        found = found.unionByName(places.select("doc_id", F.col("at").alias("a"), (F.col("at") + unit.width).alias("b")))
+    spans = written(found.groupBy("doc_id").agg(F.collect_list(F.struct("a", "b")).alias("spans")), "spans")
+    for t in (anchors, shared, kinds, wanted, inside, *([windows] if windows is not None else [])):
         drop_written(t)
     released(docs.sparkSession)
     return spans

@@ -64,17 +64,25 @@ def ordered(text: np.ndarray, starts: np.ndarray, depth: int, bucket: int = 200_
         to = max(at + 1, int(np.searchsorted(edges, edges[at] + bucket, side="right")) - 1)
         part = starts[by_lead[edges[at] : edges[to]]]
         at = to
-        _, group = np.unique(_packed(text, part, V), return_inverse=True)
-        group = group.astype(np.int64) << 32
-        less = np.zeros(len(part), np.int64)
-        classes = [np.flatnonzero(part % V == c) for c in range(V)]
+        key = _packed(text, part, V)
+        order = np.argsort(key, kind="stable")
+        part, key = part[order], key[order]
+        head = np.concatenate([[True], np.diff(key) != 0])
+        tied = np.flatnonzero(~head | ~np.append(head[1:], True))  # the others have their place already
+        group = np.cumsum(head)[tied] << 32
+        tie = part[tied]
+        less = np.zeros(len(tie), np.int64)
+        classes = [np.flatnonzero(tie % V == c) for c in range(V)]
+        ranked: dict[tuple[int, int], np.ndarray] = {}
         for a in range(V):
             for b in range(V):
                 if len(classes[a]) and len(classes[b]):
-                    step = STEP[a, b]
-                    theirs = np.sort(group[classes[b]] | rank[part[classes[b]] + step])
-                    less[classes[a]] += np.searchsorted(theirs, group[classes[a]] | rank[part[classes[a]] + step])
-        yield part[np.argsort(less)]
+                    step = int(STEP[a, b])
+                    if (b, step) not in ranked:
+                        ranked[b, step] = np.sort(group[classes[b]] | rank[tie[classes[b]] + step])
+                    less[classes[a]] += np.searchsorted(ranked[b, step], group[classes[a]] | rank[tie[classes[a]] + step])
+        part[tied] = tie[np.argsort(less)]
+        yield part
 
 
 def search(shard: pa.Table) -> tuple[np.ndarray, np.ndarray]:
