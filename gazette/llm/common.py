@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into numpy arrays at a time (one longer document is a chunk of its own).
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -182,11 +182,12 @@ def _slots(ids: np.ndarray) -> np.ndarray:
 def id_bits(rows: DataFrame, column: str = "doc_id") -> np.ndarray:
     """A bit map of hashed values, of fixed size. With very many values it fills up and thins out less; it never loses one.
 
-    Spark's bitmap aggregate builds it: at most 1,024 pages of 4 KB leave a task, and as many reach the driver.
+    Values are dealt out by page, so that each of the 1,024 pages of 4 KB is built once, by Spark's bitmap aggregate.
     """
     v = F.col(column)
     slot = v.bitwiseXOR(F.shiftright(v, 25)).bitwiseXOR(F.shiftright(v, 50)).bitwiseAND(F.lit(ID_BITS - 1))
-    pages = rows.where(v.isNotNull()).select(F.shiftright(slot, 15).alias("page"), slot.bitwiseAND(F.lit(_PAGE - 1)).alias("at")).groupBy("page").agg(F.bitmap_construct_agg("at").alias("bits")).toArrow()
+    places = rows.where(v.isNotNull()).select(F.shiftright(slot, 15).alias("page"), slot.bitwiseAND(F.lit(_PAGE - 1)).alias("at"))
+    pages = places.repartition("page").groupBy("page").agg(F.bitmap_construct_agg("at").alias("bits")).toArrow()
     out = np.zeros((ID_BITS // _PAGE, _PAGE // 8), np.uint8)
     for page, bits in zip(pages["page"].to_pylist(), pages["bits"].to_pylist()):
         out[page] = np.frombuffer(bits, np.uint8)

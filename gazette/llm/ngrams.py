@@ -72,7 +72,7 @@ def shingle_sets(text: pa.Array, k: int) -> list[np.ndarray]:
     return out
 
 
-def hot_shingles(docs: DataFrame, k: int, hot_most: int, per_task: int = 1 << 22, least: int = 3) -> np.ndarray:
+def hot_shingles(docs: DataFrame, k: int, hot_most: int, per_task: int = 1 << 21, least: int = 3) -> np.ndarray:
     """The most frequent shingles, the rarest of them first. Each task counts its own and sends those it saw often; all documents count."""
 
     def counted(held: list[np.ndarray]):
@@ -169,17 +169,40 @@ def _chosen_texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, *_text_order(part.column("text"))], ["doc_id", "text", "size", "h"])
 
     may = texts(docs).where(F.col("doc_id").isNotNull()).mapInArrow(run, "doc_id long, text string, size long, h long")
-    return may.join(needed, "doc_id", "left_semi").groupBy("doc_id").agg(F.max_by("text", F.struct("size", "h")).alias("text"))
+    return may.join(needed, ["doc_id", "size", "h"], "left_semi").select("doc_id", "text")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that link: first by the suffix filter, then by the exact intersection."""
-    side = lambda x: sets.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
+@dataclass
+class Prepared:
+    """What both the join and the components start from; close() removes the tables."""
+
+    every: DataFrame  # doc_id, size, h, n, k1, k2 of every document that has an id
+    repeats: bool  # whether a doc_id stands in several rows
+    unnamed: DataFrame  # n of every row without one
+    classes: DataFrame  # n, k1, k2 and the smallest doc_id (first) of each distinct set
+    firsts: DataFrame  # doc_id, n, bits of the classes' first documents
+    shared: DataFrame  # token, doc_id, n, i, s: prefix shingles that two classes or more hold
+    tables: list[DataFrame]
+
+    def close(self) -> None:
+        for t in self.tables:
+            drop_written(t)
+
+
+def _near_pairs(pairs: DataFrame, firsts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that pass the suffix filter."""
+    side = lambda x: firsts.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
     apart = F.aggregate(F.zip_with("bitsa", "bitsb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-    near = pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= _most_apart(F.col("na"), F.col("nb"), percent))
-    near = written(near.select("a", "b"), "near")
-    needed = near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct()
-    text = written(_chosen_texts(docs, needed), "texts")
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(apart <= _most_apart(F.col("na"), F.col("nb"), percent)).select("a", "b")
+
+
+def _verified(near: DataFrame, p: Prepared, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, by the exact intersection."""
+    ends = near.select(F.col("a").alias("doc_id")).union(near.select(F.col("b").alias("doc_id"))).distinct()
+    text = _chosen_texts(docs, p.every.join(ends, "doc_id", "left_semi").select("doc_id", "size", "h"))
+    if p.repeats:
+        text = text.dropDuplicates(["doc_id"])  # equal rows
+    text = written(text, "texts")
     one = lambda x: text.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"))
 
     def run(batches):
@@ -195,40 +218,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, k: int, percen
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     out = written(near.join(one("a"), "a").join(one("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long"), "links")
-    drop_written(near)
     drop_written(text)
     return out
 
 
-@dataclass
-class Prepared:
-    """What both the join and the components start from; close() removes the tables."""
-
-    every: DataFrame  # doc_id, n, k1, k2 of every document that has an id
-    unnamed: DataFrame  # n of every row without one
-    classes: DataFrame  # n, k1, k2 and the smallest doc_id (first) of each distinct set
-    firsts: DataFrame  # doc_id, n, bits of the classes' first documents
-    shared: DataFrame  # token, doc_id, n, i, s: prefix shingles that two classes or more hold
-    tables: list[DataFrame]
-
-    def close(self) -> None:
-        for t in self.tables:
-            drop_written(t)
-
-
 def prepared(docs: DataFrame, k: int, percent: int, hot_most: int) -> Prepared:
     sets = written(prefixes(docs, hot_shingles(docs, k, hot_most), k, percent), "sets")
-    every = sets.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.struct("size", "h", "n", "k1", "k2")).alias("s")).select("doc_id", "s.n", "s.k1", "s.k2")
+    every = written(sets.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.struct("size", "h", "n", "k1", "k2")).alias("s"), F.count("*").alias("c")).select("doc_id", "s.*", "c"), "every")
     classes = every.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("first"))
+    repeats = not every.where("c > 1").isEmpty()
+    once = lambda df, *key: df.dropDuplicates(list(key)) if repeats else df
     firsts = sets.join(classes.select(F.col("first").alias("doc_id"), "n", "k1", "k2"), ["doc_id", "n", "k1", "k2"], "left_semi")
 
     tokens = firsts.select("doc_id", "n", F.posexplode("prefix").alias("i", "token"))
     twice = tokens.groupBy("token").agg(F.count("*").alias("c")).where("c > 1").select("token")
     known = written(tokens.join(twice, "token"), "tokens")
     before = F.row_number().over(Window.partitionBy("doc_id").orderBy("i", "token")) - 1
-    shared = written(known.dropDuplicates(["doc_id", "token"]).withColumn("s", before), "shared")
+    shared = written(once(known, "doc_id", "token").withColumn("s", before), "shared")
     drop_written(known)
-    return Prepared(every, sets.where("doc_id IS NULL").select("n"), classes, firsts.select("doc_id", "n", "bits").dropDuplicates(["doc_id"]), shared, [sets, shared])
+    return Prepared(every, repeats, sets.where("doc_id IS NULL").select("n"), classes, once(firsts.select("doc_id", "n", "bits"), "doc_id"), shared, [sets, every, shared])
 
 
 #: Longs of the suffix filter's folded form.
@@ -257,8 +265,9 @@ def links(docs: DataFrame, k: int = K, percent: int = PERCENT, hot_most: int = 1
     p = prepared(docs, k, percent, hot_most)
     rows = written(_folded(p.shared, p.firsts), "folded")
     a, b = _side(rows, "a"), _side(rows, "b")
-    pairs = written(a.join(b, (F.col("ta") == F.col("tb")) & (F.col("a") < F.col("b")) & _near(percent)).select("a", "b").distinct(), "pairs")
-    out = _verified(pairs, p.firsts, docs, k, percent)
+    pairs = a.join(b, (F.col("ta") == F.col("tb")) & (F.col("a") < F.col("b")) & _near(percent)).select("a", "b").distinct()
+    pairs = written(_near_pairs(pairs, p.firsts, percent), "pairs")
+    out = _verified(pairs, p, docs, k, percent)
     members = written(p.every.join(p.classes, ["n", "k1", "k2"], "left").select("doc_id", F.coalesce("first", "doc_id").alias("class")), "members")
     drop_written(rows)
     drop_written(pairs)
@@ -275,7 +284,8 @@ def joined(docs: DataFrame, k: int = K, percent: int = PERCENT, hot_most: int =
     released(spark)
     pairs = shared.join(hubs, "token").where(F.col("doc_id") != F.col("hub.doc_id")).where(_may_link(F.col("n"), F.col("i"), F.col("s"), F.col("hub.n"), F.col("hub.i"), F.col("hub.s"), percent)).select(F.least("doc_id", "hub.doc_id").alias("a"), F.greatest("doc_id", "hub.doc_id").alias("b"))
     pairs = written(pairs.distinct(), "pairs")
-    found = _verified(pairs, p.firsts, docs, k, percent)
+    near = written(_near_pairs(pairs, p.firsts, percent), "near")
+    found = _verified(near, p, docs, k, percent)
     released(spark)
     groups = components(found)
 
@@ -288,10 +298,10 @@ def joined(docs: DataFrame, k: int = K, percent: int = PERCENT, hot_most: int =
     apart = (F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
     rest = minor.join(other, (F.col("ta") == F.col("tb")) & apart & _near(percent)).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     rest = written(rest.join(pairs, ["a", "b"], "left_anti"), "rest")
-    more = _verified(rest, p.firsts, docs, k, percent)
+    more = _verified(rest, p, docs, k, percent)
     released(spark)
     linked = components(found.unionByName(more)) if not more.isEmpty() else groups
-    for t in (open_, rest, pairs):
+    for t in (open_, rest, pairs, near):
         drop_written(t)
 
     of_class = p.classes.join(linked.select(F.col("node").alias("first"), "component"), "first", "left").select("n", "k1", "k2", F.coalesce("component", "first").alias("component_id"))
