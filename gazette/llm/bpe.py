@@ -3,9 +3,12 @@
 A *piece* is one run of the tokenizer's split pattern, as byte symbols, the last one with
 the end-of-word mark. The merge list fixes how far to the right of a token the input can
 still change it (`lookahead`). The transducer keeps a window of symbols, merges it, and
-emits each token that ends at least that far before the window's end; so a piece of any
-length is encoded with constant memory. Decoding feeds tokens to a state machine that
-holds back the bytes of an unfinished character.
+emits each token that ends at least that far before the window's end, and the rest once the
+piece has ended. A text is read in slices of bounded length, cut where neither the
+normalisation nor a piece is touched, or inside a piece that then goes on streaming; so neither
+a long text nor a long piece takes more memory. What the transducer gave for a run without white
+space is kept for the next one like it, in a cache of bounded size. Decoding feeds ids, block by
+block, to a state machine that holds back the bytes of an unfinished character.
 
 Defined cases: null and empty texts have no tokens and decode to the empty text; texts
 of white space alone likewise; the strings of special tokens become those tokens.
@@ -15,18 +18,18 @@ from __future__ import annotations
 
 import codecs
 import hashlib
+import heapq
 import json
-import sys
-from array import array
+import struct
+import unicodedata
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
-import unicodedata
 from pyspark.sql import DataFrame
 
-from .common import chunks, ragged, span_hashes, texts
+from .common import texts
 
 #: White space as the tokenizer's normaliser sees it. Python's own str.split() also splits at these controls:
 _CONTROLS = regex.compile("[\x1c-\x1f]")
@@ -63,59 +66,36 @@ def lookahead(merges: list[tuple[str, str]], width) -> int:
     return most
 
 
-#: Bytes of the longest piece that is merged in a grid with others; a longer one is streamed.
-GRID = 64
-#: The pattern's endings after an apostrophe, in its order.
-ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
-BLANK, LETTER, NUMERAL, OTHER = range(4)
-_kinds: list[np.ndarray] = []
-
-
-def kinds() -> np.ndarray:
-    """The class of each code point in the split pattern."""
-    if not _kinds:
-        every = "".join(chr(c) if not 0xD800 <= c < 0xE000 else "\0" for c in range(0x110000))
-        out = np.full(0x110000, OTHER, np.uint8)
-        for pattern, kind in ((r"\p{L}+", LETTER), (r"\p{N}+", NUMERAL), (r"\p{White_Space}+", BLANK)):
-            for m in regex.finditer(pattern, every):
-                out[m.start() : m.end()] = kind
-        _kinds.append(out)
-    return _kinds[0]
-
-
-class PairTable:
-    """Ranks of token pairs, looked up for whole arrays: an open-addressing table that is at most a quarter full."""
-
-    def __init__(self, pairs: np.ndarray, made: np.ndarray):
-        self.none, self.made = len(pairs), np.append(made, -1)
-        bits = max(4, int(np.ceil(np.log2(max(1, len(pairs)) * 4))))
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.ranks = np.full(1 << bits, -1, np.int64), np.full(1 << bits, self.none, np.int32)
-        left, keys = np.arange(len(pairs)), pairs[:, 0] << 32 | pairs[:, 1]
-        at = self._slot(keys)
-        while len(left):
-            free = self.keys[at] < 0
-            self.keys[at[free]] = keys[left[free]]
-            won = self.keys[at] == keys[left]
-            self.ranks[at[won]] = left[won]
-            left, at = left[~won], (at[~won] + 1) & self.mask
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
-
-    def rank(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        shape = a.shape
-        keys = (a.astype(np.int64) << 32 | (b.astype(np.int64) & 0xFFFFFFFF)).ravel()
-        out = np.full(keys.shape, self.none, np.int32)
-        left = np.flatnonzero((a.ravel() >= 0) & (b.ravel() >= 0))
-        at = self._slot(keys[left])
-        while len(left):
-            there = self.keys[at]
-            hit = there == keys[left]
-            out[left[hit]] = self.ranks[at[hit]]
-            on = ~hit & (there >= 0)
-            left, at = left[on], (at[on] + 1) & self.mask
-        return out.reshape(shape)
+#: Characters that are read at a time.
+SLICE = 1 << 16
+
+
+def _may_cut(c: str) -> bool:
+    """Whether a text may be cut before this character: it never composes with what stands before it."""
+    return unicodedata.category(c)[0] != "M" and not "\u1160" <= c <= "\u11ff"
+
+
+def _coded(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit integers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class Decoder:
+    """Ids in, text out, block by block; bytes wait until they end a character."""
+
+    def __init__(self, pieces: list[bytes], between: bytes):
+        self.pieces, self.between, self.started = pieces, between, False
+        self.state = codecs.getincrementaldecoder("utf-8")("replace")
+
+    def feed(self, ids: list[int]) -> str:
+        body = self.between.join(map(self.pieces.__getitem__, ids))
+        if ids and self.started:
+            body = self.between + body
+        self.started |= bool(ids)
+        return self.state.decode(body)
+
+    def end(self) -> str:
+        return self.state.decode(b"", True)
 
 
 class Transducer:
@@ -128,55 +108,83 @@ class Transducer:
         self.end = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = dict(model["vocab"])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.names = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in model["merges"]]
-        self.ranks = {m: i for i, m in enumerate(merges)}
-        self.joined = [a + b for a, b in merges]
-        self.lookahead = lookahead(merges, lambda t: len(t.removesuffix(self.end)) if self.end else len(t))
+        self.ranks = {self.ids[a] << 32 | self.ids[b]: i for i, (a, b) in enumerate(merges)}
+        self.made = [self.ids[a + b] for a, b in merges]
+        self.widths = {i: self.width(t) for t, i in self.ids.items()}
+        self.lookahead = lookahead(merges, self.width)
         self.window = 4 * self.lookahead
-        self.symbols = byte_symbols()
+        symbols = byte_symbols()
+        self.plain, self.last = [self.ids[s] for s in symbols], [self.ids[s + self.end] for s in symbols]
         self.split = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.marks = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
-        self.chunks: list[dict[str, tuple[bytes, str]]] = [{}, {}]
-        self.pieces: list[dict[str, list[str]]] = [{}, {}]
+        self.runs: list[dict[str, bytes]] = [{}, {}]
+        self.pieces: list[dict[str, list[int]]] = [{}, {}]
         self.cache_size = cache
-        self.pairs = PairTable(np.array([[self.ids[a], self.ids[b]] for a, b in merges], np.int64).reshape(-1, 2), np.array([self.ids[j] for j in self.joined], np.int32))
-        self.plain_ids = np.array([self.ids[s] for s in self.symbols], np.int32)
-        self.last_ids = np.array([self.ids[s + self.end] for s in self.symbols], np.int32)
-        known = [(self.names.get(i, "") + " ").encode("utf-8") for i in range(max(self.names) + 1)]
-        self.name_bytes = np.frombuffer(b"".join(known), np.uint8)
-        self.name_at = np.concatenate([[0], np.cumsum([len(x) for x in known])])
-        self.native = sys.byteorder == "little" and array("I").itemsize == 4
+        back = {s: b for b, s in enumerate(symbols)}
+        names = {i: t for t, i in [*self.ids.items(), *self.special.items()]}
+        self.told = [names.get(i, "").encode("utf-8") for i in range(max(names) + 1)]
+        self.readable = [b""] * len(self.told)
+        for t, i in self.ids.items():
+            word = bool(self.end) and t.endswith(self.end)
+            self.readable[i] = bytes(back[c] for c in (t.removesuffix(self.end) if word else t) if c in back) + b" " * word
+        for t, i in self.special.items():
+            self.readable[i] = t.encode("utf-8")
+
+    def width(self, token: str) -> int:
+        return len(token.removesuffix(self.end)) if self.end else len(token)
 
     # encoding
 
-    def merged(self, parts: list[str]) -> list[str]:
-        """All merges inside one window: the earliest listed pair first, the leftmost of equals."""
-        get, joined = self.ranks.get, self.joined
-        none = len(joined)
-        ranks = [get(p, none) for p in zip(parts, parts[1:])]
+    def merged(self, ids: list[int]) -> list[int]:
+        """All merges inside one window of token ids: the earliest listed pair first, the leftmost of equals."""
+        if len(ids) > 64:
+            return self._merged_long(ids)
+        get, made = self.ranks.get, self.made
+        none = len(made)
+        ranks = [get(a << 32 | b, none) for a, b in zip(ids, ids[1:])]
         while ranks:
             best = min(ranks)
             if best == none:
                 break
             i = ranks.index(best)
-            parts[i : i + 2] = [joined[best]]
+            ids[i : i + 2] = [made[best]]
             del ranks[i]
             if i:
-                ranks[i - 1] = get((parts[i - 1], parts[i]), none)
+                ranks[i - 1] = get(ids[i - 1] << 32 | ids[i], none)
             if i < len(ranks):
-                ranks[i] = get((parts[i], parts[i + 1]), none)
-        return parts
-
-    def stream(self, symbols: Iterable[str]) -> Iterator[str]:
+                ranks[i] = get(ids[i] << 32 | ids[i + 1], none)
+        return ids
+
+    def _merged_long(self, ids: list[int]) -> list[int]:
+        """The same with a heap and linked neighbours, for windows of many symbols."""
+        get, made, n = self.ranks.get, self.made, len(ids)
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, k) for i, k in enumerate(a << 32 | b for a, b in zip(ids, ids[1:])) if (r := get(k)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            rank, i, key = heapq.heappop(heap)
+            j = after[i]
+            if j >= n or ids[i] < 0 or ids[i] << 32 | ids[j] != key:  # one of the two is gone or has grown
+                continue
+            ids[i], ids[j] = made[rank], -1
+            after[i] = after[j]
+            if after[j] < n:
+                before[after[j]] = i
+            for a, b in ((before[i], i), (i, after[i])):
+                if a >= 0 and b < n and (r := get(k := ids[a] << 32 | ids[b])) is not None:
+                    heapq.heappush(heap, (r, a, k))
+        return [t for t in ids if t >= 0]
+
+    def stream(self, symbols: Iterable[int]) -> Iterator[int]:
         """Tokens of one piece, each as soon as nothing further right can change it."""
-        window: list[str] = []
+        window: list[int] = []
         for s in symbols:
             window.append(s)
             if len(window) >= self.window:
                 done = 0
                 for token in self.merged(window.copy()):
-                    size = len(token.removesuffix(self.end)) if self.end else len(token)
+                    size = self.widths[token]
                     if done + size + self.lookahead > len(window):
                         break
                     done += size
@@ -184,11 +192,15 @@ class Transducer:
                 window = window[done:]
         yield from self.merged(window)
 
-    def piece(self, piece: str) -> list[str]:
-        body = piece.encode("utf-8")
-        symbols = [self.symbols[b] for b in body]
-        symbols[-1] += self.end
-        return self.merged(symbols) if len(symbols) < self.window else list(self.stream(symbols))
+    def marked(self, parts: Iterable[str]) -> Iterator[int]:
+        """The byte symbols of a piece given in parts; the last one carries the end-of-word mark."""
+        held = None
+        for part in parts:
+            for b in part.encode("utf-8"):
+                if held is not None:
+                    yield self.plain[held]
+                held = b
+        yield self.last[held]
 
     def kept(self, cache: list[dict], key: str, value):
         """Keep a short key. What is kept is bounded: a full generation becomes the older one, which goes in its turn."""
@@ -199,173 +211,140 @@ class Transducer:
             cache[0][key] = value
         return value
 
-    def chunk(self, chunk: str, split: list[str] | None = None) -> tuple[bytes, str]:
-        """Ids (little-endian, 32 bits) and tokens of a run without white space. Pieces never cross white space."""
-        found = self.chunks[1].get(chunk)
+    def piece(self, piece: str) -> list[int]:
+        found = self.pieces[0].get(piece)
         if found is None:
-            tokens: list[str] = []
-            for p in self.split.findall(chunk.replace("Σ", "σ").lower()) if split is None else split:
-                tokens += self.pieces[0].get(p) or self.kept(self.pieces, p, self.pieces[1].get(p) or self.piece(p))
-            ids = self.ids
-            found = array("I", [ids[t] for t in tokens]).tobytes() if self.native else np.array([ids[t] for t in tokens], "<u4").tobytes(), " ".join(tokens)
-        return self.kept(self.chunks, chunk, found)
-
-    def batch(self, many: list[str]) -> list[tuple[int, str, str]]:
-        """digest() of some texts at once: pieces are cut, made distinct, merged and put together again as arrays.
-
-        Texts with special tokens or with a piece beyond the width of a grid go through the streaming path.
-        """
-        out: list[tuple[int, str, str] | None] = [None] * len(many)
-        plain, rows = [], []
-        for i, t in enumerate(many):
-            if "<|" in t and self.marks and self.marks.search(t):
-                out[i] = self.digest(t)
-            else:
-                plain.append(t.lower() if t.isascii() else unicodedata.normalize("NFC", t).replace("Σ", "σ").lower())
-                rows.append(i)
-        points = np.frombuffer("".join(plain).encode("utf-32-le"), np.uint32)
-        edges = np.concatenate([[0], np.cumsum([len(t) for t in plain])]).astype(np.int64)
-        starts, ends = self._cut(points, edges)
-        doc = np.searchsorted(edges, starts, side="right") - 1
-        width = np.ones(len(points), np.int64)
-        for least in (0x80, 0x800, 0x10000):
-            width += points >= least
-        at = np.concatenate([[0], np.cumsum(width)])
-        body = np.frombuffer("".join(plain).encode("utf-8"), np.uint8)
-        first, last = at[starts], at[ends]
-        wide = np.unique(doc[last - first > GRID])
-        hashes = span_hashes(body, first, last)
-        _, where, which = np.unique(hashes, return_index=True, return_inverse=True)
-        short = np.flatnonzero(last[where] - first[where] <= GRID)
-        order = short[np.argsort((last - first)[where[short]], kind="stable")]
-        counts = np.zeros(len(where), np.int64)
-        flat = []
-        for k in range(0, len(order), 8192):
-            part = order[k : k + 8192]
-            grid, n = self._side_by_side(body, first[where[part]], last[where[part]])
-            counts[part] = n
-            flat.append(grid[grid >= 0])
-        pool = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-        place = np.zeros(len(where), np.int64)
-        place[order] = np.cumsum(counts[order]) - counts[order]
-        ids, at_piece = ragged(pool, place[which], counts[which])
-        at_doc = at_piece[np.searchsorted(doc, np.arange(len(plain) + 1))]
-        told, at_token = ragged(self.name_bytes, self.name_at[ids], self.name_at[ids + 1] - self.name_at[ids])
-        coded = ids.astype("<u4")
-        ends_at = at_token[at_doc]
-        for k, i in enumerate(rows):
-            n = int(at_doc[k + 1] - at_doc[k])
-            out[i] = n, hashlib.sha256(coded[at_doc[k] : at_doc[k + 1]]).hexdigest(), hashlib.sha256(told[ends_at[k] : max(ends_at[k], ends_at[k + 1] - 1)]).hexdigest()
-        for k in wide.tolist():
-            out[rows[k]] = self.digest(many[rows[k]])
-        return out
-
-    def _cut(self, points: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Starts and ends of the pieces: runs of letters, single numerals, runs of other signs, and the listed endings."""
-        kind = kinds()[points]
-        new = np.ones(len(points) + 1, bool)
-        new[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == NUMERAL)
-        new[edges] = True
-        quote = np.flatnonzero((points == 0x27) & new[:-1])
-        quote = quote[new[quote + 1] & ~np.isin(quote + 1, edges)]
-        reach = np.zeros(len(quote), np.int64)
-        tail = np.append(points, [0, 0, 0]).astype(np.uint32)
-        inside = ~np.isin(quote + 2, edges)
-        for e in ENDINGS:
-            hit = tail[quote + 1] == ord(e[0])
-            if len(e) == 2:
-                hit = hit & inside & (tail[quote + 2] == ord(e[1]))
-            reach = np.where((reach == 0) & hit, len(e), reach)
-        taken = quote[reach > 0]
-        new[taken + 1] = False
-        new[taken + 1 + reach[reach > 0]] = True
-        cuts = np.flatnonzero(new)
-        keep = kind[cuts[:-1]] != BLANK
-        return cuts[:-1][keep], cuts[1:][keep]
-
-    def _side_by_side(self, body: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Token ids of short pieces of like length: every round merges the best pair of each piece that has one."""
-        sizes = last - first
-        wide = int(sizes.max())
-        grid = body[np.minimum(first[:, None] + np.arange(wide), len(body) - 1)]
-        ids = self.plain_ids[grid]
-        rows = np.arange(len(sizes))
-        ids[rows, sizes - 1] = self.last_ids[grid[rows, sizes - 1]]
-        column = np.arange(wide + 1)
-        ids = np.concatenate([np.where(column[:wide] < sizes[:, None], ids, -1), np.full((len(sizes), 1), -1, np.int32)], 1)
-        none = self.pairs.none
-        ranks = self.pairs.rank(ids[:, :-1], ids[:, 1:])
-        live = rows
-        while len(live):
-            now = ranks[live]
-            at = now.argmin(1)
-            best = now[np.arange(len(live)), at]
-            going = best < none
-            live, at, best = live[going], at[going], best[going]
-            if not len(live):
-                break
-            shift = np.minimum(column[None, :] + (column[None, :] > at[:, None]), wide)
-            moved = np.take_along_axis(ids[live], shift, 1)
-            k = np.arange(len(live))
-            moved[k, at] = self.pairs.made[best]
-            again = column[None, :wide] + (column[None, :wide] >= at[:, None])
-            held = np.take_along_axis(np.concatenate([ranks[live], np.full((len(live), 1), none, ranks.dtype)], 1), again, 1)
-            before = np.maximum(at - 1, 0)
-            held[k, before] = np.where(at > 0, self.pairs.rank(moved[k, before], moved[k, before + 1]), held[k, before])
-            held[k, at] = self.pairs.rank(moved[k, at], moved[k, np.minimum(at + 1, wide)])
-            ids[live], ranks[live] = moved, held
-        return ids, (ids >= 0).sum(1)
-
-    def runs(self, text: str) -> Iterator[list[tuple[bytes, str]]]:
-        """Blocks of (ids, tokens), one for each run without white space and each special token, in order."""
+            found = self.pieces[1].get(piece)
+            if found is None:
+                body = piece.encode("utf-8")
+                symbols = [self.plain[b] for b in body]
+                symbols[-1] = self.last[body[-1]]
+                found = self.merged(symbols) if len(symbols) < self.window else list(self.stream(symbols))  # a short piece ends before the first token is stable
+            self.kept(self.pieces, piece, found)
+        return found
+
+    def normal(self, text: str) -> str:
+        return (text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")).lower()
+
+    def run(self, run: str) -> bytes:
+        """Ids (little-endian, 32 bits) of a run without white space. Pieces never cross white space."""
+        found = self.runs[1].get(run)
+        if found is None:
+            found = _coded([i for p in self.split.findall(self.normal(run)) for i in self.piece(p)])
+        return self.kept(self.runs, run, found)
+
+    def blocks(self, text: str) -> Iterator[bytes]:
+        """The ids of a text, block by block."""
         at = 0
         for m in self.marks.finditer(text) if self.marks and "<|" in text else ():
-            yield from self._plain(text[at : m.start()])
-            yield [(np.array([self.special[m[0]]], "<u4").tobytes(), m[0])]
+            yield from self._plain(text, at, m.start())
+            yield _coded([self.special[m[0]]])
             at = m.end()
-        yield from self._plain(text[at:] if at else text)
-
-    def _plain(self, text: str) -> Iterator[list[tuple[bytes, str]]]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        pieces = [p for p in _SPACE.split(text) if p] if _CONTROLS.search(text) else text.split()
-        get, chunk = self.chunks[0].get, self.chunk
-        for at in range(0, len(pieces), 4096):
-            yield [get(p) or chunk(p) for p in pieces[at : at + 4096]]
+        yield from self._plain(text, at, len(text))
+
+    def _plain(self, text: str, at: int, stop: int) -> Iterator[bytes]:
+        get, run = self.runs[0].get, self.run
+        while at < stop:
+            to = min(at + SLICE, stop)
+            if to < stop:
+                cut = max(text.rfind(" ", at + 1, to), text.rfind("\n", at + 1, to))
+                if cut < 0:  # a run of more than a slice, from here or from the last white space that isn't a blank or a new line
+                    found = list(_SPACE.finditer(text, at + 1, to))
+                    cut = found[-1].start() if found else -1
+                if cut < 0:
+                    end = _SPACE.search(text, at + 1, stop)
+                    to = end.start() if end else stop
+                    yield from self._long(text, at, to)
+                    at = to
+                    continue
+                to = cut
+            part = text[at:to]
+            at = to
+            runs = [p for p in _SPACE.split(part) if p] if _CONTROLS.search(part) else part.split()
+            yield b"".join([get(p) or run(p) for p in runs])
+
+    def _parts(self, text: str, at: int, stop: int) -> Iterator[str]:
+        """A long run, normalised, in parts."""
+        while at < stop:
+            to = min(at + SLICE, stop)
+            while to < stop and not _may_cut(text[to]):
+                to += 1
+            yield self.normal(_SPACE.sub("", text[at:to]))
+            at = to
+
+    def _long(self, text: str, at: int, stop: int) -> Iterator[bytes]:
+        """A run without white space inside that is longer than a slice: its pieces are told part by part, and a piece that is longer still is streamed."""
+        parts, rest, over = self._parts(text, at, stop), "", False
+
+        def more() -> bool:
+            nonlocal rest, over
+            got = next(parts, None)
+            over = got is None
+            rest += got or ""
+            return not over
+
+        def open_piece(kind: regex.Pattern) -> Iterator[str]:
+            nonlocal rest
+            while True:
+                part = kind.match(rest)
+                if part:
+                    rest = rest[part.end() :]
+                    yield part[0]
+                if rest or not more():
+                    return
+
+        while more():
+            done, out = 0, []
+            for m in self.split.finditer(rest):
+                if m.end() + 2 > len(rest):  # what follows may still belong to it
+                    break
+                out += self.piece(m[0])
+                done = m.end()
+            rest = rest[done:]
+            yield _coded(out)
+            if len(rest) > max(SLICE // 2, 8):
+                kind = regex.compile(r"\p{L}+" if regex.match(r"\p{L}", rest) else r"[^\s\p{L}\p{N}]+")
+                block: list[int] = []
+                for token in self.stream(self.marked(open_piece(kind))):
+                    block.append(token)
+                    if len(block) >= SLICE:
+                        yield _coded(block)
+                        block = []
+                yield _coded(block)
+        yield _coded([i for p in self.split.findall(rest) for i in self.piece(p)])
 
     def encode(self, text: str | None) -> list[int]:
-        return np.frombuffer(b"".join(i for block in self.runs(text or "") for i, _ in block), "<u4").tolist()
+        return np.frombuffer(b"".join(self.blocks(text or "")), "<u4").tolist()
 
     # decoding
 
+    def decoder(self) -> Decoder:
+        """Decodes as the library does where the vocabulary names no decoder: the tokens, joined by one space."""
+        return Decoder(self.told, b" ")
+
+    def reader(self) -> Decoder:
+        """Decodes to readable text: bytes as they were, an end-of-word mark as a space."""
+        return Decoder(self.readable, b"")
+
     def decode(self, ids: Iterable[int]) -> str:
-        """As the library decodes where the vocabulary names no decoder: the tokens, joined by one space."""
-        return " ".join(self.names[i] for i in ids)
+        state = self.decoder()
+        return state.feed(list(ids)) + state.end()
 
     def text_of(self, ids: Iterable[int]) -> Iterator[str]:
-        """Readable text, piece by piece: bytes gather until they end a character; an end-of-word mark becomes a space."""
-        back = {s: b for b, s in enumerate(self.symbols)}
-        state = codecs.getincrementaldecoder("utf-8")("replace")
+        """Readable text, token by token."""
+        state = self.reader()
         for i in ids:
-            token = self.names[i]
-            if i in self.special.values():
-                yield state.decode(b"", True) + token
-                continue
-            word = bool(self.end) and token.endswith(self.end)
-            out = state.decode(bytes(back[c] for c in (token.removesuffix(self.end) if word else token)))
-            yield out + " " if word else out
-        yield state.decode(b"", True)
+            yield state.feed([i])
+        yield state.end()
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """n_tokens and the hashes of ids and decoded text, fed block by block."""
-        ids, decoded, n, first = hashlib.sha256(), hashlib.sha256(), 0, True
-        for block in self.runs(text):
-            body = b"".join([i for i, _ in block])
-            ids.update(body)
-            n += len(body) // 4
-            if body:
-                decoded.update((("" if first else " ") + " ".join([t for _, t in block if t])).encode("utf-8"))
-                first = False
+        ids, decoded, n, state = hashlib.sha256(), hashlib.sha256(), 0, self.decoder()
+        for block in self.blocks(text):
+            ids.update(block)
+            n += len(block) // 4
+            decoded.update(state.feed(np.frombuffer(block, "<u4").tolist()).encode("utf-8"))
+        decoded.update(state.end().encode("utf-8"))
         return n, ids.hexdigest(), decoded.hexdigest()
 
 
@@ -398,9 +377,8 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches):
         coder = transducer(path)
-        for ids, text in chunks(batches):
-            many = text.to_pylist()
-            n, a, b = zip(*coder.batch(many))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        for batch in batches:
+            n, a, b = zip(*map(coder.digest, batch.column("text").to_pylist())) if batch.num_rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return texts(docs).mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
