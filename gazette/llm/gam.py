@@ -10,7 +10,8 @@ The model is fitted on a bounded sample of the labelled rows that may be learnt
 
 Defined cases: null and empty texts are scored like any text (all counts 0); with no
 labelled rows every score is 0.5; labels that are null aren't learnt from; repeated label
-rows count once per row.
+rows count once per row; ties don't depend on the order of rows; a row without a doc_id is scored,
+and held_out is false for it; other columns go (kept() keeps them all).
 """
 
 from __future__ import annotations
@@ -184,7 +185,7 @@ def scored(docs: DataFrame, labels: DataFrame, column: str = "quality", threshol
             yield pa.RecordBatch.from_arrays([ids, pa.array(model.score(features(text)))], ["doc_id", "score"])
 
     out = texts(docs).mapInArrow(run, "doc_id long, score double")
-    return out.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(~in_training(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def kept(docs: DataFrame, labels: DataFrame, column: str = "quality", threshold: float = 0.3, max_rows: int = 20_000) -> DataFrame:

@@ -1,18 +1,18 @@
-"""Toxicity (operator 4): a noisy channel is undone before a text is scored.
+"""Toxicity (operator 4): a noisy channel is undone, and the restored text is scored.
 
-1. A character model: trigram counts over the letters of all documents.
+1. A character model: counts of four letters in a row, over all documents.
 2. Words that look disguised (signs or digits among letters, letters drawn out, single letters
    in a row) become lattices: each sign may stand for itself, for the letters that it imitates,
-   or for nothing. Viterbi search under the character model finds the restored word.
-3. A bounded sample of labelled rows gives the words that mark toxic texts (document
+   for a word boundary or for nothing. Viterbi search under the character model finds the one
+   best path, which takes the word's place in the text. The model knows nothing of toxic words.
+3. A bounded sample of labelled rows gives the words and stems that mark toxic texts (document
    frequencies by label, over restored texts) and a logistic model of their weights.
-4. Every whole text is restored and scored.
+4. Every whole text is restored, and the restored text is scored by its marked words.
 
 Defined cases: null and empty texts get the score of a text without any marked word; with
-no labelled rows the score is the prior 0.5 below `threshold` (0.25). Disguised words of any
-length are restored: signs repeated more than three times count three times, runs of fillers
-once; words glued by separators are also read piece by piece, and a piece that is still longer
-than 40 characters in windows that overlap by half.
+no labelled rows the score is the prior 0.5 below `threshold` (0.25); disguised words have any
+length; repeated rows are scored each for itself, repeated label rows count once per row; a row
+without a doc_id is scored, and held_out is false for it; labels that are null aren't learnt from.
 """
 
 from __future__ import annotations
@@ -33,11 +33,13 @@ from .common import chunks, in_training, lower_ascii, raw, span_hashes, texts, w
 #: Letters that a sign is used for.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l"}
 FILLERS = "*._-~'`^#"
-WIDEST = 40
+#: Letters and the word boundary (0) that the character model tells apart, and how many of them in a row.
+SYMBOLS, ORDER = 27, 4
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
 _LETTER[0x80:] = True
+_NOT_LETTER = ~_LETTER
 _SIGN = np.zeros(256, bool)
 _SIGN[list(b"0123456789@$!|+(" + FILLERS.encode())] = True
 _STRONG = np.zeros(256, bool)
@@ -45,75 +47,76 @@ _STRONG[list(b"0123456789@$")] = True
 #: Signs that stand for letters at a word's ends, too; 0xC3 to 0xC5 lead the accented letters, 0xC2A3 and 0xE282AC are money signs.
 _END = np.zeros(256, bool)
 _END[list(b"!|+(")] = True
-_STRIP = ".,;:!?\"'()[]*#&%$-_~`^"
-_SOFT = "".join(c for c in _STRIP if c not in LEET)
-_DRAWN = re.compile(r"(.)\1{3,}", re.S)
-_FILLED = re.compile(f"([{re.escape(FILLERS)}])[{re.escape(FILLERS)}]+")
-_ODD = re.compile(r"[^a-z]|(.)\1\1")
-_LETTERS = re.compile(r"[^\W\d_]")
-#: Where glued words come apart: at signs that are neither letters nor fillers inside a word, then at fillers as well.
-_GLUE = (re.compile(r"(?:[-_/]|[^\w@$!|+(€£*.~'`^#])+"), re.compile(r"(?:[-_/*.~'`^#]|[^\w@$!|+(€£])+"))
+#: What may stand around a word without being a part of it.
+_AROUND = ".,;:!?\"'()[]*#&%$-_~`^"
+_SOFT = "".join(c for c in _AROUND if c not in LEET)
+#: A mark between letters that stood alone in the text.
+_GAP = "\x01"
 
 
-@dataclass
 class Channel:
-    """Log-probabilities of letter trigrams over 27 symbols (0: word boundary)."""
+    """Log-probabilities of four symbols in a row (0: word boundary), given the first three."""
 
-    log: np.ndarray
+    def __init__(self, counts: np.ndarray):
+        """Each order leans on the one below it, so that four letters that never stood together aren't impossible."""
+        share = np.full(SYMBOLS, 1 / SYMBOLS)
+        for n in range(1, ORDER + 1):
+            c = counts.sum(tuple(range(ORDER - n))) if n < ORDER else counts
+            share = (c + 4 * share) / (c.sum(-1, keepdims=True) + 4)
+        self.log = np.log(share).ravel().tolist()
 
-    @staticmethod
-    def of(counts: np.ndarray, extra: list[str] = (), weight: float = 0.002) -> "Channel":
-        """Corpus counts, and a share of `weight` for each further word that may be meant."""
-        total, c = counts.sum() + 1.0, counts.astype(float) + 0.1
-        for w in extra:
-            if re.fullmatch("[a-z]+", w):
-                s = [0, 0, *(ord(x) - 96 for x in w), 0]
-                for a, b, d in zip(s, s[1:], s[2:]):
-                    c[a, b, d] += total * weight / 10
-        return Channel(np.log(c / c.sum(2, keepdims=True)))
+
+def _base(c: str) -> str:
+    """The letter under an accent; other signs as they are."""
+    base = c if c < "\x80" else unicodedata.normalize("NFKD", c)[:1].lower()
+    return base if "a" <= base <= "z" else c
 
 
-def emissions(token: str) -> list[list[tuple[str, float]]]:
-    """For each sign of the token: what may have been meant, with the channel's log-probability."""
+def emissions(token: str) -> list[list[tuple[int, float]]]:
+    """For each sign of the token: what may have been meant (1 to 26: letters, 0: boundary, -1: nothing), with the channel's log-probability."""
     out = []
     for i, c in enumerate(token):
-        may = [("", -0.4)] if i and c == token[i - 1] else []
-        if "a" <= c <= "z":
-            may.append((c, -0.05))
-        elif _base(c) != c:
-            may.append((_base(c), -0.1))
+        same = i and c == token[i - 1]
+        may = [(-1, -0.2 if token[i - 2 : i] == 2 * c or token[i + 1 : i + 2] == c else -2.0)] if same else []  # three alike are drawn out, two may be meant
+        base = _base(c)
+        if "a" <= base <= "z":
+            may.append((ord(base) - 96, -0.05 if c == base else -0.1))
         for x in LEET.get(c, ""):
-            may.append((x, -0.5))
-        if c in FILLERS or c in LEET:
-            may.append(("", -0.2 if c in FILLERS else -3.0))
-        out.append(may or [("", -6.0)])
+            may.append((ord(x) - 96, -0.5))
+        if c == "*":  # hides any letter
+            may += [(x, -2.0) for x in range(1, SYMBOLS)]
+        if c == _GAP or c in FILLERS:
+            may += [(-1, -0.2), (0, -1.0)]
+        elif c in LEET:
+            may += [(-1, -3.0), (0, -3.0)]
+        out.append(may or [(0, -0.1), (-1, -3.0)])
     return out
 
 
-def _base(c: str) -> str:
-    """The letter under an accent; other signs as they are."""
-    base = c if c < "\x80" else unicodedata.normalize("NFKD", c)[:1].lower()
-    return base if "a" <= base <= "z" else c
-
-
-def decode(token: str, channel: Channel) -> list[str]:
-    """Viterbi over (last two letters): the restored words, best first, one per end state. Letters alone, none doubled, have one reading."""
-    plain = "".join(map(_base, token))
-    if re.fullmatch("[a-z]+", plain) and not re.search(r"(.)\1", plain):
-        return [plain]
-    log = channel.log
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+def decode(token: str, channel: Channel) -> str:
+    """The best path through the token's lattice: words of small letters, one space between. Viterbi over the last three symbols."""
+    log, keep = channel.log, SYMBOLS ** (ORDER - 1)
+    states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}  # last symbols -> score, what was read
     for may in emissions(token):
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, word) in states.items():
-            for letter, cost in may:
-                key = (b, ord(letter) - 96) if letter else (a, b)
-                s = score + cost + (log[a, b, key[1]] if letter else 0.0)
+        new: dict[int, tuple[float, tuple | None]] = {}
+        for state, (score, read) in states.items():
+            for symbol, cost in may:
+                if symbol < 0 or symbol == 0 and state % SYMBOLS == 0:
+                    key, s, then = state, score + cost, read
+                else:
+                    at = state * SYMBOLS + symbol
+                    key, s, then = at % keep, score + cost + log[at], (symbol, read)
+                    if not symbol:
+                        key = 0
                 if key not in new or s > new[key][0]:
-                    new[key] = (s, word + letter)
+                    new[key] = (s, then)
         states = new
-    ends = sorted(((s + log[a, b, 0], w) for (a, b), (s, w) in states.items()), reverse=True)
-    return [w for _, w in ends if w]
+    ended = [(s + (log[state * SYMBOLS] if state else 0.0), state) for state, (s, _) in states.items()]
+    read, out = states[max(ended)[1]][1], []
+    while read:
+        out.append(chr(read[0] + 96) if read[0] else " ")
+        read = read[1]
+    return "".join(reversed(out)).strip()
 
 
 def _disguised(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -134,88 +137,73 @@ def _disguised(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return seen[ends] > seen[starts]
 
 
-def _windows(token: str) -> list[str]:
-    return [token[j : j + WIDEST] for j in range(0, max(1, len(token) - WIDEST // 2), WIDEST // 2)]
-
-
-def readings(token: str) -> list[tuple[str, bool]]:
-    """What to decode for a disguised word of any length: (string, whether a marked word may be a part of it only)."""
-    token = _FILLED.sub(r"\1", _DRAWN.sub(r"\1\1\1", token))
-    out: dict[tuple[str, bool], None] = {}
+def _read(token: str, decoder) -> str:
+    """A disguised word as the channel reads it; plain signs around it stay off unless they can be letters of it."""
+    inner = token.strip(_AROUND)
+    if inner.isascii() and inner.isalpha() and not re.search(r"(.)\1\1", inner):
+        soft = token.strip(_SOFT)
+        return decoder(soft) if soft != inner and len(soft) > 2 else inner
+    return decoder(token.strip(_SOFT) or inner)
 
-    def read(piece: str) -> None:
-        for t in (piece.strip(_STRIP), piece.strip(_SOFT)):
-            if len(t) > 2 and _ODD.search(t) and _LETTERS.search(t):
-                for w in [t] if len(t) <= WIDEST else _windows(t):
-                    out[w, len(t) > WIDEST] = None
 
-    if len(token) <= WIDEST:
-        read(token)
-    for glue in _GLUE:
-        pieces = [p for p in glue.split(token) if p]
-        if len(pieces) == 1 and len(token) <= WIDEST:
-            continue
-        singles = ""
-        for p in [*pieces, "  "]:
-            if len(p) == 1:
-                singles += p
-                continue
-            if len(singles) > 2:
-                out.update(((w, True), None) for w in _windows(singles))
-            singles = ""
-            read(p)
-    return list(out)
-
-
-def restored(text: pa.Array, decoder) -> list[list[list[tuple[str, ...]]]]:
-    """Per text, its disguised words restored: for each the candidates of its readings, best first. Runs of single letters are one word.
-
-    Candidates that begin with a zero byte may hold a word as a part; others are the word.
-    """
+def restored(text: pa.Array, decoder) -> pa.Array:
+    """The texts in small letters, with each disguised word in its best reading. Runs of three single letters or more are one word."""
     body, offsets = raw(text)
     body = lower_ascii(body)
     starts, ends, rows = words(body, offsets)
-    out: list[list[list[tuple[str, ...]]]] = [[] for _ in range(len(text))]
-    data = body.tobytes()
-    for i in np.flatnonzero(_disguised(body, starts, ends)).tolist():
-        token = data[starts[i] : ends[i]].decode("utf-8", "ignore")
-        plain = token.strip(_STRIP)  # counted without being restored
-        found = [("\0", *decoder(t)) if part else tuple(c for c in decoder(t) if c != plain) for t, part in readings(token)]
-        out[rows[i]].append([f for f in found if f])
+    if not len(starts):
+        return text
     single = (ends - starts == 1) & (_LETTER[body[starts]] | _STRONG[body[starts]])
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], single, [False]]).astype(np.int8)))
-    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-        for row in np.unique(rows[a:b]).tolist():  # a run may go on over several texts
-            k = a + np.flatnonzero(rows[a:b] == row)
-            for j in range(0, len(k) if len(k) >= 3 else 0, WIDEST // 2):  # windows overlap by half
-                spaced = "".join(chr(body[starts[m]]) for m in k[j : j + WIDEST])
-                if len(spaced) >= 3:
-                    out[row].append([("\0", *decoder(spaced))])
-    return out
-
-
-def trigrams(docs: DataFrame) -> np.ndarray:
-    """Letter trigram counts of all documents; 27 x 27 x 27 numbers, whatever the corpus."""
+    run = np.cumsum(np.concatenate([[True], ~(single[1:] & single[:-1]) | (np.diff(rows) != 0)]))
+    spaced = single & (np.bincount(run)[run] >= 3)
+    data, edits = body.tobytes(), []
+    for i in np.flatnonzero(_disguised(body, starts, ends) & ~spaced).tolist():
+        edits.append((int(starts[i]), int(ends[i]), _read(data[starts[i] : ends[i]].decode("utf-8", "ignore"), decoder)))
+    at = np.flatnonzero(spaced)
+    for part in np.split(at, np.flatnonzero(np.diff(run[at])) + 1) if len(at) else ():
+        edits.append((int(starts[part[0]]), int(ends[part[-1]]), decoder(_GAP.join(map(chr, body[starts[part]].tolist())))))
+    edits.sort()
+    out, place, bounds, k = [], 0, [0], 0
+    size = 0
+    for stop in offsets[1:].tolist():
+        while k < len(edits) and edits[k][0] < stop:
+            first, last, said = edits[k]
+            k += 1
+            new = said.encode()
+            out += [data[place:first], new]
+            size += first - place + len(new)
+            place = last
+        out.append(data[place:stop])
+        size += stop - place
+        place = stop
+        bounds.append(size)
+    return pa.Array.from_buffers(pa.large_string(), len(text), [None, pa.py_buffer(np.array(bounds, np.int64)), pa.py_buffer(b"".join(out))])
+
+
+def letter_counts(docs: DataFrame) -> np.ndarray:
+    """How often four symbols stand in a row in all documents: 27^4 numbers, whatever the corpus."""
+    cells = SYMBOLS**ORDER
 
     def run(batches):
-        total = np.zeros(27**3, np.int64)
+        total = np.zeros(cells, np.int64)
         for _, text in chunks(batches):
-            body = lower_ascii(raw(text)[0])
+            body, offsets = raw(text)
+            body = lower_ascii(body)
             s = np.where((body >= 97) & (body <= 122), body - 96, 0).astype(np.int64)
-            s = np.concatenate([[0, 0], s, [0]])
-            s = s[np.concatenate([[True], (s[1:] > 0) | (s[:-1] > 0)])]  # one boundary between words
-            code = (s[:-2] * 27 + s[1:-1]) * 27 + s[2:]
-            total += np.bincount(code[(s[1:-1] > 0) | (s[2:] > 0)], minlength=27**3)
-            first = (s[:-1] == 0) & (s[1:] > 0)
-            total += np.bincount(s[1:][first], minlength=27**3)
+            s = s[np.concatenate([[True], (s[1:] > 0) | (s[:-1] > 0)])] if len(s) else s  # one boundary between words
+            starts = np.flatnonzero((s > 0) & np.concatenate([[True], s[:-1] == 0])) if len(s) else np.zeros(0, np.int64)
+            pad = np.zeros(len(s) + 2 * len(starts) + 1, np.int64)  # three boundaries before each word, one after it
+            pad[np.arange(len(s)) + 2 * np.searchsorted(starts, np.arange(len(s)), side="right") + (0 if len(s) and s[0] == 0 else 1)] = s
+            pad = np.concatenate([[0, 0, 0], pad, [0]])
+            code = ((pad[:-3] * SYMBOLS + pad[1:-2]) * SYMBOLS + pad[2:-1]) * SYMBOLS + pad[3:]
+            total += np.bincount(code[(pad[3:] > 0) | (pad[2:-1] > 0)], minlength=cells)
         k = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(k, pa.int32()), pa.array(total[k])], ["code", "n"])
 
-    rows = texts(docs).mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(27**3)
-    for r in rows:
-        out[r["code"]] = r["n"]
-    return out.reshape(27, 27, 27)
+    found = texts(docs).mapInArrow(run, "code int, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(cells)
+    out[found["code"].to_numpy()] = found["n"].to_numpy()
+    return out.reshape((SYMBOLS,) * ORDER)
 
 
 @dataclass
@@ -225,51 +213,49 @@ class Model:
     coefficients: np.ndarray
 
 
-_NOT_LETTER = ~_LETTER
+#: Lengths of the stems (beginnings of longer words) that may be marked beside whole words; the longest that is marked tells.
+STEMS = (8, 7, 6, 5, 4)
 
 
 class Scorer:
-    """Made once in each task: hits of marked words in plain and in restored text."""
+    """Made once in each task: hits of marked words and stems in restored text."""
 
     def __init__(self, model: Model):
-        self.model = model
-        names = sorted(model.weights)
-        flat = np.frombuffer("".join(names).encode(), np.uint8)
-        ends = np.cumsum([len(n.encode()) for n in names]).astype(np.int64)
-        h = span_hashes(flat, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends) if names else np.zeros(0, np.uint64)
-        order = np.argsort(h)
-        self.known, self.names = h[order], [names[i] for i in order]
-        self.values = np.array([model.weights[n] for n in self.names])
-        self.decoder = lru_cache(100_000)(lambda t: tuple(decode(t, model.channel)[:4]))
-
-    def restored_hit(self, candidates: tuple[str, ...]) -> str | None:
-        if candidates and candidates[0] == "\0":
-            return next((n for c in candidates[1:2] for n in self.names if len(n) >= 4 and n in c), None)
-        return next((c for c in candidates if c in self.model.weights), None)
+        self.tables: list[tuple[int, np.ndarray, np.ndarray]] = []  # stem length (0: whole words), their hashes, their places in values
+        self.values = np.array([w for _, w in sorted(model.weights.items())])
+        for k in (0, *STEMS):
+            mine = [(i, n.rstrip("*")) for i, n in enumerate(sorted(model.weights)) if (len(n) == k + 1 and n.endswith("*") if k else not n.endswith("*"))]
+            if mine:
+                flat = np.frombuffer("".join(n for _, n in mine).encode(), np.uint8)
+                ends = np.cumsum([len(n.encode()) for _, n in mine]).astype(np.int64)
+                h = span_hashes(flat, np.concatenate([[0], ends[:-1]]).astype(np.int64), ends)
+                order = np.argsort(h)
+                self.tables.append((k, h[order], np.array([i for i, _ in mine])[order]))
+        self.decoder = lru_cache(100_000)(lambda t: decode(t, model.channel))
 
     def features(self, text: pa.Array) -> np.ndarray:
-        """Per text: summed weight of distinct marked words, largest weight, number of hits (log), hits per word (log)."""
+        """Per text: summed weight of distinct marked words and stems, largest weight, number of hits (log), hits per word (log)."""
         n = len(text)
-        body, offsets = raw(text)
+        x = np.zeros((n, 4))
+        if not self.tables:
+            return x
+        body, offsets = raw(restored(text, self.decoder))
         body = lower_ascii(body)
         starts, ends, rows = words(body, offsets, _NOT_LETTER)
-        x = np.zeros((n, 4))
-        if len(self.known):
-            h = span_hashes(body, starts, ends)
-            at = np.minimum(np.searchsorted(self.known, h), len(self.known) - 1)
-            hit = self.known[at] == h
-            per: dict[int, list[int]] = {}
-            for r, k in zip(rows[hit].tolist(), at[hit].tolist()):
-                per.setdefault(r, []).append(k)
-            index = {m: i for i, m in enumerate(self.names)}
-            for r, found in enumerate(restored(text, self.decoder)):
-                for word in found:  # a word counts once for all its readings
-                    for name in {self.restored_hit(f) for f in word} - {None}:
-                        per.setdefault(r, []).append(index[name])
-            count = np.bincount(rows, minlength=n)
-            for r, ks in per.items():
-                v = self.values[list(set(ks))]
-                x[r] = v.sum(), v.max(), math.log1p(len(ks)), math.log1p(100 * len(ks) / max(1, count[r]))
+        mark = np.full(len(starts), -1)
+        for k, known, place in self.tables:
+            may = np.flatnonzero((mark < 0) & (ends - starts > k))
+            h = span_hashes(body, starts[may], starts[may] + k if k else ends[may])
+            at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            hit = known[at] == h
+            mark[may[hit]] = place[at[hit]]
+        row, kind = rows[mark >= 0], mark[mark >= 0]
+        hits, count = np.bincount(row, minlength=n), np.bincount(rows, minlength=n)
+        once = np.unique(row * len(self.values) + kind)
+        row, value = once // len(self.values), self.values[once % len(self.values)]
+        x[:, 0] = np.bincount(row, value, minlength=n)
+        np.maximum.at(x[:, 1], row, value)
+        x[:, 2], x[:, 3] = np.log1p(hits), np.log1p(100 * hits / np.maximum(1, count))
         return x
 
 
@@ -284,37 +270,42 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30)
     return w
 
 
-def _marked(rows: DataFrame, channel: Channel, most: int, least_docs: int) -> dict[str, float]:
-    """Words of restored texts that tell toxic rows apart: log-odds for those far beyond chance, `most` of them."""
+def _marked(rows: DataFrame, channel: Channel, least_docs: int) -> dict[str, float]:
+    """Words and stems of restored texts that tell toxic rows apart: log-odds for those far beyond chance.
+
+    z, the distance from chance in standard deviations, must be more than 6 and at least a quarter of
+    the best word's: beside words that many toxic rows hold, those of a few copies of one are noise.
+    """
 
     def run(batches):
-        decoder = lru_cache(100_000)(lambda t: tuple(decode(t, channel)[:4]))
+        decoder = lru_cache(100_000)(lambda t: decode(t, channel))
         for batch in batches:
-            text = batch.column("text")
-            for t, found, y in zip(text.to_pylist(), restored(text, decoder), batch.column("y").to_pylist()):
-                seen = set(re.findall(r"[^\W\d_]{2,40}", t.lower())) | {f[0] for word in found for f in word if f[0] != "\0"}
-                yield pa.RecordBatch.from_arrays([pa.array(sorted(seen), pa.string()), pa.array([y] * len(seen), pa.int32())], ["word", "y"])
+            for t, y in zip(restored(batch.column("text"), decoder).to_pylist(), batch.column("y").to_pylist()):
+                seen = set(re.findall(r"[^\W\d_]{2,}", t))
+                seen = sorted(seen | {w[:k] + "*" for w in seen for k in STEMS if len(w) > k})
+                yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array([y] * len(seen), pa.int32())], ["word", "y"])
 
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not toxic or toxic == n:
         return {}
-    found = rows.select("text", "y").mapInArrow(run, "word string, y int").groupBy("word").agg(F.sum("y").alias("a"), F.count("*").alias("all"))
-    a, b = F.col("a"), F.col("all") - F.col("a")
-    odds = F.log((a + 0.5) / F.lit(float(toxic) + 1)) - F.log((b + 0.5) / F.lit(float(n - toxic) + 1))
     share = toxic / n
-    z = (a - F.col("all") * share) / F.sqrt(F.col("all") * share * (1 - share))
-    best = found.where((a >= least_docs) & (odds > 1.5) & (z > 6)).select("word", odds.alias("w"), z.alias("z")).orderBy(F.desc("z"), "word").limit(most)
-    return {r["word"]: float(r["w"]) for r in best.collect()}
-
-
-def trained(docs: DataFrame, labels: DataFrame, column: str = "toxic", max_rows: int = 20_000, most_words: int = 256, least_docs: int = 5) -> Model:
-    """The sample of labelled rows, the words and the model are bounded by parameters; the trigrams are of all documents."""
-    counts = trigrams(docs)
+    a, all_ = F.col("a"), F.col("all")
+    odds = F.log((a + 0.5) / F.lit(float(toxic) + 1)) - F.log((all_ - a + 0.5) / F.lit(float(n - toxic) + 1))
+    z = (a - all_ * share) / F.sqrt(all_ * share * (1 - share))
+    counts = rows.select("text", "y").mapInArrow(run, "word string, y int").groupBy("word").agg(F.sum("y").alias("a"), F.count("*").alias("all"))
+    best = counts.where((a >= least_docs) & (odds > 1.5) & (z > 6)).select("word", odds.alias("w"), z.alias("z")).toArrow().to_pylist()
+    least = max((r["z"] for r in best), default=0.0) / 4
+    return {r["word"]: float(r["w"]) for r in best if r["z"] >= least}
+
+
+def trained(docs: DataFrame, labels: DataFrame, column: str = "toxic", max_rows: int = 20_000, least_docs: int = 5) -> Model:
+    """The sample of labelled rows is bounded by a parameter; the character model is of all documents."""
+    channel = Channel(letter_counts(docs))
     some = labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels[column].cast("int").alias("y")).where(F.col("y").isNotNull() & F.col("doc_id").isNotNull() & in_training(F.col("doc_id")))
     some = some.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(max_rows)
     rows = texts(docs).join(F.broadcast(some), "doc_id").persist()
-    weights = _marked(rows, Channel.of(counts), most_words, least_docs)
-    model = Model(Channel.of(counts, list(weights)), weights, np.array([-math.log(3), 0, 0, 0, 0]))
+    weights = _marked(rows, channel, least_docs)
+    model = Model(channel, weights, np.array([-math.log(3), 0, 0, 0, 0]))
 
     def run(batches):
         scorer = Scorer(model)
@@ -341,4 +332,4 @@ def scored(docs: DataFrame, labels: DataFrame, column: str = "toxic", threshold:
             yield pa.RecordBatch.from_arrays([ids, pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))], ["doc_id", "score"])
 
     out = texts(docs).mapInArrow(run, "doc_id long, score double")
-    return out.select("doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return out.select("doc_id", F.coalesce(~in_training(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
