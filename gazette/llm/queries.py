@@ -50,7 +50,7 @@ def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.judged(table(spark, sf_dir, "documents"))
+    return rules.judged(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
