@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-from datetime import datetime
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -83,11 +82,34 @@ class Config:
     semantic_limit: int = 32
     required_fields: tuple[str, ...] = ("id", "date", "category", "title", "dedupe_key", "source_name")
     allowed_tags: tuple[str, ...] = ("clickbait", "promo", "opinion", "rumor", "listing")
-    markers: tuple[str, ...] = field(default=("|", "!!", "$$$", "%%%", "&&&", "***", "###"))
-
-    @property
-    def run_at(self) -> datetime:
-        return datetime.fromisoformat(self.run_ts)
+    # judgments: importance by signals; quality words; category, its synonyms and its fragments; stock texts
+    fallback_levels: tuple[tuple[int, tuple[str, ...]], ...] = ((4, ("policy", "sanctions")), (3, ("capex", "infra", "security")))
+    low_words: tuple[str, ...] = ("low_quality", "low", "bad", "reject")
+    ok_words: tuple[str, ...] = ("ok", "good", "keep")
+    judged_categories: tuple[tuple[str, tuple[str, ...], tuple[str, ...]], ...] = (
+        ("economy", ("economy", "macro", "click"), ("econom", "purchas")),
+        ("technology", ("technology", "tech", "login"), ("softw", "logout")),
+        ("culture", ("culture", "view"), ("cultur",)),
+        ("society", ("society", "signup"), ("social",)),
+        ("international", ("international", "world"), ("global",)),
+    )
+    stock_phrases: tuple[str, ...] = ("click here", "read more", "of the")
+    why_texts: tuple[tuple[tuple[str, ...], str], ...] = (
+        (("policy", "sanctions"), "Rules change, and with them what it costs to follow them."),
+        (("capex", "infra"), "New plants and lines change supply and its cost."),
+        (("earnings",), "Results move what markets expect."),
+        (("market-demand",), "Demand moves plans and prices."),
+        (("security",), "A risk to services and to those who answer for them."),
+    )
+    why_default: str = "It may change the direction of the field."
+    why_missing: str = "The article gives no clear reason."
+    rationale_low: str = "Little evidence, so of little weight."
+    rationale_default: str = "The summary shows no evidence of its weight."
+    drop_texts: tuple[tuple[str, str], ...] = (("outdated", "too old"), ("stale_incident", "about an old incident"), ("low_quality", "too little information"))
+    drop_default: str = "left out"
+    quality_default: str = "informative"
+    # dates near these words are of results, not of incidents
+    result_words: tuple[str, ...] = ("quarter", "earnings")
 
 
 DEFAULT = Config()

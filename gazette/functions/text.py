@@ -88,10 +88,14 @@ def normalize_source(c: Column, cfg: Config) -> Column:
 
 
 def parse_timestamp(c: Column) -> Column:
-    """ISO-8601, else RFC-2822 (its weekday off first); failure is null. Times without a zone are taken in the session's zone."""
+    """ISO-8601, else RFC-2822 (its weekday off first); failure is null. Times without a zone are taken at +09:00, whatever the session's zone."""
+    iso = F.trim(c)
+    naive = iso.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}(?:[T ][0-9:.]+)?$")
+    iso = F.when(naive & ~F.contains(iso, F.lit(":")), F.concat(F.substring(iso, 1, 10), F.lit("T00:00:00+09:00"))).when(naive, F.concat(iso, F.lit("+09:00"))).otherwise(iso)
     rfc = F.regexp_replace(c, r"^[A-Za-z]{3},\s*", "")
+    rfc = F.when(rfc.rlike(r"[0-9]{2}:[0-9]{2}:[0-9]{2}\s*$"), F.concat(F.trim(rfc), F.lit(" +0900"))).otherwise(rfc)
     zoned = [F.try_to_timestamp(rfc, F.lit(p)) for p in ("d MMM yyyy HH:mm:ss Z", "d MMM yyyy HH:mm:ss z")]
-    return F.coalesce(F.try_to_timestamp(c), *zoned)
+    return F.coalesce(F.try_to_timestamp(iso), *zoned)
 
 
 def age_hours(published: Column, updated: Column, cfg: Config) -> Column:

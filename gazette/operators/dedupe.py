@@ -11,19 +11,26 @@ from pyspark.sql import functions as F
 from gazette.config import Config
 from gazette.functions.text import jaccard
 from gazette.functions.tokens import HANGUL, is_date_like, is_org_like, key_ngrams, key_tokens, lit_array, normal_tokens
-from gazette.operators.joins import set_similarity_join
+from gazette.operators.joins import equal_sets, set_similarity_join
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage by a table in the shared folder that spark.checkpoint.dir names (a folder of our own only if unset)."""
     spark: SparkSession = df.sparkSession
+    path = f"{folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def folder(spark: SparkSession) -> str:
+    """The shared folder that spark.checkpoint.dir names; a folder of our own only on a local master."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return root
 
 
 def resolve(edges: DataFrame) -> DataFrame:
@@ -61,43 +68,67 @@ def merged_into(rows: DataFrame, found: DataFrame, reason: str) -> DataFrame:
     return out.withColumn("status", F.when(F.col("matched_to").isNotNull(), "merged").otherwise("kept")).withColumn("merge_reason", F.when(F.col("matched_to").isNotNull(), reason))
 
 
+def _by_class(sets: DataFrame, threshold: float) -> DataFrame:
+    """(lo, matched_to) for sets(id, rank, tokens): the resolver sees the first row of each class of equal sets; what holds for it holds for the others, which match it."""
+    found = stored(resolve(_edges(set_similarity_join(sets, threshold).select("lo", "hi"), sets)))
+    members = equal_sets(sets)
+    out = members.join(found.select(F.col("lo").alias("first"), "matched_to"), "first", "left")
+    return out.select(F.col("id").alias("lo"), F.coalesce("matched_to", "first").alias("matched_to")).where("lo <> matched_to")
+
+
 def title_duplicates(rows: DataFrame, cfg: Config) -> DataFrame:
     """rows(id, rank, title): near titles merge into the first kept one; then exact titles."""
-    sets = rows.select("id", "rank", normal_tokens(F.col("title"), cfg).alias("tokens"))
-    near = set_similarity_join(sets, cfg.title_threshold)
-    found = resolve(_edges(near.select("lo", "hi"), rows))
+    sets = stored(rows.select("id", "rank", normal_tokens(F.col("title"), cfg).alias("tokens")))
+    found = _by_class(sets, cfg.title_threshold)
     left = rows.join(found.select(F.col("lo").alias("id")), "id", "left_anti")
-    first = F.first("id").over(Window.partitionBy("title").orderBy("rank", "id"))
-    exact = left.where("title <> ''").select(F.col("id").alias("lo"), first.alias("matched_to")).where("lo <> matched_to")
+    named = left.where("title <> ''")
+    firsts = named.groupBy("title").agg(F.min(F.struct("rank", "id")).alias("f")).select("title", F.col("f.id").alias("matched_to"))
+    exact = named.join(firsts, "title").select(F.col("id").alias("lo"), "matched_to").where("lo <> matched_to")
     return merged_into(rows, found.unionByName(exact), "title_duplicate")
 
 
 def cluster_duplicates(rows: DataFrame, cfg: Config) -> DataFrame:
-    """rows(id, rank, title, dedupe_key, cluster_key): compared with the first holder of the cluster key only."""
-    w = Window.partitionBy("cluster_key").orderBy("rank", "id")
-    first = F.first(F.struct("id", "t", "k")).over(w)
-    tokens = lambda c: normal_tokens(c, cfg)
-    df = rows.withColumns({"t": tokens(F.col("title")), "k": key_ngrams(F.col("dedupe_key"))}).withColumn("first", first)
-    t, k = jaccard(F.col("t"), F.col("first.t")), jaccard(F.col("k"), F.col("first.k"))
-    parts = F.size(F.filter(F.split("cluster_key", "[/_-]"), lambda x: x != ""))
-    hit = (F.col("id") != F.col("first.id")) & (parts >= 2) & (t >= max(0.3, cfg.title_threshold)) & (k >= max(0.3, cfg.key_threshold))
-    found = df.where(hit).select(F.col("id").alias("lo"), F.col("first.id").alias("matched_to"))
-    return merged_into(rows, found, "cluster_duplicate")
+    """rows(id, rank, title, dedupe_key, cluster_key): compared with the first holder of the cluster key only.
+
+    Keys of under two parts can't merge and go first; the first holder comes from a
+    pre-aggregated minimum, and words and bigrams are made only for rows that have another before them.
+    """
+    some = rows.where(F.size(F.filter(F.split("cluster_key", "[/_-]"), lambda x: x != "")) >= 2).select("id", "rank", "title", "dedupe_key", "cluster_key")
+    firsts = some.groupBy("cluster_key").agg(F.min(F.struct("rank", "id")).alias("f"), F.count("*").alias("n")).where("n > 1").select("cluster_key", F.col("f.id").alias("first"))
+    held = stored(some.join(firsts, "cluster_key"))
+    heads = held.where("id = first").select("first", F.col("title").alias("title2"), F.col("dedupe_key").alias("key2"))
+    both = held.where("id <> first").join(heads, "first")
+    tokens = lambda c: normal_tokens(F.col(c), cfg)
+    t = jaccard(tokens("title"), tokens("title2"))
+    k = jaccard(key_ngrams(F.col("dedupe_key")), key_ngrams(F.col("key2")))
+    hit = (t >= max(0.3, cfg.title_threshold)) & (k >= max(0.3, cfg.key_threshold))
+    return merged_into(rows, both.where(hit).select(F.col("id").alias("lo"), F.col("first").alias("matched_to")), "cluster_duplicate")
 
 
 def entity_events(rows: DataFrame, cfg: Config) -> DataFrame:
-    """rows(id, rank, entities, events, action): same action and main entity, or a shared event group and enough shared entities."""
-    near = rows.select("id", "rank", "entities", "events", "action").where((F.size("events") > 0) & (F.size("entities") > 0))
-    each = near.withColumn("entity", F.explode("entities"))
-    a = each.select(*(F.col(c).alias(f"{c}1") for c in ("id", "rank", "entities", "events", "action")), "entity")
-    b = each.select(*(F.col(c).alias(f"{c}2") for c in ("id", "rank", "entities", "events", "action")), "entity")
-    shared = F.array_intersect("entities1", "entities2")
-    strong = F.exists(shared, lambda t: is_org_like(t, cfg) | t.rlike(f"^[{HANGUL}]{{3,}}$") | t.rlike("^[a-z0-9]{5,}$"))
-    enough = (F.size(shared) >= 2) | ((F.size(shared) == 1) & strong)
-    same_action = (F.coalesce("action1", F.lit("")) != "") & (F.col("action1") == F.col("action2")) & (F.get("entities1", F.lit(0)) == F.get("entities2", F.lit(0)))
-    later = F.struct("rank1", "id1") > F.struct("rank2", "id2")
-    pairs = a.join(b, "entity").where(later & (same_action | (F.arrays_overlap("events1", "events2") & enough))).select(F.col("id1").alias("lo"), F.col("id2").alias("hi")).distinct()
-    return merged_into(rows, resolve(_edges(pairs, rows)), "entity_event")
+    """rows(id, rank, entities, events, action): same action and main entity, or a shared event group and enough shared entities.
+
+    Rows with equal entities, events and action are one class: all after its first match the first (a
+    class of one weak entity without an action matches nothing, itself neither).
+    Classes meet by (action, main entity), by (event, strong entity) and by (event, pair of entities),
+    never by one common entity alone.
+    """
+    near = rows.select("id", "rank", "entities", "events", F.coalesce("action", F.lit("")).alias("action")).where((F.size("events") > 0) & (F.size("entities") > 0))
+    strong = lambda t: is_org_like(t, cfg) | t.rlike(f"^[{HANGUL}]{{3,}}$") | t.rlike("^[a-z0-9]{5,}$")
+    near = near.where((F.size("entities") >= 2) | (F.col("action") != "") | F.exists("entities", strong)).withColumn("class", F.xxhash64(F.to_json(F.struct("entities", F.array_sort("events").alias("events"), "action"))))
+    classes = stored(near.groupBy("class").agg(F.min(F.struct("rank", "id")).alias("first"), F.first("entities").alias("entities"), F.first("events").alias("events"), F.first("action").alias("action")).select("class", "first.rank", "first.id", "entities", "events", "action"))
+    names = F.array_sort("entities")
+    pairs_of = F.flatten(F.transform(names, lambda x, i: F.transform(F.slice(names, i + 2, F.size(names)), lambda y: F.concat_ws("\0", x, y))))
+    told = F.concat(F.filter("entities", strong), pairs_of)
+    by_event = F.flatten(F.transform("events", lambda e: F.transform(told, lambda x: F.concat_ws("\1", e, x))))
+    by_action = F.when(F.col("action") != "", F.array(F.concat_ws("\2", "action", F.get("entities", F.lit(0))))).otherwise(lit_array(()))
+    keys = classes.select("class", "rank", "id", F.explode(F.array_distinct(F.concat(by_event, by_action))).alias("key"))
+    a, b = keys.select("key", F.col("id").alias("lo"), F.col("rank").alias("r1")), keys.select("key", F.col("id").alias("hi"), "rank")
+    edges = a.join(b, "key").where(F.struct(F.col("r1").alias("r"), F.col("lo").alias("i")) > F.struct(F.col("rank").alias("r"), F.col("hi").alias("i"))).select("lo", "hi", "rank").distinct()
+    found = stored(resolve(edges))
+    members = near.select("id", "class").join(classes.select("class", F.col("id").alias("head")), "class")
+    out = members.join(found.select(F.col("lo").alias("head"), "matched_to"), "head", "left").select(F.col("id").alias("lo"), F.coalesce("matched_to", "head").alias("matched_to")).where("lo <> matched_to")
+    return merged_into(rows, out, "entity_event")
 
 
 def _conflict() -> Column:
@@ -137,11 +168,23 @@ def key_similarity(rows: DataFrame, cfg: Config) -> DataFrame:
         return merged_into(rows, rows.select(F.col("id").alias("lo"), F.col("id").alias("matched_to")).limit(0), "key_similarity")
     exact = stored(exact_keys(rows))
     left = rows.join(exact.select(F.col("lo").alias("id")), "id", "left_anti")
-    sets = left.select("id", "rank", key_ngrams(F.col("dedupe_key")).alias("tokens"))
-    near = set_similarity_join(sets, cfg.key_threshold).select("lo", "hi")
+    # rows with the same bigrams, numbers and entities are one class; classes that differ in numbers only still meet each other
+    told = left.withColumns({"tokens": key_ngrams(F.col("dedupe_key")), "numbers": F.array_sort("numbers"), "entities": F.array_sort("entities")})
+    told = stored(told.where(F.size("tokens") > 0).select("id", "rank", F.array_sort(F.array_distinct("tokens")).alias("tokens"), "numbers", "entities"))
+    heads = stored(told.groupBy("tokens", "numbers", "entities").agg(F.min(F.struct("rank", "id")).alias("f")).select("f.id", "f.rank", "tokens", "numbers", "entities"))
+    reps = set_similarity_join(heads.select("id", "rank", "tokens"), cfg.key_threshold).select(F.col("lo").alias("c1"), F.col("hi").alias("c2"))
+    groups = stored(equal_sets(heads.select("id", "rank", "tokens")).select("id", F.col("first").alias("c")))
+    sides = reps.unionByName(groups.select(F.col("c").alias("c1"), F.col("c").alias("c2")).distinct())
+    near = sides.join(groups.select(F.col("id").alias("x"), F.col("c").alias("c1")), "c1").join(groups.select(F.col("id").alias("y"), F.col("c").alias("c2")), "c2")
+    ranked = near.join(heads.select(F.col("id").alias("x"), F.col("rank").alias("rx")), "x").join(heads.select(F.col("id").alias("y"), F.col("rank").alias("ry")), "y")
+    later = F.struct(F.col("rx").alias("r"), F.col("x").alias("i")) > F.struct(F.col("ry").alias("r"), F.col("y").alias("i"))
+    near = ranked.where("x <> y").select(F.when(later, F.col("x")).otherwise(F.col("y")).alias("lo"), F.when(later, F.col("y")).otherwise(F.col("x")).alias("hi")).distinct()
+    left = heads
     near = near.join(left.select(F.col("id").alias("lo"), "numbers", "entities"), "lo").join(left.select(F.col("id").alias("hi"), F.col("numbers").alias("numbers2"), F.col("entities").alias("entities2")), "hi").where(~_conflict())
-    found = resolve(_edges(near.select("lo", "hi"), rows))
-    return merged_into(rows, exact.unionByName(found), "key_similarity")
+    found = stored(resolve(_edges(near.select("lo", "hi"), rows)))
+    firsts = told.join(heads.select("tokens", "numbers", "entities", F.col("id").alias("head")), ["tokens", "numbers", "entities"])
+    out = firsts.join(found.select(F.col("lo").alias("head"), "matched_to"), "head", "left").select(F.col("id").alias("lo"), F.coalesce("matched_to", "head").alias("matched_to")).where("lo <> matched_to")
+    return merged_into(rows, exact.unionByName(out), "key_similarity")
 
 
 def key_prefixes(rows: DataFrame, tokens: int = 3) -> DataFrame:
@@ -179,9 +222,8 @@ def semantic(rows: DataFrame, pairs: DataFrame, cfg: Config, relaxed: bool = Fal
 
 
 def unique_keys(rows: DataFrame, reference_rule: bool = False) -> DataFrame:
-    """The best row of each key by (quality ok, tier, importance, newest). Rows without a key stay, unless the old rule is asked for."""
+    """The best row of each key by (quality ok, tier, importance, newest). Rows without a key stay, unless the old rule is asked for; they pass no window."""
     w = Window.partitionBy("dedupe_key").orderBy(F.desc(F.col("quality") == "ok"), F.desc("tier"), F.desc("importance"), F.desc("published_at"), "id")
-    ranked = rows.withColumn("n", F.row_number().over(w))
     blank = F.coalesce("dedupe_key", F.lit("")) == ""
-    keep = (~blank & (F.col("n") == 1)) if reference_rule else (blank | (F.col("n") == 1))
-    return ranked.where(keep).drop("n")
+    best = rows.where(~blank).withColumn("n", F.row_number().over(w)).where("n = 1").drop("n")
+    return best if reference_rule else best.unionByName(rows.where(blank))

@@ -73,16 +73,46 @@ def outdated(published: Column, digest_date: Column, carried: Column, hours: flo
     return F.coalesce(gap > hours, F.lit(False)) & ~F.coalesce(carried, F.lit(False))
 
 
+#: How a calendar date may be written: 2024-01-31 (or with dots or slashes), 2024년 1월 31일, January 31, 2024.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+DATES = r"\d{4}[-./]\d{1,2}[-./]\d{1,2}|\d{4}년\s*\d{1,2}월\s*\d{1,2}일|(?:" + "|".join(m[:3] for m in MONTHS) + r")[a-z]*\.?\s+\d{1,2},?\s+\d{4}"
+
+
+def _day(said: Column) -> Column:
+    """The date that a matched string writes; null if there is no such day."""
+    numbers = F.regexp_extract_all(said, F.lit(r"\d+"), F.lit(0))
+    month = F.lit(None).cast("string")
+    for k, name in enumerate(MONTHS):
+        month = F.when(said.startswith(name[:3]), str(k + 1)).otherwise(month)
+    parts = F.when(month.isNull(), numbers).otherwise(F.array(F.get(numbers, F.lit(1)), month, F.get(numbers, F.lit(0))))
+    return F.try_to_timestamp(F.array_join(F.transform(parts, lambda x: F.lpad(x, F.greatest(F.length(x), F.lit(2)), F.lit("0"))), "-"), F.lit("yyyy-MM-dd")).cast("date")
+
+
 def stale_incident(text: Column, base: Column, cfg: Config, days: int = 90) -> Column:
-    """(stale, date): the oldest of the best-scored explicit dates near an incident word, over `days` before the base date.
+    """struct(stale, day): the oldest of the best-scored explicit dates, and whether it lies over `days` before the base date.
 
-    A date scores 2 with an incident word at most 50 characters before or 60 after it.
+    A date scores 2 with an incident word at most 50 characters before or 60 after it, and 2 less
+    with a word of results there; only what scores above 0 counts.
     """
-    around = F.regexp_extract_all(text, F.lit(r"(?s).{0,50}\b\d{4}-\d{2}-\d{2}\b.{0,60}"), F.lit(0))
-    dated = F.transform(around, lambda x: F.struct(F.when(mentions(x, cfg.incident_words), -2).otherwise(0).alias("score"), F.try_to_timestamp(F.regexp_extract(x, r"\d{4}-\d{2}-\d{2}", 0)).cast("date").alias("day")))
-    best = F.get(F.array_sort(F.filter(dated, lambda x: (x["score"] < 0) & x["day"].isNotNull())), F.lit(0))["day"]
-    stale = mentions(text, cfg.incident_words) & (F.datediff(base, best) > days)
-    return F.struct(F.coalesce(stale, F.lit(False)).alias("stale"), best.alias("day"))
+    low = F.lower(collapse(F.coalesce(text, F.lit(""))))
+
+    def found(x: Column) -> Column:
+        pieces, dates = F.split(x, DATES, -1), F.regexp_extract_all(x, F.lit(DATES), F.lit(0))
+
+        def scored(d: Column, i: Column, p: Column, ds: Column) -> Column:
+            # what stands around: pieces and dates beside it are joined, and cut to the two distances
+            before = F.concat(F.coalesce(F.concat(F.get(p, i - 1), F.get(ds, i - 1)), F.lit("")), F.get(p, i))
+            after = F.concat(F.get(p, i + 1), F.coalesce(F.concat(F.get(ds, i + 1), F.get(p, i + 2)), F.lit("")))
+            near = F.concat(F.substring(before, F.greatest(F.length(before) - 49, F.lit(1)), F.lit(50)), d, F.substring(after, 1, 60))
+            score = F.when(mentions(near, cfg.incident_words), 2).otherwise(0) - F.when(mentions(near, cfg.result_words), 2).otherwise(0)
+            return F.struct((-score).alias("score"), _day(d).alias("day"))
+
+        both = bound(F.struct(pieces.alias("p"), dates.alias("d")), lambda y: F.transform(y["d"], lambda d, i: scored(d, i, y["p"], y["d"])))
+        best = F.get(F.array_sort(F.filter(both, lambda d: (d["score"] < 0) & d["day"].isNotNull())), F.lit(0))["day"]
+        return F.when(mentions(x, cfg.incident_words) & x.rlike(DATES), best)
+
+    day = lambda best: F.struct(F.coalesce(F.datediff(base, best) > days, F.lit(False)).alias("stale"), best.alias("day"))
+    return bound(bound(low, found), day)
 
 
 def title_like(title: Column, lines: Column) -> Column:

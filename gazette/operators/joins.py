@@ -42,15 +42,25 @@ def not_kept(eligible: DataFrame, kept: DataFrame) -> DataFrame:
     return eligible.join(kept.select("item_id"), "item_id", "left_anti")
 
 
+def _distinct_sets(sets: DataFrame, rank: str) -> tuple[DataFrame, DataFrame]:
+    one = sets.select("id", F.col(rank).alias("rank"), F.array_sort(F.array_distinct("tokens")).alias("tokens")).where(F.size("tokens") > 0)
+    return one, one.groupBy("tokens").agg(F.min(F.struct("rank", "id")).alias("first")).select(F.col("first.id").alias("c"), F.col("first.rank").alias("rank"), "tokens", F.size("tokens").alias("n"))
+
+
+def equal_sets(sets: DataFrame, rank: str = "rank") -> DataFrame:
+    """(id, first): for every row with a non-empty set, the first row that has the same one."""
+    one, classes = _distinct_sets(sets, rank)
+    return one.join(classes.select("tokens", F.col("c").alias("first")), "tokens").select("id", "first")
+
+
 def set_similarity_join(sets: DataFrame, threshold: float, rank: str = "rank") -> DataFrame:
-    """(lo, hi, similarity): all pairs of rows of (id, rank, tokens) with Jaccard >= threshold; hi has the smaller rank.
+    """(lo, hi, similarity): pairs of different token sets of (id, rank, tokens) with Jaccard >= threshold, each named by its first row; hi has the smaller rank.
 
-    Rows with the same token set are one candidate until the end. Tokens are ordered from rare
+    Copies aren't expanded: equal_sets() says which rows share a set. Tokens are ordered from rare
     to frequent, and two sets that are similar enough share one in their first
     n - ceil(t n) + 1 tokens; only those are joined. Empty sets match nothing.
     """
-    one = sets.select("id", F.col(rank).alias("rank"), F.array_sort(F.array_distinct("tokens")).alias("tokens")).where(F.size("tokens") > 0)
-    classes = one.groupBy("tokens").agg(F.min(F.struct("rank", "id")).alias("first")).select(F.col("first.id").alias("c"), "tokens", F.size("tokens").alias("n"))
+    _, classes = _distinct_sets(sets, rank)
     exploded = classes.select("c", "n", F.explode("tokens").alias("token"))
     frequency = exploded.groupBy("token").agg(F.count("*").alias("df"))
     ordered = exploded.join(frequency, "token").groupBy("c").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("df", "token"))).alias("o"))
@@ -61,13 +71,10 @@ def set_similarity_join(sets: DataFrame, threshold: float, rank: str = "rank") -
     candidates = a.join(b, "token").where(near).select("c1", "c2").distinct()
     side = lambda k: classes.select(F.col("c").alias(f"c{k}"), F.col("tokens").alias(f"t{k}"))
     similar = candidates.join(side(1), "c1").join(side(2), "c2").select("c1", "c2", jaccard(F.col("t1"), F.col("t2")).alias("similarity")).where(F.col("similarity") >= threshold)
-    classed = one.join(classes.select("c", "tokens"), "tokens").select("id", "rank", "c")
-    own = classed.select(F.col("id").alias("id1"), F.col("rank").alias("r1"), F.col("c"))
-    equal = own.join(classed.select(F.col("id").alias("id2"), F.col("rank").alias("r2"), "c"), "c").where("(r1, id1) > (r2, id2)").select("id1", "r1", "id2", "r2", F.lit(1.0).alias("similarity"))
-    left, right = classed.select(F.col("id").alias("id1"), F.col("rank").alias("r1"), F.col("c").alias("c1")), classed.select(F.col("id").alias("id2"), F.col("rank").alias("r2"), F.col("c").alias("c2"))
-    other = similar.join(left, "c1").join(right, "c2").select("id1", "r1", "id2", "r2", "similarity")
-    swap = F.struct(F.col("r1").alias("r"), F.col("id1").alias("id")) < F.struct(F.col("r2").alias("r"), F.col("id2").alias("id"))
-    return equal.unionByName(other).select(F.when(swap, F.col("id2")).otherwise(F.col("id1")).alias("lo"), F.when(swap, F.col("id1")).otherwise(F.col("id2")).alias("hi"), "similarity")
+    ranks = lambda k: classes.select(F.col("c").alias(f"c{k}"), F.col("rank").alias(f"r{k}"))
+    named = similar.join(ranks(1), "c1").join(ranks(2), "c2")
+    first = F.struct(F.col("r1").alias("r"), F.col("c1").alias("id")) < F.struct(F.col("r2").alias("r"), F.col("c2").alias("id"))
+    return named.select(F.when(first, F.col("c2")).otherwise(F.col("c1")).alias("lo"), F.when(first, F.col("c1")).otherwise(F.col("c2")).alias("hi"), "similarity")
 
 
 def unit(c: Column) -> Column:

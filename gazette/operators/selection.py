@@ -20,10 +20,16 @@ def topic_limits(feeds: DataFrame, default: int = 3) -> DataFrame:
     return feeds.groupBy("topic").agg(F.max(F.coalesce("limit", F.lit(default))).alias("topic_limit"))
 
 
-def per_topic_top(rows: DataFrame, limits: DataFrame, default: int = 3) -> DataFrame:
-    """Each topic's best rows, as many as its limit."""
-    ranked = rows.withColumn("topic_rank", F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("score"), "item_id")))
-    return ranked.join(F.broadcast(limits), "topic", "left").where(F.col("topic_rank") <= F.coalesce("topic_limit", F.lit(default))).drop("topic_limit")
+def per_topic_top(rows: DataFrame, limits: DataFrame, default: int = 3, most: int | None = None) -> DataFrame:
+    """Each topic's best rows, as many as its limit.
+
+    `most` is the largest limit (read from limits, a row per topic, where it isn't given). With it
+    as a plain number Spark keeps only that many rows of a topic on each side of the shuffle.
+    """
+    if most is None:
+        most = max(default, limits.agg(F.max("topic_limit")).first()[0] or 0)
+    ranked = rows.withColumn("topic_rank", F.row_number().over(Window.partitionBy("topic").orderBy(F.desc("score"), "item_id"))).where(F.col("topic_rank") <= most)
+    return ranked.join(limits, "topic", "left").where(F.col("topic_rank") <= F.coalesce("topic_limit", F.lit(default))).drop("topic_limit")
 
 
 def running_ids(rows: DataFrame) -> DataFrame:
@@ -31,7 +37,7 @@ def running_ids(rows: DataFrame) -> DataFrame:
     counts = rows.groupBy("feed_ord").agg(F.count("*").alias("c"))
     offsets = counts.withColumn("before", F.coalesce(F.sum("c").over(Window.orderBy("feed_ord").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("c")
     inside = F.row_number().over(Window.partitionBy("feed_ord").orderBy("pos", "item_id"))
-    return rows.withColumn("k", inside).join(F.broadcast(offsets), "feed_ord").withColumn("running_id", F.concat(F.lit("item_"), (F.col("before") + F.col("k")).cast("string"))).drop("k", "before")
+    return rows.withColumn("k", inside).join(offsets, "feed_ord").withColumn("running_id", F.concat(F.lit("item_"), (F.col("before") + F.col("k")).cast("string"))).drop("k", "before")
 
 
 def quotas(cfg: Config) -> dict[str, int]:
@@ -100,23 +106,29 @@ def _walk(pool: pd.DataFrame, limit: int, cfg: Config) -> list[int]:
 
 
 def _cap_signals(pool: pd.DataFrame, picked: list[int], limit: int, cfg: Config) -> list[int]:
-    """Rows with capped labels beyond the share give way to the best others that score almost as much."""
+    """Rows with capped labels beyond the share give way, the lowest first, to the best others that score almost as much.
+
+    A row that nothing can replace stays, and the next one is tried; replacements go to the end.
+    """
     caps, most = dict(cfg.category_caps), max(1, int(limit * cfg.signal_share))
     out = list(picked)
-    while True:
-        capped = [k for k in out if pool["capped"][k]]
-        if len(capped) <= most:
-            return out
-        victim = max(capped, key=lambda k: (-pool["score"][k], k))
+    capped = [k for k in out if pool["capped"][k]]
+    over = len(capped) - most
+    for victim in sorted(capped, key=lambda k: (pool["score"][k], out.index(k))):
+        if over <= 0:
+            break
         others = [k for k in out if k != victim]
-        for k in range(len(pool)):
-            if k in out or pool["capped"][k] or pool["score"][k] < pool["score"][victim] - cfg.signal_slack:
-                continue
-            if sum(pool["category"][o] == pool["category"][k] for o in others) < caps.get(pool["category"][k], limit) and sum(pool["source"][o] == pool["source"][k] for o in others) < cfg.source_cap:
-                out[out.index(victim)] = k
-                break
-        else:
-            return out
+        category, source = (pd.Series([pool[c][k] for k in others], dtype=object).value_counts() for c in ("category", "source"))
+        may = (
+            k for k in range(len(pool))
+            if k not in out and not pool["capped"][k] and pool["score"][k] >= pool["score"][victim] - cfg.signal_slack
+            and category.get(pool["category"][k], 0) < caps.get(pool["category"][k], limit + 1) and source.get(pool["source"][k], 0) < cfg.source_cap
+        )
+        best = next(may, None)
+        if best is not None:
+            out = [*others, best]
+            over -= 1
+    return out
 
 
 def mix_pick(rows: DataFrame, cfg: Config, limit: int | None = None) -> DataFrame:
@@ -140,14 +152,22 @@ def mix_pick(rows: DataFrame, cfg: Config, limit: int | None = None) -> DataFram
     return cell.groupBy("edition").applyInPandas(pick, "edition string, item_id long, pick_rank int")
 
 
-def allowlist_fill(picked: DataFrame, rows: DataFrame, cfg: Config, strict: bool) -> DataFrame:
-    """strict: allowed outlets only, even if short. Else the missing places go to the best fresh rows."""
-    if strict:
-        return picked
+def allowlist_pick(rows: DataFrame, cfg: Config, strict: bool) -> DataFrame:
+    """(edition, item_id, pick_rank): the mixed pick of fresh, eligible rows of allowed outlets (columns top_fresh, eligible, allowed).
+
+    strict: that is all, even if short. Else the missing places go to the best fresh rows by score.
+    """
+    fresh = rows.where("top_fresh AND eligible")
+    picked = mix_pick(fresh.where("allowed"), cfg)
+    return picked if strict else filled(picked, fresh, cfg)
+
+
+def filled(picked: DataFrame, rows: DataFrame, cfg: Config) -> DataFrame:
+    """The missing places of each edition, filled with the best rows that aren't picked."""
     have = picked.groupBy("edition").agg(F.count("*").alias("have"))
-    rest = rows.join(picked.select("edition", "item_id"), ["edition", "item_id"], "left_anti").where("top_fresh")
-    ranked = rest.withColumn("n", F.row_number().over(Window.partitionBy("edition").orderBy(F.desc("score"), "item_id")))
-    fill = ranked.where(F.col("n") <= cfg.top_limit).join(have, "edition", "left").where(F.col("n") + F.coalesce("have", F.lit(0)) <= cfg.top_limit)
+    rest = rows.join(picked.select("edition", "item_id"), ["edition", "item_id"], "left_anti")
+    ranked = rest.withColumn("n", F.row_number().over(Window.partitionBy("edition").orderBy(F.desc("score"), "item_id"))).where(F.col("n") <= cfg.top_limit)
+    fill = ranked.join(have, "edition", "left").where(F.col("n") + F.coalesce("have", F.lit(0)) <= cfg.top_limit)
     return picked.unionByName(fill.select("edition", "item_id", (F.col("n") + F.coalesce("have", F.lit(0))).cast("int").alias("pick_rank")))
 
 

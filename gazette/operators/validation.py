@@ -55,7 +55,8 @@ def handled(rows: DataFrame, cfg: Config) -> DataFrame:
     df = df.withColumn("errors_1", item_errors(cfg))
     cleared = F.size(F.array_intersect("errors_1", lit_array(FIXABLE))) > 0
     df = df.withColumn("detail", F.when(cleared, pairs()).otherwise(F.col("detail"))).withColumn("errors_2", item_errors(cfg))
-    hard = F.array_intersect("errors_2", lit_array((*HARD, MISSING)))
+    left = F.when(F.arrays_overlap("errors_2", lit_array(FIXABLE)), F.array(F.lit("UNFIXED_ERRORS"))).otherwise(lit_array(()))  # what no fix mended drops the row
+    hard = F.concat(F.array_intersect("errors_2", lit_array((*HARD, MISSING))), left)
     soft = F.arrays_overlap("errors_2", lit_array(SOFT))
     df = df.withColumn("drop_reason", F.get(hard, F.lit(0))).withColumn("importance", F.when(soft, F.least("importance", F.lit(1))).otherwise(F.col("importance")))
     changed = fixable | cleared | soft

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazette.config import Config
+from gazette.functions.text import falsy
+from gazette.functions.tokens import cluster_key, dedupe_key
+
 JUDGMENT = "title string, summary_lines array<string>, importance_score int, category_label string, quality_label string, quality_tags array<string>, dedupe_key string, impact_signals array<struct<label:string,evidence:string>>, why string"
 DIGEST_ITEM = "id string, date string, category string, title string, dedupe_key string, cluster_key string, status string, importance int, source_name string"
 HISTORY = "date date, id string, dedupe_key string, cluster_key string, title string, summary string"
@@ -36,13 +40,46 @@ def judgments(raw: Column) -> Column:
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:
-    """Dated snapshots YYYY-MM-DD.json; other names are left out, unreadable ones keep a row without items."""
+    """Dated snapshots, as files YYYY-MM-DD.json or folders snapshot=YYYY-MM-DD; other names are left out, unreadable ones keep a row without items."""
     df = spark.read.schema(f"date string, items array<struct<{', '.join(f'{c.split()[0]}:{c.split()[1]}' for c in DIGEST_ITEM.split(', '))}>>, _corrupt_record string").option("multiLine", True).option("mode", "PERMISSIVE").json(path)
-    return df.withColumn("snapshot", F.regexp_extract(F.input_file_name(), r"(\d{4}-\d{2}-\d{2})\.json$", 1)).where("snapshot <> ''")
+    return df.withColumn("snapshot", F.regexp_extract(F.input_file_name(), r"(?:snapshot=|/)(\d{4}-\d{2}-\d{2})(?:\.json$|/)", 1)).where("snapshot <> ''")
+
+
+def union_feeds(*entries: DataFrame) -> DataFrame:
+    """The entries of all feeds as one table, whatever format each came in; columns that a format lacks are null."""
+    out = entries[0]
+    for e in entries[1:]:
+        out = out.unionByName(e, allowMissingColumns=True)
+    return out
+
+
+def last_edition(snapshots: DataFrame) -> DataFrame:
+    """The items of the newest snapshot that has any; no rows where there is none."""
+    newest = snapshots.where(F.size("items") > 0).agg(F.max("snapshot").alias("snapshot"))
+    return snapshots.join(F.broadcast(newest), "snapshot").select(F.inline("items"))  # newest is one row
+
+
+def archived(snapshots: DataFrame) -> DataFrame:
+    """(snapshot, n): the published items of each dated snapshot; null where it couldn't be read."""
+    shown = F.filter("items", lambda x: x["status"].isin("kept", "published"))
+    return snapshots.select("snapshot", F.when(F.col("items").isNotNull(), F.size(shown)).alias("n"))
+
 
+def recent_history(history: DataFrame, run_date: str, days: int, cfg: Config, prior: DataFrame | None = None) -> DataFrame:
+    """(cluster_key, item_id): the latest row of each key within the days before the run date; no day means no row.
 
-def recent_history(history: DataFrame, run_date: str, days: int) -> DataFrame:
-    """(cluster_key, item_id): the latest row of each key within the days before the run date; no day means no row."""
+    A row has two keys: its cluster key (built from its dedupe key where it lacks one) and the one
+    that its title and summary give. Where history has no row in range, the published items of the
+    last edition (prior) stand in for it.
+    """
     at = F.lit(run_date).cast("date")
-    recent = history.where(F.col("date").between(F.date_sub(at, days), F.date_sub(at, 1)) & (F.lit(days) > 0) & (F.coalesce("cluster_key", F.lit("")) != ""))
-    return recent.groupBy("cluster_key").agg(F.max_by("item_id", F.struct("date", "item_id")).alias("item_id"))
+    columns = ["date", "id", "dedupe_key", "cluster_key", "title", "summary"]
+    within = F.col("date").cast("date").between(F.date_sub(at, days), F.date_sub(at, 1)) & F.lit(days > 0)
+    recent = history.where(within).select(*columns)
+    if prior is not None and recent.isEmpty():
+        shown = prior.where(within & F.col("status").isin("kept", "published"))
+        recent = shown.select(*(F.col(c) if c in prior.columns else F.lit("").alias(c) for c in columns))
+    given = F.coalesce(falsy(F.col("cluster_key")), cluster_key(F.coalesce("dedupe_key", F.lit("")), None, cfg))
+    rebuilt = cluster_key(dedupe_key(F.coalesce("title", F.lit("")), F.coalesce("summary", F.lit("")), cfg), F.concat_ws(" ", "title", "summary"), cfg)
+    keyed = recent.select("date", F.col("id").alias("item_id"), F.explode(F.array_distinct(F.array(given, rebuilt))).alias("cluster_key"))
+    return keyed.where(F.coalesce("cluster_key", F.lit("")) != "").groupBy("cluster_key").agg(F.max_by("item_id", F.struct("date", "item_id")).alias("item_id"))

@@ -17,6 +17,11 @@ def nested(rows: DataFrame, order: str = "pick_rank") -> DataFrame:
     return rows.groupBy("date").agg(items.alias("items"))
 
 
+def write_snapshots(rows: DataFrame, path: str, order: str = "pick_rank") -> None:
+    """One JSON document per date under path/snapshot=<date>; an edition has at most `top_limit` items, so a document is small."""
+    nested(rows, order).withColumn("snapshot", F.col("date")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("snapshot").json(path)
+
+
 def upsert_history(history: DataFrame, today: DataFrame, run_date: str, days: int) -> DataFrame:
     """Today's kept rows replace the date's old ones; dates outside the window go."""
     at = F.lit(run_date).cast("date")
@@ -42,5 +47,14 @@ def publish(rows: DataFrame, verdict: DataFrame, path: str) -> str:
     return "published"
 
 
+def publish_dates(rows: DataFrame, verdict: DataFrame, path: str) -> None:
+    """Write the dates whose edition is valid or only has too few items; the others keep what they had. A date with item errors aborts the run."""
+    structural = ("DUPLICATE_KEY", "MISSING_FIELD", "TOO_MANY_ITEMS")
+    bad = verdict.where(~F.col("valid") & ~F.col("code").isin("TOO_FEW_ITEMS", *structural)).select("date", "code").limit(8).collect()
+    if bad:
+        raise ValueError(f"items with errors: {[tuple(r) for r in bad]}")
+    write_dated(rows.join(verdict.where(~F.col("code").isin(*structural)).select("date"), "date", "left_semi"), path)
+
+
 def read_dated(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)

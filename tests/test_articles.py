@@ -106,12 +106,20 @@ def test_resolver_is_the_sequential_walk(spark, seed):
     assert {r["lo"]: r["matched_to"] for r in dedupe.resolve(df).collect()} == walk(30, edges)
 
 
-def test_similarity_join_is_all_pairs(spark):
+def test_similarity_join_pairs_the_different_sets(spark):
     rng = random.Random(3)
     sets = [sorted(set(rng.choices("abcdefghij", k=rng.randint(0, 7)))) for _ in range(40)]
     df = spark.createDataFrame([(i, i, s) for i, s in enumerate(sets)], "id long, rank long, tokens array<string>")
-    want = {(a, b) for a in range(40) for b in range(a) if sets[a] and sets[b] and len(set(sets[a]) & set(sets[b])) / len(set(sets[a]) | set(sets[b])) >= 0.55}
+    first = {i: next(k for k in range(40) if sets[k] == s) for i, s in enumerate(sets) if s}
+    reps = sorted(set(first.values()))
+    want = {(a, b) for a in reps for b in reps if b < a and len(set(sets[a]) & set(sets[b])) / len(set(sets[a]) | set(sets[b])) >= 0.55}
     assert {(r["lo"], r["hi"]) for r in joins.set_similarity_join(df, 0.55).collect()} == want
+    assert {r["id"]: r["first"] for r in joins.equal_sets(df).collect()} == first
+
+
+def test_copies_make_no_pairs(spark):
+    df = spark.createDataFrame([(i, i, ["a", "b", "c", "d"] if i % 2 else ["a", "b", "c", "e"]) for i in range(200)], "id long, rank long, tokens array<string>")
+    assert [(r["lo"], r["hi"]) for r in joins.set_similarity_join(df, 0.55).collect()] == [(1, 0)]
 
 
 def test_title_pass_is_the_sequential_walk(spark):
@@ -131,15 +139,57 @@ def test_equal_keys_fold(spark):
     assert {(r["lo"], r["matched_to"]) for r in dedupe.exact_keys(df).collect()} == {(3, 2), (4, 2)}
 
 
-def test_mix_pick_is_lossless_under_pruning(spark):
-    rng = random.Random(4)
-    rows = [("e", i, rng.choice(["economy", "technology", "culture", "society", "other"]), f"s{rng.randrange(4)}", float(rng.randrange(12)), rng.choice([[], ["policy"]]), [], rng.choice([0, 5])) for i in range(120)]
+def picked(rows, limit):
+    """The rules told one after the other, on plain lists: rows are dicts, best first."""
+    minimums, caps, chosen = dict(CFG.category_minimums), dict(CFG.category_caps), []
+    n = lambda field, value: sum(r[field] == value for r in chosen)
+    minimums = {c: min(k, sum(r["category"] == c for r in rows)) for c, k in minimums.items()}
+    for c, least in minimums.items():
+        for r in rows:
+            if len(chosen) < limit and r not in chosen and r["category"] == c and n("category", c) < least and n("source", r["source"]) < CFG.source_cap:
+                chosen.append(r)
+    for outlets, capped in ((True, True), (False, True), (False, False)):
+        for r in rows:
+            if len(chosen) < limit and r not in chosen and (not capped or n("category", r["category"]) < caps.get(r["category"], limit)) and (not outlets or n("source", r["source"]) < CFG.source_cap):
+                chosen.append(r)
+    marked = [r for r in chosen if r["capped"]]
+    over = len(marked) - max(1, int(limit * CFG.signal_share))
+    for victim in sorted(marked, key=lambda r: r["score"]):
+        if over <= 0:
+            break
+        for r in [r for r in rows if r not in chosen and not r["capped"]]:
+            at = chosen.index(victim)
+            del chosen[at]
+            if n("category", r["category"]) < caps.get(r["category"], 99) and n("source", r["source"]) < CFG.source_cap and r["score"] >= victim["score"] - CFG.signal_slack:
+                chosen.append(r)
+                over -= 1
+                break
+            chosen.insert(at, victim)
+    return [r["item_id"] for r in chosen]
+
+
+@pytest.mark.parametrize("seed", [4, 5, 6])
+def test_mix_pick_follows_the_rules(spark, seed):
+    rng = random.Random(seed)
+    rows = [("e", i, rng.choice(["economy", "technology", "culture", "society", "other"]), f"s{rng.randrange(12)}", rng.randrange(12) / 2, rng.choice([[], ["policy"]]), [], rng.choice([0, 5])) for i in range(60)]
     df = spark.createDataFrame(rows, "edition string, item_id long, category string, source string, score double, signals array<string>, longs array<string>, importance int")
-    got = [r["item_id"] for r in selection.mix_pick(df, CFG, 7).orderBy("pick_rank").collect()]
-    pool = pd.DataFrame([(r[0], r[1], r[2], r[3], r[4], bool(r[5]) and r[7] < 4) for r in rows], columns=["edition", "item_id", "category", "source", "score", "capped"])
-    pool = pool.sort_values(["score", "item_id"], ascending=[False, True]).reset_index(drop=True)
-    want = selection._cap_signals(pool, selection._walk(pool, 7, CFG), 7, CFG)
-    assert got == pool["item_id"][want].tolist() and len(set(got)) == 7
+    pool = [{"item_id": r[1], "category": r[2], "source": r[3], "score": r[4], "capped": bool(r[5]) and r[7] < 4} for r in sorted(rows, key=lambda r: (-r[4], r[1]))]
+    assert [r["item_id"] for r in selection.mix_pick(df, CFG, 9).orderBy("pick_rank").collect()] == picked(pool, 9)
+
+
+def test_a_victim_without_replacement_is_passed_over(spark):
+    pool = pd.DataFrame({"category": list("aabbx"), "source": ["p", "p", "q", "r", "s"], "score": [9.0, 1.0, 8.5, 8.0, 8.2], "capped": [True, True, True, True, False]})
+    # the lowest capped row (1.0) could be replaced by any; 8.0 by 8.2 as well, but only one is left over
+    assert selection._cap_signals(pool, [0, 2, 3], 5, CFG) == [0, 2, 4]
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_allowlist_pick(spark, strict):
+    rows = [("e", i, "other", f"s{i}", float(50 - i), [], [], 0, i % 3 != 0, True, i % 2 == 0) for i in range(40)]
+    df = spark.createDataFrame(rows, "edition string, item_id long, category string, source string, score double, signals array<string>, longs array<string>, importance int, top_fresh boolean, eligible boolean, allowed boolean")
+    got = [r["item_id"] for r in selection.allowlist_pick(df, CFG, strict).orderBy("pick_rank").collect()]
+    allowed, fresh = [i for i in range(40) if i % 3 and i % 2 == 0], [i for i in range(40) if i % 3]
+    assert got == (allowed if strict else allowed + [i for i in fresh if i not in allowed][: CFG.top_limit - len(allowed)])
 
 
 def test_dated_write_replaces_one_date(spark, tmp_path):
@@ -177,3 +227,107 @@ def test_exact_keys_are_the_sequential_walk(spark):
             want[i] = held[0]
     df = spark.createDataFrame(rows, "id long, dedupe_key string, rank int, numbers array<string>, entities array<string>")
     assert {r["lo"]: r["matched_to"] for r in dedupe.exact_keys(df).collect()} == want
+
+
+def test_naive_times_are_nine_hours_ahead(spark):
+    said = ["2024-01-02T09:00:00", "2024-01-02", "2024-01-02T00:00:00Z", "Tue, 02 Jan 2024 09:00:00", "Tue, 02 Jan 2024 00:00:00 GMT", "x", None]
+    df = spark.createDataFrame([(s,) for s in said], "s string").select(F.unix_seconds(tx.parse_timestamp(F.col("s"))).alias("t"))
+    at = 1704153600
+    assert [r["t"] for r in df.collect()] == [at, at - 9 * 3600, at, at, at, None, None]
+
+
+def test_stale_incidents_read_three_forms_of_dates(spark):
+    said = {"trash fire on 2023-03-01 again": (True, "2023-03-01"), "the clown of March 5, 2023 and 2023년 2월 3일": (True, "2023-02-03"), "trash of 2023-12-30": (False, "2023-12-30"), "trash, quarter of 2023-01-01": (False, None), "nothing of 2020-01-01": (False, None), "trash 2023-13-45": (False, None), "2023-01-05" + " x" * 40 + " trash": (False, None)}
+    df = spark.createDataFrame([(s,) for s in said], "s string").select("s", filters.stale_incident(F.col("s"), F.lit("2024-01-04").cast("date"), CFG).alias("r"))
+    assert {r["s"]: (r["r"]["stale"], str(r["r"]["day"]) if r["r"]["day"] else None) for r in df.collect()} == said
+
+
+def summary_of(lines, title, fallback):
+    import re
+
+    flat = lambda s: " ".join(s.split())
+    words = lambda s: set(re.sub("[^a-z0-9가-힣]", " ", s.lower()).split())
+    alike = lambda a, b: bool(a) and bool(b) and (a in b or b in a or (bool(words(a) | words(b)) and len(words(a) & words(b)) / len(words(a) | words(b)) >= 0.8))
+    good = lambda s: s[-1] in ".?!" and (len(s) >= 12 or re.search("[0-9]", s)) and "..." not in s and not any(p in s.lower() for p in CFG.stock_phrases) and not alike(s, flat(title))
+    out = []
+    more = [flat(x) for x in fallback.split("\n") if flat(x)][:3]
+    for s in [flat(x) for x in lines if flat(x)] + more:
+        if len(out) < 3 and good(s) and not any(alike(s, k) for k in out):
+            out.append(s)
+    return out or more[:1]
+
+
+def test_judged_summary_is_the_sequential_rule(spark):
+    from gazette.operators import judged
+
+    rng = random.Random(5)
+    bits = ["Alpha went up.", "Alpha went up. It rose.", "Beta 5.", "short.", "No end here", "Read more of it now.", "Gamma fell, and then rose again!", "", "  ", "Wait... what now.", "Delta held its ground."]
+    rows = [(i, rng.choices(bits, k=rng.randint(0, 5)), rng.choice(bits), "\n".join(rng.choices(["Epsilon came in first.", "Zeta", "Alpha went up."], k=2))) for i in range(80)]
+    df = spark.createDataFrame(rows, "id long, lines array<string>, title string, fallback string")
+    got = {r["id"]: r["s"] for r in df.select("id", judged.judged_summary(F.col("lines"), F.col("title"), F.col("fallback"), CFG).alias("s")).collect()}
+    more = {r["id"]: r["m"] for r in df.select("id", tx.summary_lines(F.col("fallback"), CFG).alias("m")).collect()}
+    assert got == {i: summary_of(lines, title, "\n".join(more[i])) for i, lines, title, _ in rows}
+
+
+def test_records_need_a_body(spark):
+    from gazette.operators import judged
+
+    rows = spark.createDataFrame([(1, "Title one", "A summary.", "the token = abc was shown to all here. " * 12, ["security"], "a-b-c"), (2, "Two", "x", "", [], "d"), (3, "Three", "A line of some length.", "short body", [], "")], "item_id long, title string, summary string, full_text string, signals array<string>, dedupe_key string")
+    said = "array<struct<label:string,evidence:string>>"
+    j = spark.createDataFrame([(k, "", ["It was shown to 5 people."], None, None, "", [("security", "the token = abc was shown to all here.")], "9", "bad", ["PROMO"], "tech") for k in (1, 2, 3)], f"item_id long, raw_title string, summary_lines array<string>, why string, rationale string, raw_key string, impact_signals {said}, raw_importance string, raw_quality string, raw_tags array<string>, raw_category string")
+    got = {r["item_id"]: r for r in judged.record(rows, j, CFG).collect()}
+    assert set(got) == {1, 3}
+    assert (got[1]["title"], got[1]["importance"], got[1]["labels"], got[1]["quality"], got[1]["quality_reason"], got[1]["category"]) == ("Title one", 5, ["security"], "low_quality", "tagged", "technology")
+    assert got[3]["labels"] == [] and got[3]["why"] == ""
+
+
+def test_history_has_two_keys_and_a_stand_in(spark):
+    schema = "date string, id string, dedupe_key string, cluster_key string, title string, summary string, status string"
+    rows = [("2024-01-03", "a", "alpha-bravo", "given/key", "Alpha bravo charlie", "delta", "kept"), ("2024-01-01", "b", "alpha-bravo", "given/key", "x", "", "kept"), ("2023-12-01", "old", "k", "old/key", "t", "", "kept"), ("2024-01-04", "today", "k", "today/key", "t", "", "kept")]
+    h = spark.createDataFrame(rows, schema)
+    got = {r["cluster_key"]: r["item_id"] for r in feeds.recent_history(h, "2024-01-04", 3, CFG).collect()}
+    assert got["given/key"] == "a" and len(got) >= 2 and "old" not in got.values() and "today" not in got.values()
+    assert feeds.recent_history(h, "2024-01-04", 0, CFG).count() == 0
+    prior = spark.createDataFrame([("2024-01-02", "p", "k", "prior/key", "t", "s", "kept"), ("2024-01-02", "q", "k", "gone/key", "t", "s", "dropped")], schema)
+    stand_in = {r["cluster_key"]: r["item_id"] for r in feeds.recent_history(h.where("id = 'old'"), "2024-01-04", 3, CFG, prior).collect()}
+    assert stand_in["prior/key"] == "p" and "gone/key" not in stand_in
+
+
+def test_unfixed_errors_drop_the_row(spark):
+    from gazette.operators import validation
+
+    rows = [(1, "Alpha bravo", "", "some text", "zzz-yyy", "c/d", [], 1, "ok", False, False)]
+    df = spark.createDataFrame(rows, "item_id long, title string, summary string, full_text string, dedupe_key string, cluster_key string, detail array<struct<label:string,evidence:string>>, importance int, quality string, outdated boolean, stale boolean")
+    got = validation.handled(df, CFG).first()
+    assert "KEY_MISALIGNED" in got["errors_0"]
+    assert got["action"] == ("dropped" if set(got["errors_2"]) & set(validation.FIXABLE) else "modified")
+
+
+def test_stream_window_lets_late_repeats_through(spark, tmp_path):
+    from gazette.streaming.recent import first_within
+
+    source, out = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    schema = "cluster_key string, published_at timestamp, n int"
+    batches = [[("a", "2024-01-01 00:00:00", 1), ("b", "2024-01-01 01:00:00", 2)], [("a", "2024-01-02 00:00:00", 3), ("c", "2024-01-09 00:00:00", 4)], [("d", "2024-01-09 01:00:00", 5)], [("a", "2024-01-09 02:00:00", 6), ("c", "2024-01-09 03:00:00", 7)]]
+    for rows in batches:
+        spark.createDataFrame(rows, "cluster_key string, at string, n int").select("cluster_key", F.col("at").cast("timestamp").alias("published_at"), "n").coalesce(1).write.mode("append").parquet(str(source))
+        stream = first_within(spark.readStream.schema(schema).parquet(str(source)))
+        stream.writeStream.format("parquet").option("path", str(out)).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start().awaitTermination()
+    assert sorted(r["n"] for r in spark.read.schema(schema).parquet(str(out)).collect()) == [1, 2, 4, 5, 6]
+
+
+def test_guarded_publish_by_date(spark, tmp_path):
+    path = f"{tmp_path}/p"
+    rows = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-03")], "id long, date string")
+    verdict = spark.createDataFrame([("2024-01-01", "ok", True), ("2024-01-02", "TOO_MANY_ITEMS", False), ("2024-01-03", "TOO_FEW_ITEMS", False)], "date string, code string, valid boolean")
+    sinks.publish_dates(rows, verdict, path)
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 3]
+    with pytest.raises(ValueError):
+        sinks.publish_dates(rows, verdict.withColumn("code", F.lit("OUTDATED")).withColumn("valid", F.lit(False)), path)
+
+
+def test_source_names(spark):
+    df = spark.createDataFrame([("The Alpha Daily News",), (None,), ("",)], "s string")
+    got = [r[0] for r in df.select(tx.normalize_source(F.col("s"), CFG)).collect()]
+    assert len(got) == 3 and got[0] and "Daily" not in got[0]
