@@ -1,7 +1,7 @@
 """Helpers that the operators of this subpackage share: tables, scratch space, Arrow batches, hashing.
 
 The hashing helpers work on whole Arrow batches with numpy. A *chunk* is a run of
-documents of a few megabytes, so the memory of a task doesn't depend on its partition.
+documents of a fraction of a megabyte, so the memory of a task doesn't depend on its partition.
 """
 
 from __future__ import annotations
@@ -18,7 +18,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task turns into numpy arrays at a time (one longer document is a chunk of its own).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
+#: Bytes of an Arrow batch on its way to a Python worker, unless the session sets another size. Spark's own 64 MB bear hard on small executors.
+BATCH_SETTING, BATCH_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +57,9 @@ def drop_written(df: DataFrame) -> None:
 
 def texts(docs: DataFrame) -> DataFrame:
     """(doc_id, text) with null texts as empty ones; other columns, whatever their names, go."""
+    conf = docs.sparkSession.conf
+    if conf.get(BATCH_SETTING) == f"{BATCH_DEFAULT}b":
+        conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"))
 
 
@@ -64,7 +69,7 @@ def in_training(doc_id) -> "F.Column":
 
 
 def chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK_BYTES) -> Iterator[tuple[pa.Array, pa.StringArray]]:
-    """(doc_ids, texts) of a few megabytes each. Ids stay Arrow arrays: they may be null."""
+    """(doc_ids, texts) of CHUNK_BYTES each. Ids stay Arrow arrays: they may be null."""
     for batch in batches:
         ids = batch.column("doc_id")
         text = batch.column("text")
