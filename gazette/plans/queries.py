@@ -89,6 +89,80 @@ DERIVED = (
 )
 TOKENS = "list_filter(string_split_regex(regexp_replace(lower(title), '[^a-z0-9가-힣]', ' ', 'g'), '\\s+'), lambda x: x <> '')"
 
+
+
+def tokens_of(c: str) -> str:
+    return TOKENS.replace("lower(title)", f"lower({c})")
+
+
+def first_of_kind(c: str) -> str:
+    """An array column without repeats, in its order."""
+    return f"list_filter({c}, lambda x, i: list_position({c}, x) = i)"
+
+
+def _in(words) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")" if words else "('')"
+
+
+_NORMAL = "CASE t " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in CFG.aliases) + " ELSE t END"
+for _ in range(3):
+    _NORMAL = f"regexp_replace({_NORMAL}, '^(.{{2,}}?)(?:{'|'.join(sorted(CFG.endings, key=len, reverse=True))})$', '\\1')"
+_VALID = "length({0}) >= CASE WHEN regexp_matches({0}, '[가-힣]') THEN 2 ELSE 3 END"
+_DATE = "regexp_matches({0}, '^(?:19|20)[0-9]{{2}}$|^2100$|^[0-9]+(?:년|월|일|분기|q)$|^[1-4]q$|^q[1-4]$')"
+_NOISE = f"({{0}} IN {_in((*CFG.stopwords, *CFG.noise_words))} OR regexp_matches({{0}}, '^[0-9]+$|^.$') OR regexp_matches({{0}}, '(?:{'|'.join(CFG.media_suffixes)})$'))"
+_NAMES = sorted({w for v in (CFG.event_labels, CFG.domain_labels, CFG.relations) for _, ws in v for w in ws} | set(CFG.actions))
+
+
+def normal_list(c: str) -> str:
+    return f"list_filter(list_transform({c}, lambda t: {_NORMAL}), lambda x: x NOT IN {_in(CFG.stopwords)} AND {_VALID.format('x')})"
+
+
+def _said_of(c: str, ws) -> str:
+    return "(" + " + ".join(f"list_contains({c}, '{w}')::INT" for w in ws) + ")"
+
+
+def cluster_steps(src: str, own: str, hint: str, name: str) -> str:
+    """Two steps that give the column `name`: the cluster key of the tokens own under the hint's tokens."""
+    events = some(f"CASE WHEN {_said_of('tk', ws)} >= 1 THEN '{label}' END" for label, ws in CFG.event_labels)
+    domains = some(f"CASE WHEN {_said_of('tk', ws)} >= 2 THEN '{label}' END" for label, ws in CFG.domain_labels)
+    relations = ", ".join(f"{{'n': -{_said_of('tk', ws)}, 'l': {-len(label)}, 'label': '{label}'}}" for label, ws in CFG.relations)
+    return f"""{name}_1 AS (SELECT *, CASE WHEN len({hint}) > 0 THEN {hint} ELSE {own} END AS tk, list_filter({own}, lambda x: NOT {_NOISE.format('x')} AND NOT {_DATE.format('x')} AND {_VALID.format('x')} AND x NOT IN {_in(_NAMES)}) AS names FROM {src}),
+ {name}_2 AS (SELECT *, {events} AS ev, {domains} AS dm, list_sort(list_filter([{relations}], lambda x: x.n < 0))[1].label AS rel FROM {name}_1),
+ {name}_3 AS (SELECT *, list_concat(list_filter([coalesce(rel || '_' || ev[1], ev[1], rel)], lambda x: x IS NOT NULL), dm[1:1], names[1:1], ev[2:10], dm[2:10], CASE WHEN len(names) > 0 AND (len(ev) > 0 OR len(dm) > 0) THEN [] ELSE names END) AS whole FROM {name}_2),
+ {name}_4 AS (SELECT * EXCLUDE (tk, names, ev, dm, rel, whole), array_to_string(({first_of_kind('whole')})[1:4], '/') AS {name} FROM {name}_3)"""
+
+
+_WORTH = f"(list_contains(ta, t)::INT * 3 + regexp_matches(t, '(?:{'|'.join(CFG.org_suffixes)})$')::INT * 2 + regexp_matches(t, '[0-9]')::INT * 2 + (length(t) >= 6)::INT)"
+KEYED = f"""{DERIVED}, k0 AS (SELECT item_id, title, summary, score, source, published_at, {tokens_of('title')} AS rt, {tokens_of('summary')} AS rs FROM derived),
+ k1 AS (SELECT *, {normal_list('rt')} AS a, {normal_list('rs')} AS b, list_concat(rt, rs) AS r FROM k0),
+ k2 AS (SELECT * EXCLUDE (a, b, r), {first_of_kind('a')} AS ta, {first_of_kind('b')} AS sa, {first_of_kind('r')} AS raw, {first_of_kind('rt')} AS hint FROM k1),
+ k3 AS (SELECT *, list_filter(list_concat(ta, list_filter(sa, lambda x: NOT list_contains(ta, x))), lambda x: NOT {_DATE.format('x')} AND x NOT IN {_in([w for _, ws in CFG.event_labels for w in ws] + list(CFG.actions))}) AS loose FROM k2),
+ k4 AS (SELECT *, CASE WHEN len(list_filter(loose, lambda x: NOT {_NOISE.format('x')})) >= 4 THEN list_filter(loose, lambda x: NOT {_NOISE.format('x')}) ELSE loose END AS pick FROM k3),
+ k5 AS (SELECT *, list_transform(list_sort(list_transform(pick, lambda t, i: {{'w': -{_WORTH}, 'i': i, 'l': -length(t), 't': t}}))[1:8], lambda x: x.t) AS best FROM k4),
+ k6 AS (SELECT *, coalesce(nullif(array_to_string(list_sort(CASE WHEN len(best) >= 4 THEN best ELSE list_concat(best, list_filter(raw, lambda x: NOT list_contains(best, x)))[1:4] END), '-'), ''), 'news') AS dedupe_key FROM k5),
+ k7 AS (SELECT *, list_filter(string_split(dedupe_key, '-'), lambda x: x <> '') AS own FROM k6),
+ {cluster_steps('k7', 'own', 'hint', 'cluster_key')},
+ keyed AS (SELECT * FROM cluster_key_4)"""
+_JUDGED = f"""j1 AS (SELECT *, list_filter(own, lambda x: NOT {_DATE.format('x')} AND x NOT IN {_in(label for label, _ in CFG.event_labels)}) AS jl FROM keyed),
+ j2 AS (SELECT *, list_filter(jl, lambda x: NOT {_NOISE.format('x')} AND {_VALID.format('x')})[1:8] AS js FROM j1),
+ j3 AS (SELECT *, coalesce(nullif(array_to_string(CASE WHEN len(js) >= 4 THEN js ELSE list_concat(js, list_filter(jl, lambda x: NOT list_contains(js, x)))[1:4] END, '-'), ''), dedupe_key) AS judged_key FROM j2)"""
+
+
+def jaccard_sql(a: str, b: str) -> str:
+    return f"(CASE WHEN len({a}) + len({b}) > 0 THEN len(list_intersect({a}, {b})) / (len({a}) + len({b}) - len(list_intersect({a}, {b})))::DOUBLE ELSE 0 END)"
+
+
+def grams_sql(key: str) -> str:
+    flat = f"regexp_replace({key}, '[- ]', '', 'g')"
+    return f"(CASE WHEN length({flat}) >= 2 THEN list_distinct(list_transform(range(1, length({flat})), lambda i: substr({flat}, i, 2))) ELSE [] END)"
+
+
+CLUSTERED = f"""{KEYED}, c1 AS (SELECT *, first_value(item_id) OVER w AS first, first_value(ta) OVER w AS ta2, first_value(dedupe_key) OVER w AS key2 FROM keyed WINDOW w AS (PARTITION BY cluster_key ORDER BY -score, item_id)),
+ c2 AS (SELECT item_id, first, len(list_filter(string_split_regex(cluster_key, '[/_-]'), lambda x: x <> '')) >= 2 AND item_id <> first AND {jaccard_sql('ta', 'ta2')} >= {max(0.3, CFG.title_threshold)} AND {jaccard_sql(grams_sql('dedupe_key'), grams_sql('key2'))} >= {max(0.3, CFG.key_threshold)} AS hit FROM c1),
+ clustered AS (SELECT item_id, CASE WHEN hit THEN 'merged' ELSE 'kept' END AS status, CASE WHEN hit THEN 'cluster_duplicate' END AS merge_reason, CASE WHEN hit THEN first END AS matched_to FROM c2)"""
+PREFIXED = """p1 AS (SELECT item_id, array_to_string(own[1:3], '-') AS prefix, score FROM keyed), p2 AS (SELECT *, first_value(item_id) OVER (PARTITION BY prefix ORDER BY -score, item_id) AS first FROM p1),
+ prefixed AS (SELECT item_id, CASE WHEN prefix <> '' AND item_id <> first THEN first END AS matched_to FROM p2)"""
+
 # flagship and row-local columns
 
 
@@ -205,7 +279,7 @@ def key_ngrams(spark, sf_dir):
     return articles(spark, sf_dir).select("item_id", F.size(tk.key_ngrams(F.array_join(tk.raw_tokens(F.col("title")), "-"))).alias("n_grams"))
 
 
-@query()
+@query(f"{KEYED}, {_JUDGED} SELECT item_id, dedupe_key, cluster_key, judged_key, array_to_string(ta, ' ') AS title_tokens FROM j3")
 def article_keys(spark, sf_dir):
     """TOK-2, KEY-1, KEY-2, PRJ-19."""
     return keyed(spark, sf_dir).select("item_id", "dedupe_key", "cluster_key", tk.judged_key(F.col("dedupe_key"), CFG).alias("judged_key"), F.array_join(tk.normal_tokens(F.col("title"), CFG), " ").alias("title_tokens"))
@@ -308,7 +382,7 @@ def title_duplicates(spark, sf_dir):
     return _merged(dedupe.title_duplicates(keyed(spark, sf_dir).select("id", "rank", "title"), CFG))
 
 
-@query()
+@query(f"{CLUSTERED} SELECT * FROM clustered")
 def cluster_duplicates(spark, sf_dir):
     """DED-2."""
     return _merged(dedupe.cluster_duplicates(keyed(spark, sf_dir).select("id", "rank", "title", "dedupe_key", "cluster_key"), CFG))
@@ -326,12 +400,10 @@ def key_similarity(spark, sf_dir):
     return _merged(dedupe.key_similarity(keyed(spark, sf_dir).select("id", "rank", "dedupe_key", "numbers", "entities"), CFG))
 
 
-@query(f"""{ARTICLES}, k AS (SELECT item_id, array_to_string(({TOKENS})[1:3], '-') AS prefix FROM articles), f AS (SELECT *, first_value(item_id) OVER (PARTITION BY prefix ORDER BY item_id) AS first FROM k)
-SELECT item_id, CASE WHEN prefix <> '' AND item_id <> first THEN first END AS matched_to FROM f""")
+@query(f"{KEYED}, {PREFIXED} SELECT * FROM prefixed")
 def key_prefixes(spark, sf_dir):
     """DED-5."""
-    df = articles(spark, sf_dir).select(F.col("item_id").alias("id"), F.col("item_id").alias("rank"), F.array_join(tk.raw_tokens(F.col("title")), "-").alias("dedupe_key"))
-    return dedupe.key_prefixes(df).select(F.col("id").alias("item_id"), "matched_to")
+    return dedupe.key_prefixes(keyed(spark, sf_dir).select("id", "rank", "dedupe_key")).select(F.col("id").alias("item_id"), "matched_to")
 
 
 @query()
@@ -347,10 +419,10 @@ def semantic_duplicates(spark, sf_dir):
     return _merged(dedupe.semantic(some_rows, pairs, CFG))
 
 
-@query(f"""{DERIVED} SELECT item_id FROM (SELECT item_id, title, row_number() OVER (PARTITION BY title ORDER BY (source IN {tuple(CFG.tier_a)}) DESC, score DESC, published_at DESC NULLS LAST, item_id) AS n FROM derived) WHERE title = '' OR n = 1""")
+@query(f"""{KEYED} SELECT item_id FROM (SELECT item_id, row_number() OVER (PARTITION BY dedupe_key ORDER BY (source IN {tuple(CFG.tier_a)}) DESC, score DESC, published_at DESC NULLS LAST, item_id) AS n FROM keyed) WHERE n = 1""")
 def unique_keys(spark, sf_dir):
-    """DED-8 with titles as keys."""
-    df = derived(spark, sf_dir).select(F.col("item_id").alias("id"), F.col("title").alias("dedupe_key"), F.when(F.col("source").isin(*CFG.tier_a), "ok").otherwise("low").alias("quality"), F.lit(0).alias("tier"), F.col("score").alias("importance"), "published_at")
+    """DED-8."""
+    df = keyed(spark, sf_dir).select("id", "dedupe_key", F.when(F.col("source").isin(*CFG.tier_a), "ok").otherwise("low").alias("quality"), F.lit(0).alias("tier"), F.col("score").alias("importance"), "published_at")
     return dedupe.unique_keys(df).select(F.col("id").alias("item_id"))
 
 
@@ -387,7 +459,7 @@ def merged_sources(spark, sf_dir):
     return aggregates.merged_sources(df).select("matched_to", F.array_join(F.transform("mentions", lambda x: x["source"]), ",").alias("sources"), "n")
 
 
-@query()
+@query(f"""{CLUSTERED}, {PREFIXED} SELECT merge_reason, count(*) AS n FROM (SELECT merge_reason FROM clustered WHERE merge_reason IS NOT NULL UNION ALL SELECT 'key_prefix' FROM prefixed WHERE matched_to IS NOT NULL) GROUP BY 1""")
 def merge_metrics(spark, sf_dir):
     """AGG-2 over two passes."""
     rows = keyed(spark, sf_dir)
@@ -727,7 +799,9 @@ def guarded_publish(spark, sf_dir):
     return sinks.read_dated(spark, path, "id string, date string").groupBy("date").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(f"""{KEYED}, both_ AS (SELECT *, {tokens_of("concat_ws(' ', title, summary)")} AS ts FROM keyed), hist AS (SELECT * EXCLUDE (ts), {first_of_kind('ts')} AS told FROM both_ WHERE published_at::DATE BETWEEN DATE '2024-01-03' - {CFG.history_days} AND DATE '2024-01-02'),
+ {cluster_steps('hist', 'own', 'told', 'rebuilt')}, {cluster_steps('rebuilt_4', 'own', 'own', 'bare')}, hk AS (SELECT item_id, published_at::DATE AS day, unnest([coalesce(nullif(cluster_key, ''), bare), rebuilt]) AS ck FROM bare_4),
+ history AS (SELECT ck, max_by(item_id, (day, item_id)) AS matched_to FROM hk WHERE ck <> '' GROUP BY 1) SELECT k.item_id, h.matched_to FROM keyed k LEFT JOIN history h ON h.ck = k.cluster_key WHERE k.published_at::DATE = DATE '2024-01-03'""")
 def recent_duplicates(spark, sf_dir):
     """SRC-5, JON-1, FLT-1: what the three days before had under either key is a recent duplicate (rows; the rule is tested)."""
     rows = dedupe.stored(keyed(spark, sf_dir).select("item_id", "title", "summary", "dedupe_key", "cluster_key", F.to_date("published_at").alias("date")))
