@@ -13,7 +13,8 @@ window belongs to exactly one segment.
 4. An anchor with more than `crowd` different segments doesn't go to one shard: it stands in a
    passage that many documents hold, with different texts around it. There each window is
    counted by a 128-bit hash, pre-aggregated like equal segments, and no body is sent. So no
-   shard holds more than its share and `crowd` segments, however common a passage is.
+   shard holds more than its share and `crowd` segments, however common a passage is. (Below
+   that an index is cheaper: a segment of bytes is up to 81 windows.)
 5. The windows found become intervals of tokens, gathered by document.
 
 No text is compared with all others; what is shuffled are hashes, the different segments of
@@ -159,7 +160,7 @@ def _windows(docs: DataFrame, kinds: DataFrame, unit: Unit) -> DataFrame:
     return _wanted(docs, kinds).mapInArrow(run, "h1 long, h2 long, doc_id long, at int")
 
 
-def repeated(docs: DataFrame, unit: Unit, search: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], keep_first: bool, per_shard: int = 4_000, crowd: int = 1_000) -> DataFrame:
+def repeated(docs: DataFrame, unit: Unit, search: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]], keep_first: bool, per_shard: int = 4_000, crowd: int = 20_000) -> DataFrame:
     """doc_id and spans, an array of (a, b): the tokens a to b - 1 are covered by windows that repeat.
 
     keep_first: the first place (by doc_id, then start) of a window isn't reported. search gets a
