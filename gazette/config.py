@@ -69,6 +69,9 @@ class Config:
     key_threshold: float = 0.35
     semantic_strict: float = 0.88
     semantic_relaxed: float = 0.85
+    # numbers: one spelling for each unit
+    currencies: tuple[str, ...] = ("usd", "eur", "gbp", "jpy", "krw")
+    unit_aliases: tuple[tuple[str, str], ...] = (("$", "usd"), ("dollar", "usd"), ("dollars", "usd"), ("달러", "usd"), ("€", "eur"), ("£", "gbp"), ("¥", "jpy"), ("₩", "krw"), ("원", "krw"), ("won", "krw"), ("percent", "%"), ("bn", "billion"), ("mn", "million"))
     # selection
     top_limit: int = 20
     category_minimums: tuple[tuple[str, int], ...] = (("economy", 1), ("technology", 1), ("culture", 1))

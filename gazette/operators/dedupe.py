@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette.config import Config
-from gazette.functions.text import jaccard
-from gazette.functions.tokens import HANGUL, is_date_like, is_org_like, key_ngrams, key_tokens, lit_array, normal_tokens
+from gazette.functions.text import bound, collapse, falsy, jaccard
+from gazette.functions.tokens import HANGUL, is_date_like, is_noise, is_org_like, key_ngrams, key_tokens, lit_array, normal_tokens
 from gazette.operators.joins import equal_sets, set_similarity_join
 
 
@@ -195,12 +195,30 @@ def key_prefixes(rows: DataFrame, tokens: int = 3) -> DataFrame:
     return merged_into(rows, df.where("id <> first").select(F.col("id").alias("lo"), F.col("first").alias("matched_to")), "key_prefix")
 
 
-def informs(text: Column, cfg: Config) -> Column:
-    """What a text tells: struct of numbers, entities, stages and results, over its first 2,000 characters (a rule of the operator)."""
-    low = F.lower(F.substring(text, 1, 2000))
-    numbers = F.array_distinct(F.regexp_extract_all(low, F.lit(r"[$€£]?\d[\d,.]*\d|\d"), F.lit(0)))
-    tokens = F.array_distinct(F.filter(F.split(F.regexp_replace(low, "[^a-z0-9가-힣]", " "), r"\s+"), lambda t: (F.length(t) >= 5) & ~is_date_like(t) & ~t.isin(*cfg.stopwords)))
-    return F.struct(F.filter(numbers, lambda n: ~is_date_like(n)).alias("numbers"), tokens.alias("entities"), F.array_intersect(tokens, lit_array(cfg.structural)).alias("stages"), F.array_intersect(tokens, lit_array(cfg.actions)).alias("results"))
+NUMBER = r"([$€£¥₩]|usd|eur|gbp|jpy|krw)?\s*(\d+(?:\.\d+)?)\s*(billion|million|trillion|thousand|percent|usd|eur|gbp|jpy|krw|%|dollars?|won|bn|mn|억|만|조|달러|원)?"
+
+
+def _number_tokens(text: Column, cfg: Config) -> Column:
+    """Numbers with currency and magnitude in one spelling each: with both, also the one without the currency; no dates."""
+    aliases = F.create_map(*[F.lit(x) for pair in cfg.unit_aliases for x in pair])
+    flat = F.regexp_replace(text, ",", "")
+    parts = [F.regexp_extract_all(flat, F.lit(NUMBER), F.lit(k)) for k in (1, 2, 3)]
+    spelt = lambda u: F.coalesce(F.try_element_at(aliases, u), u)
+
+    def told(x: Column) -> Column:
+        unit = lambda field, money: F.when(spelt(x[field]).isin(*cfg.currencies) == money, spelt(x[field])).otherwise("")
+        money, size = F.coalesce(falsy(unit("0", True)), unit("2", True)), F.coalesce(falsy(unit("2", False)), unit("0", False))
+        return bound(F.struct(money.alias("m"), size.alias("s")), lambda u: F.array_distinct(F.array(F.concat(x["1"], u["m"], u["s"]), F.when((u["m"] != "") & (u["s"] != ""), F.concat(x["1"], u["s"])).otherwise(F.concat(x["1"], u["m"], u["s"])))))
+
+    return F.array_distinct(F.flatten(F.transform(F.filter(F.arrays_zip(*(p.alias(str(k)) for k, p in enumerate(parts))), lambda x: ~is_date_like(x["1"])), told)))
+
+
+def informs(title: Column, summary: Column, text: Column, cfg: Config) -> Column:
+    """What an article tells: struct of numbers, entities, stages and results. Only the first 2,000 characters of title, summary and body count, a rule of the operator."""
+    low = F.lower(F.substring(collapse(F.concat_ws(" ", title, summary, text)), 1, 2000))
+    names = F.array_union(normal_tokens(title, cfg), normal_tokens(summary, cfg))
+    said = lambda c, words: F.filter(lit_array(words), lambda w: F.contains(F.concat(F.lit(" "), F.regexp_replace(c, "[^a-z0-9가-힣]", " "), F.lit(" ")), F.concat(F.lit(" "), w, F.lit(" "))))
+    return bound(low, lambda c: F.struct(_number_tokens(c, cfg).alias("numbers"), F.filter(names, lambda t: ~is_noise(t, cfg) & ~is_date_like(t)).alias("entities"), said(c, cfg.structural).alias("stages"), said(c, cfg.actions).alias("results")))
 
 
 def adds_information(later: Column, earlier: Column) -> Column:
@@ -209,18 +227,36 @@ def adds_information(later: Column, earlier: Column) -> Column:
 
 
 def semantic(rows: DataFrame, pairs: DataFrame, cfg: Config, relaxed: bool = False) -> DataFrame:
-    """rows(id, rank, cluster_key, key_prefix, told), pairs(lo, hi, cosine) over bounded candidates; a later row that adds information stays."""
-    a, b = rows.select(*(F.col(c).alias(f"{c}1") for c in ("id", "cluster_key", "key_prefix", "told"))), rows.select(*(F.col(c).alias(f"{c}2") for c in ("id", "cluster_key", "key_prefix", "told")))
-    df = pairs.join(a.withColumnRenamed("id1", "lo"), "lo").join(b.withColumnRenamed("id2", "hi"), "hi")
+    """rows(id, rank, cluster_key, key_prefix, words, told), pairs(lo, hi, cosine) over bounded candidates; a later row that adds information stays.
+
+    Rows with two different cluster keys need equal prefixes or half of the smaller one's words in
+    common, and then less likeness. A row without a cluster key differs from none, an empty prefix
+    equals none. The relaxed pass asks for likeness alone.
+    """
+    side = lambda k: rows.select(*(F.col(c).alias(f"{c}{k}") for c in ("id", "cluster_key", "key_prefix", "words", "told")))
+    df = pairs.join(side(1).withColumnRenamed("id1", "lo"), "lo").join(side(2).withColumnRenamed("id2", "hi"), "hi")
     if relaxed:
         ok = F.col("cosine") >= cfg.semantic_relaxed
     else:
-        same = F.col("cluster_key1") == F.col("cluster_key2")
-        ok = F.when(same, F.col("cosine") >= cfg.semantic_strict).otherwise((F.col("key_prefix1") == F.col("key_prefix2")) & (F.col("cosine") >= 0.85))
+        key = lambda k: F.coalesce(f"cluster_key{k}", F.lit(""))
+        apart = (key(1) != "") & (key(2) != "") & (key(1) != key(2))
+        same_prefix = (F.coalesce("key_prefix1", F.lit("")) != "") & (F.col("key_prefix1") == F.col("key_prefix2"))
+        smaller = F.least(F.size("words1"), F.size("words2"))
+        alike = (smaller > 0) & (F.size(F.array_intersect("words1", "words2")) >= 0.5 * smaller)
+        ok = F.when(apart, (same_prefix | alike) & (F.col("cosine") >= max(0.82, cfg.semantic_strict - 0.03))).otherwise(F.col("cosine") >= cfg.semantic_strict)
     edges = df.where(ok & ~adds_information(F.col("told1"), F.col("told2"))).select("lo", "hi")
     return merged_into(rows, resolve(_edges(edges, rows)), "semantic_duplicate")
 
 
+def semantic_passes(rows: DataFrame, pairs: DataFrame, cfg: Config) -> DataFrame:
+    """The strict pass, then the relaxed one over the rows that it kept."""
+    first = stored(semantic(rows, pairs, cfg).select("id", "status", "merge_reason", "matched_to"))
+    left = rows.join(first.where("status = 'kept'").select("id"), "id", "left_semi")
+    among = pairs.join(left.select(F.col("id").alias("lo")), "lo", "left_semi").join(left.select(F.col("id").alias("hi")), "hi", "left_semi")
+    second = semantic(left, among, cfg, relaxed=True).select("id", "status", "merge_reason", "matched_to")
+    return first.where("status = 'merged'").unionByName(second)
+
+
 def unique_keys(rows: DataFrame, reference_rule: bool = False) -> DataFrame:
     """The best row of each key by (quality ok, tier, importance, newest). Rows without a key stay, unless the old rule is asked for; they pass no window."""
     w = Window.partitionBy("dedupe_key").orderBy(F.desc(F.col("quality") == "ok"), F.desc("tier"), F.desc("importance"), F.desc("published_at"), "id")

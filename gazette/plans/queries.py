@@ -408,15 +408,17 @@ def key_prefixes(spark, sf_dir):
 
 @query()
 def semantic_duplicates(spark, sf_dir):
-    """DED-6, DED-7: the candidates of TOP-6, strict pass."""
+    """DED-6, DED-7: the candidates of TOP-6, the strict pass, then the relaxed one."""
     rows = keyed(spark, sf_dir)
     best = selection.semantic_candidates(rows.select("item_id", "score", "cluster_key", "key_prefix"), CFG).select("item_id")
-    some_rows = rows.join(F.broadcast(best), "item_id", "left_semi").select("id", "rank", "cluster_key", "key_prefix", dedupe.informs(F.col("full_text"), CFG).alias("told"))
+    chosen = rows.join(best, "item_id", "left_semi")  # at most 48 rows
+    words = F.array_distinct(F.filter(tk.raw_tokens(F.concat_ws(" ", "title", "summary")), tk.valid_length))
+    some_rows = dedupe.stored(chosen.select("id", "rank", "cluster_key", "key_prefix", words.alias("words"), dedupe.informs(F.col("title"), F.col("summary"), F.col("full_text"), CFG).alias("told")))
     v = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")).join(some_rows.select("id"), "id", "left_semi")
     ranks = some_rows.select("id", "rank")
     pairs = joins.cosine_join(v, v, 0.82).join(ranks.select(F.col("id").alias("query"), F.col("rank").alias("rq")), "query").join(ranks, "id")
     pairs = pairs.where(F.struct("rq", "query") > F.struct("rank", "id")).select(F.col("query").alias("lo"), F.col("id").alias("hi"), "cosine")
-    return _merged(dedupe.semantic(some_rows, pairs, CFG))
+    return dedupe.semantic_passes(some_rows, dedupe.stored(pairs), CFG).select(F.col("id").alias("item_id"), "status", "merge_reason", "matched_to")
 
 
 @query(f"""{KEYED} SELECT item_id FROM (SELECT item_id, row_number() OVER (PARTITION BY dedupe_key ORDER BY (source IN {tuple(CFG.tier_a)}) DESC, score DESC, published_at DESC NULLS LAST, item_id) AS n FROM keyed) WHERE n = 1""")

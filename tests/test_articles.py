@@ -331,3 +331,57 @@ def test_source_names(spark):
     df = spark.createDataFrame([("The Alpha Daily News",), (None,), ("",)], "s string")
     got = [r[0] for r in df.select(tx.normalize_source(F.col("s"), CFG)).collect()]
     assert len(got) == 3 and got[0] and "Daily" not in got[0]
+
+
+def test_numbers_have_one_spelling(spark):
+    said = {"$1,500 million and 3 percent of 2024": {"1500usdmillion", "1500million", "3%"}, "usd 1500 million": {"1500usdmillion", "1500million"}, "5 dollars, 5 bn": {"5usd", "5billion"}, "none": set()}
+    df = spark.createDataFrame([(s,) for s in said], "s string").select("s", dedupe.informs(F.lit(""), F.lit(""), F.col("s"), CFG)["numbers"].alias("n"))
+    assert {r["s"]: set(r["n"]) for r in df.collect()} == said
+
+
+@pytest.mark.parametrize("relaxed", [False, True])
+def test_semantic_pass_is_the_sequential_walk(spark, relaxed):
+    rng = random.Random(9)
+    rows = [(i, float(i), rng.choice(["", "c/1", "c/2", None]), rng.choice(["", "p-1", "p-2"]), rng.sample("abcdef", rng.randint(0, 4)), (rng.sample(["1", "2"], rng.choice([0, 0, 1])), [], [], [])) for i in range(40)]
+    cosine = {(a, b): rng.uniform(0.8, 0.95) for a in range(40) for b in range(a)}
+
+    def matches(a, b):
+        if set(rows[a][5][0]) - set(rows[b][5][0]):
+            return False
+        if relaxed:
+            return cosine[a, b] >= CFG.semantic_relaxed
+        x, y = rows[a], rows[b]
+        if x[2] and y[2] and x[2] != y[2]:
+            small = min(len(x[4]), len(y[4]))
+            close = (x[3] and x[3] == y[3]) or (small and len(set(x[4]) & set(y[4])) / small >= 0.5)
+            return bool(close) and cosine[a, b] >= 0.85
+        return cosine[a, b] >= CFG.semantic_strict
+
+    df = spark.createDataFrame(rows, "id long, rank double, cluster_key string, key_prefix string, words array<string>, told struct<numbers:array<string>,entities:array<string>,stages:array<string>,results:array<string>>")
+    pairs = spark.createDataFrame([(a, b, c) for (a, b), c in cosine.items()], "lo long, hi long, cosine double")
+    got = {r["id"]: r["matched_to"] for r in dedupe.semantic(df, pairs, CFG, relaxed).collect() if r["matched_to"] is not None}
+    assert got == walk(40, {p for p in cosine if matches(*p)})
+
+
+def test_entity_pass_is_the_sequential_walk(spark):
+    rng = random.Random(14)
+    names = ["alphas", "bravos", "ab", "cd", "thecorp"]
+    rows = [(i, float(i), rng.sample(names, rng.randint(0, 3)), rng.sample(["e1", "e2"], rng.randint(0, 2)), rng.choice([None, "", "sold"])) for i in range(60)]
+
+    def matches(a, b):
+        x, y = rows[a], rows[b]
+        if not (x[2] and y[2] and x[3] and y[3]):
+            return False
+        shared = set(x[2]) & set(y[2])
+        strong = any(s.endswith("corp") or len(s) >= 5 for s in shared)
+        return bool(x[4] and x[4] == y[4] and x[2][0] == y[2][0]) or bool(set(x[3]) & set(y[3]) and (len(shared) >= 2 or strong))
+
+    df = spark.createDataFrame(rows, "id long, rank double, entities array<string>, events array<string>, action string")
+    got = {r["id"]: r["matched_to"] for r in dedupe.entity_events(df, CFG).collect() if r["matched_to"] is not None}
+    assert got == walk(60, {(a, b) for a in range(60) for b in range(a) if matches(a, b)})
+
+
+def test_cluster_pass_compares_with_the_first(spark):
+    rows = [(1, 1.0, "alpha bravo charlie", "alpha-bravo-charlie", "x/y"), (2, 2.0, "alpha bravo charlie delta", "alpha-bravo-charlie", "x/y"), (3, 3.0, "other words here", "zz-yy", "x/y"), (4, 4.0, "alpha bravo charlie", "alpha-bravo-charlie", "solo"), (5, 5.0, "alpha bravo charlie", "alpha-bravo-charlie", "solo"), (6, 6.0, "alpha", "alpha", ""), (7, 7.0, "alpha", "alpha", None)]
+    df = spark.createDataFrame(rows, "id long, rank double, title string, dedupe_key string, cluster_key string")
+    assert {r["id"]: r["matched_to"] for r in dedupe.cluster_duplicates(df, CFG).collect()} == {1: None, 2: 1, 3: None, 4: None, 5: None, 6: None, 7: None}
