@@ -69,6 +69,10 @@ class Config:
     key_threshold: float = 0.35
     semantic_strict: float = 0.88
     semantic_relaxed: float = 0.85
+    # page texts: marks of code, of style sheets and of log-in pages
+    script_marks: tuple[str, ...] = ("function(", "var ", "window.", "document.", "=>")
+    style_marks: tuple[str, ...] = ("{", "}", "px;", "margin:", "font-")
+    login_marks: tuple[str, ...] = ("log in", "sign in", "cookies")
     # numbers: one spelling for each unit
     currencies: tuple[str, ...] = ("usd", "eur", "gbp", "jpy", "krw")
     unit_aliases: tuple[tuple[str, str], ...] = (("$", "usd"), ("dollar", "usd"), ("dollars", "usd"), ("달러", "usd"), ("€", "eur"), ("£", "gbp"), ("¥", "jpy"), ("₩", "krw"), ("원", "krw"), ("won", "krw"), ("percent", "%"), ("bn", "billion"), ("mn", "million"))

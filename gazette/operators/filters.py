@@ -185,10 +185,10 @@ def article_gate(text: Column, cfg: Config, least: int = 50) -> Column:
     dashes, dots = F.size(F.split(text, " - ", -1)) - 1, F.size(F.split(text, r"\.\.\.|…", -1)) - 1
     return (
         F.when(F.length(F.trim(F.coalesce(text, F.lit("")))) < least, "too_short")
-        .when(count(("function(", "var ", "window.", "document.", "=>")) >= 3, "script")
-        .when(count(("{", "}", "px;", "margin:", "font-")) >= 3, "style")
+        .when(count(cfg.script_marks) >= 3, "script")
+        .when(count(cfg.style_marks) >= 3, "style")
         .when(count(cfg.boilerplate) >= 2, "policy")
-        .when(count(("log in", "sign in", "cookies")) >= 1, "login")
+        .when(count(cfg.login_marks) >= 1, "login")
         .when((dashes >= 4) | ((dots >= 3) & (dashes >= 2)), "listing")
     )
 

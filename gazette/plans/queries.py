@@ -157,6 +157,19 @@ def grams_sql(key: str) -> str:
     return f"(CASE WHEN length({flat}) >= 2 THEN list_distinct(list_transform(range(1, length({flat})), lambda i: substr({flat}, i, 2))) ELSE [] END)"
 
 
+def greedy_sql(rows: str, edges: str) -> str:
+    """Steps that end in walked(item_id, hit): rows(item_id, score) in rank order, each merged into the earliest kept one that edges(lo, hi) joins it with."""
+    return f"""line AS (SELECT item_id, row_number() OVER (ORDER BY -score, item_id) AS n FROM {rows}),
+ above AS MATERIALIZED (SELECT l.n, l.item_id, coalesce(list(h.item_id ORDER BY h.n) FILTER (h.item_id IS NOT NULL), []) AS his FROM line l LEFT JOIN {edges} e ON e.lo = l.item_id LEFT JOIN line h ON h.item_id = e.hi AND h.n < l.n GROUP BY 1, 2),
+ walk AS (SELECT 0::BIGINT AS n, []::BIGINT[] AS kept, NULL::BIGINT AS item_id, NULL::BIGINT AS hit
+  UNION ALL SELECT a.n, CASE WHEN len(list_filter(a.his, lambda x: list_contains(w.kept, x))) = 0 THEN list_append(w.kept, a.item_id) ELSE w.kept END, a.item_id, list_filter(a.his, lambda x: list_contains(w.kept, x))[1] FROM walk w JOIN above a ON a.n = w.n + 1),
+ walked AS (SELECT item_id, hit FROM walk WHERE n > 0)"""
+
+
+def recursive(sql: str) -> str:
+    return "WITH RECURSIVE" + sql.removeprefix("WITH")
+
+
 CLUSTERED = f"""{KEYED}, c1 AS (SELECT *, first_value(item_id) OVER w AS first, first_value(ta) OVER w AS ta2, first_value(dedupe_key) OVER w AS key2 FROM keyed WINDOW w AS (PARTITION BY cluster_key ORDER BY -score, item_id)),
  c2 AS (SELECT item_id, first, len(list_filter(string_split_regex(cluster_key, '[/_-]'), lambda x: x <> '')) >= 2 AND item_id <> first AND {jaccard_sql('ta', 'ta2')} >= {max(0.3, CFG.title_threshold)} AND {jaccard_sql(grams_sql('dedupe_key'), grams_sql('key2'))} >= {max(0.3, CFG.key_threshold)} AS hit FROM c1),
  clustered AS (SELECT item_id, CASE WHEN hit THEN 'merged' ELSE 'kept' END AS status, CASE WHEN hit THEN 'cluster_duplicate' END AS merge_reason, CASE WHEN hit THEN first END AS matched_to FROM c2)"""
@@ -376,7 +389,11 @@ def _merged(df: DataFrame) -> DataFrame:
     return df.select(F.col("id").alias("item_id"), "status", "merge_reason", "matched_to")
 
 
-@query()
+@query(recursive(f"""{KEYED}, words AS (SELECT item_id, score, len(ta) AS n, unnest(ta) AS w FROM keyed), shared AS (SELECT a.item_id AS lo, b.item_id AS hi, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k FROM words a JOIN words b ON a.w = b.w AND a.item_id <> b.item_id GROUP BY 1, 2),
+ near AS (SELECT lo, hi FROM shared WHERE k / (na + nb - k)::DOUBLE >= {CFG.title_threshold}), {greedy_sql('keyed', 'near')},
+ exact AS (SELECT k.item_id, first_value(k.item_id) OVER (PARTITION BY title ORDER BY -score, k.item_id) AS first FROM keyed k JOIN walked w ON w.item_id = k.item_id AND w.hit IS NULL WHERE title <> ''),
+ done AS (SELECT w.item_id, coalesce(w.hit, CASE WHEN e.first <> e.item_id THEN e.first END) AS matched_to FROM walked w LEFT JOIN exact e ON e.item_id = w.item_id)
+SELECT item_id, CASE WHEN matched_to IS NULL THEN 'kept' ELSE 'merged' END AS status, CASE WHEN matched_to IS NOT NULL THEN 'title_duplicate' END AS merge_reason, matched_to FROM done"""))
 def title_duplicates(spark, sf_dir):
     """DED-1 (resolver and pass are tested against a sequential walk)."""
     return _merged(dedupe.title_duplicates(keyed(spark, sf_dir).select("id", "rank", "title"), CFG))
@@ -388,7 +405,12 @@ def cluster_duplicates(spark, sf_dir):
     return _merged(dedupe.cluster_duplicates(keyed(spark, sf_dir).select("id", "rank", "title", "dedupe_key", "cluster_key"), CFG))
 
 
-@query()
+@query(recursive(f"""{KEYED}, told AS (SELECT item_id, score, list_concat(rt, rs) AS tk, {first_of_kind('own')} AS ow FROM keyed),
+ named AS (SELECT *, list_filter(ow, lambda x: NOT {_NOISE.format('x')} AND NOT {_DATE.format('x')} AND {_VALID.format('x')} AND x NOT IN {_in(_NAMES)})[1:8] AS names, {some(f"CASE WHEN {_said_of('tk', ws)} >= 1 THEN '{label}' END" for label, ws in CFG.event_labels)} AS ev, list_filter(tk, lambda x: x IN {_in(CFG.actions)})[1] AS action FROM told),
+ may AS (SELECT * FROM named WHERE len(names) > 0 AND len(ev) > 0),
+ met AS (SELECT a.item_id AS lo, b.item_id AS hi, list_filter(a.names, lambda x: list_contains(b.names, x)) AS both_, coalesce(a.action = b.action AND a.names[1] = b.names[1], FALSE) AS same, list_has_any(a.ev, b.ev) AS event FROM may a JOIN may b ON a.item_id <> b.item_id),
+ near AS (SELECT lo, hi FROM met WHERE same OR (event AND (len(both_) >= 2 OR len(list_filter(both_, lambda x: regexp_matches(x, '(?:{'|'.join(CFG.org_suffixes)})$') OR regexp_matches(x, '^[가-힣]{{3,}}$') OR regexp_matches(x, '^[a-z0-9]{{5,}}$'))) > 0))), {greedy_sql('keyed', 'near')}
+SELECT item_id, CASE WHEN hit IS NULL THEN 'kept' ELSE 'merged' END AS status, CASE WHEN hit IS NOT NULL THEN 'entity_event' END AS merge_reason, hit AS matched_to FROM walked"""))
 def entity_events(spark, sf_dir):
     """DED-3."""
     return _merged(dedupe.entity_events(keyed(spark, sf_dir).select("id", "rank", "entities", "events", "action"), CFG))
@@ -577,8 +599,8 @@ def _count(words) -> str:
     return "(" + " + ".join(f"contains(lower(text), '{w}')::INT" for w in words) + ")"
 
 
-@query(f"""SELECT doc_id AS item_id, CASE WHEN length(trim(coalesce(text, ''))) < 50 THEN 'too_short' WHEN {_count(("function(", "var ", "window.", "document.", "=>"))} >= 3 THEN 'script' WHEN {_count(("{", "}", "px;", "margin:", "font-"))} >= 3 THEN 'style'
- WHEN {_count(w.lower() for w in CFG.boilerplate)} >= 2 THEN 'policy' WHEN {_count(("log in", "sign in", "cookies"))} >= 1 THEN 'login' WHEN len(string_split(text, ' - ')) - 1 >= 4 THEN 'listing' END AS reason FROM documents""")
+@query(f"""SELECT doc_id AS item_id, CASE WHEN length(trim(coalesce(text, ''))) < 50 THEN 'too_short' WHEN {_count(CFG.script_marks)} >= 3 THEN 'script' WHEN {_count(CFG.style_marks)} >= 3 THEN 'style'
+ WHEN {_count(w.lower() for w in CFG.boilerplate)} >= 2 THEN 'policy' WHEN {_count(CFG.login_marks)} >= 1 THEN 'login' WHEN len(string_split(text, ' - ')) - 1 >= 4 THEN 'listing' END AS reason FROM documents""")
 def article_gate(spark, sf_dir):
     """FLT-20."""
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), filters.article_gate(F.col("text"), CFG).alias("reason"))
