@@ -179,28 +179,33 @@ ID_BITS = 1 << 25
 _PAGE = 1 << 15
 
 
-def _slots(ids: np.ndarray) -> np.ndarray:
+def _slots(ids: np.ndarray, size: int = ID_BITS) -> np.ndarray:
     ids = ids.astype(np.int64)
-    return (ids ^ ids >> 25 ^ ids >> 50) & (ID_BITS - 1)
+    return (ids ^ ids >> 25 ^ ids >> 50) & (size - 1)
 
 
-def id_bits(rows: DataFrame, column: str = "doc_id") -> np.ndarray:
-    """A bit map of hashed values, of fixed size. With very many values it fills up and thins out less; it never loses one.
+def bits_for(count: int) -> int:
+    """Bits of a map for so many values: 16 each, from 128 KB to 32 MB."""
+    return 1 << min(28, max(20, (16 * count - 1).bit_length()))
 
-    Values are dealt out by page, so that each of the 1,024 pages of 4 KB is built once, by Spark's bitmap aggregate.
+
+def id_bits(rows: DataFrame, column: str = "doc_id", size: int = ID_BITS) -> np.ndarray:
+    """A bit map of hashed values. With very many values for its size it fills up and thins out less; it never loses one.
+
+    Values are dealt out by page, so that each page of 4 KB is built once, by Spark's bitmap aggregate.
     """
     v = F.col(column)
-    slot = v.bitwiseXOR(F.shiftright(v, 25)).bitwiseXOR(F.shiftright(v, 50)).bitwiseAND(F.lit(ID_BITS - 1))
+    slot = v.bitwiseXOR(F.shiftright(v, 25)).bitwiseXOR(F.shiftright(v, 50)).bitwiseAND(F.lit(size - 1))
     places = rows.where(v.isNotNull()).select(F.shiftright(slot, 15).alias("page"), slot.bitwiseAND(F.lit(_PAGE - 1)).alias("at"))
     pages = places.repartition("page").groupBy("page").agg(F.bitmap_construct_agg("at").alias("bits")).toArrow()
-    out = np.zeros((ID_BITS // _PAGE, _PAGE // 8), np.uint8)
+    out = np.zeros((size // _PAGE, _PAGE // 8), np.uint8)
     for page, bits in zip(pages["page"].to_pylist(), pages["bits"].to_pylist()):
         out[page] = np.frombuffer(bits, np.uint8)
     return out.ravel()
 
 
 def in_bits(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    at = _slots(values)
+    at = _slots(values, len(bits) * 8)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
 
 

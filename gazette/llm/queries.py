@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fm_index, gam, licences, ngrams, oracles, rules, secrets, suffix_array, toxicity
+from . import bpe, collocations, decontaminate, fim, fm_index, gam, html_text, licences, ngrams, oracles, rules, secrets, suffix_array, toxicity
 from .common import table
 
 
@@ -57,6 +57,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
+def op13_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.transformed(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
@@ -68,5 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licences": op8_licences,
     "op9_rules": op9_rules,
     "op10_bpe": op10_bpe,
+    "op11_collocations": op11_collocations,
+    "op12_html_text": op12_html_text,
+    "op13_fim": op13_fim,
 }
 ORACLES: dict[str, str] = oracles.ORACLES
