@@ -43,11 +43,12 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 GONE = frozenset("nav footer aside script style noscript iframe svg button select option textarea template dialog menu object video audio canvas head".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar toolbar tablist".split())
 #: Words of class and id that tell what an element is; a trailing * stands for any ending. FRAME words don't count beside an ARTICLE word.
-COMMENTS = "comment comments commentlist commenting commenter disqus* respond* reply replies discussion*"
-OTHER = (
-    "ad ads adv adbox adslot adunit adwrap advert* adsense adsby* sponsor* promo* cookie* consent* gdpr notice notices popup* modal* overlay* newsletter* subscri* signup* paywall* sidebar* sidecolumn rail aside menu menus nav navbar* navigation navlinks breadcrumb* topbar* toolbar* "
-    "related* recommend* share* sharing social widget* feedback* login* pagination pager paging tagcloud outbrain taboola teaser* announcement*"
+#: What LOOSE and FRAME words name may also be a box around everything, as in "has-sidebar".
+STRICT = (
+    "comment comments commentlist commenting commenter disqus* respond* reply replies discussion* ad ads adv adbox adslot adunit adwrap advert* adsense adsby* sponsor* promo* cookie* consent* gdpr notice notices newsletter* subscri* signup* paywall* aside menu menus nav navbar* navigation navlinks breadcrumb* "
+    "related* recommend* share* sharing social feedback* login* pagination pager paging tagcloud outbrain taboola teaser* announcement*"
 )
+LOOSE = "sidebar* sidecolumn rail widget* topbar* toolbar* popup* modal* overlay*"
 FRAME = "header head masthead banner* alert* footer foot search* skip* tags toc print* legal copyright disclaimer*"
 ARTICLE = frozenset("article content main body entry post story text".split())
 PROSE = frozenset("p pre blockquote".split())
@@ -69,7 +70,7 @@ def _one_of(words: str) -> re.Pattern:
     return re.compile("(?:" + "|".join(w[:-1] + ".*" if w.endswith("*") else w for w in words.split()) + ")")
 
 
-_COMMENTS, _OTHER, _FRAME = _one_of(COMMENTS), _one_of(OTHER), _one_of(FRAME)
+_STRICT, _LOOSE, _FRAME = _one_of(STRICT), _one_of(LOOSE), _one_of(FRAME)
 
 
 def _tokens(html: str) -> Iterator[tuple[str, str, str]]:
@@ -110,7 +111,7 @@ class _Page:
 
     def __init__(self, html: str) -> None:
         self.tag, self.parent, self.end, self.gone = ["html"], [-1], [0], [False]
-        self.named = [""]  # what its name or role tells: "", "comment" or "other"
+        self.named = [""]  # what its name or role tells: "", "strict" or "loose"
         self.blocks: list[tuple[int, str, int]] = []
         self._open, self._text, self._links, self._in_link, self._muted = [0], [], [], 0, 0
         for kind, name, rest in _tokens(html):
@@ -186,7 +187,7 @@ class _Page:
         self.parent.append(self._open[-1])
         self.end.append(k + 1)
         named, hidden = self._told(name, rest) if rest and name not in ("html", "body") else ("", False)
-        self.named.append(named or "other" * (name == "form"))
+        self.named.append(named or "loose" * (name == "form"))
         self.gone.append(hidden or name in GONE)
         self._open.append(k)
         self._in_link += name == "a"
@@ -200,12 +201,12 @@ class _Page:
             if which in ("class", "id") and name in BLOCK:
                 for part in value.split():
                     words = [w.lower() for w in _WORDS.findall(part)]
-                    if any(map(_COMMENTS.fullmatch, words)):
-                        named = "comment"
-                    elif not named and (any(map(_OTHER.fullmatch, words)) or name not in ("article", "main") and ARTICLE.isdisjoint(words) and any(map(_FRAME.fullmatch, words))):
-                        named = "other"
+                    if any(map(_STRICT.fullmatch, words)):
+                        named = "strict"
+                    elif not named and (any(map(_LOOSE.fullmatch, words)) or name not in ("article", "main") and ARTICLE.isdisjoint(words) and any(map(_FRAME.fullmatch, words))):
+                        named = "loose"
             elif which == "role":
-                named = named or "other" * (value.strip().lower() in ROLES)
+                named = named or "strict" * (value.strip().lower() in ROLES)
             else:
                 hidden |= which == "hidden" or which == "aria-hidden" and value.lower() == "true" or which == "style" and _HIDDEN.search(value) is not None
         return named, hidden
@@ -244,7 +245,7 @@ def _shares(page: _Page, dropped: list[bool]) -> tuple[list[int], list[int], lis
 
 
 def _dropped(page: _Page) -> list[bool]:
-    """Elements whose text isn't the article's. Around the page's main article nothing goes by its name, and without one no element with most of the prose, but for comments."""
+    """Elements whose text isn't the article's. Nothing around the page's main article goes by its name; on pages without any, no loosely named element with most of the prose."""
     n = len(page.tag)
     gone, against = [False] * n, [False] * n
     for k in range(1, n):
@@ -254,6 +255,7 @@ def _dropped(page: _Page) -> list[bool]:
     chars, links, _ = _shares(page, gone)
     articles = [k for k in range(1, n) if page.tag[k] in ("article", "main") and not gone[k] and not page.named[k] and chars[k] > links[k]]
     heart = max(articles, key=lambda k: (not against[k], page.tag[k] == "article", chars[k] - links[k], -k), default=0)
+    marked = sum(page.tag[k] in ("article", "main") and not gone[k] for k in range(n))
     spared, up = set(), heart
     while up > 0:
         spared.add(up)
@@ -262,7 +264,7 @@ def _dropped(page: _Page) -> list[bool]:
     for k in range(1, n):
         up = page.parent[k]
         inside[k] = inside[up] or page.tag[k] in ("article", "main")
-        most = not heart and page.named[k] != "comment" and 2 * (chars[k] - links[k]) > chars[0] - links[0]
+        most = marked == 0 and page.named[k] != "strict" and 2 * (chars[k] - links[k]) > chars[0] - links[0]
         framed = page.named[k] or page.tag[k] == "header" and not inside[up]
         out[k] = out[up] or page.gone[k] or bool(framed) and k not in spared and not most
     return out
