@@ -36,9 +36,9 @@ from .common import BATCH_BYTES, BATCH_DEFAULT, BATCH_SETTING, bits_for, drop_wr
 
 LONGEST = 4
 #: Bytes of text of which a shard makes one transducer.
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 5 << 20
 #: Phrases that a union holds unsummed at most.
-PENDING = 1 << 20
+PENDING = 3 << 18
 #: Scores are in parts of this number.
 SCALE = 2_000_000
 #: An automaton's row. words: its labels' texts; degree: arcs of each state, the last state is the root, state 0 the final one; label, weight, target: of each arc, by state and label.
@@ -252,13 +252,23 @@ def shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[np.nd
 
 
 def _sum(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Equal phrases summed up."""
+    """Equal phrases summed up, in order. Word numbers are packed two by two, so that a sort has two keys, and one where no phrase is longer than a pair."""
     if not len(grams):
         return grams, counts
-    order = np.lexsort(grams.T[::-1])
-    grams, counts = grams[order], counts[order]
-    new = np.concatenate([[True], (grams[1:] != grams[:-1]).any(axis=1)])
-    return grams[new], np.add.reduceat(counts, np.flatnonzero(new))
+    base = np.int64(grams.max() + 2)
+    packed = lambda d: (grams[:, d] + np.int64(1)) * base + (grams[:, d + 1] + np.int64(1))
+    one = packed(0)
+    if (grams[:, 2] < 0).all():
+        order = np.argsort(one, kind="stable")
+        one = one[order]
+        new = np.concatenate([[True], one[1:] != one[:-1]])
+    else:
+        two = packed(2)
+        order = np.lexsort((two, one))
+        one, two = one[order], two[order]
+        new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
+    first = np.flatnonzero(new)
+    return grams[order[first]], np.add.reduceat(counts[order], first)
 
 
 def _shard_phrases(body, offsets, lang, hashes_of, bits):
@@ -339,15 +349,21 @@ def united(parts: DataFrame, least: int, ranges: int) -> DataFrame:
 
     def run(batches):
         held: tuple[str, int] | None = None
-        dictionary, grams, counts, words_n, waiting = pa.array([], pa.string()), [], [], 0, 0
+        texts_, grams, counts, words_n, waiting = [], [], [], 0, 0
 
-        def summed():
-            return _sum(np.concatenate(grams), np.concatenate(counts))
+        def summed() -> tuple[pa.Array, np.ndarray, np.ndarray]:
+            """All that waits, with one numbering of words."""
+            codes = pa.concat_arrays(texts_).dictionary_encode()
+            number, at = np.append(codes.indices.to_numpy(zero_copy_only=False).astype(np.int32), np.int32(-1)), 0
+            for k, part in enumerate(texts_):
+                grams[k] = number[np.where(grams[k] >= 0, grams[k] + at, -1)]
+                at += len(part)
+            return codes.dictionary, *_sum(np.concatenate(grams), np.concatenate(counts))
 
         def done():
-            g, c = summed()
+            dictionary, g, c = summed()
             g, c = g[c >= least], c[c >= least]
-            cells, columns = rows(np.zeros(len(g), np.int64), g, c, dictionary) if len(g) else (np.zeros(1, np.int64), [pa.array([[]], t) for t in (pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()))])
+            cells, columns = rows(np.zeros(len(g), np.int64), g.astype(np.int64), c, dictionary) if len(g) else (np.zeros(1, np.int64), [pa.array([[]], t) for t in (pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()))])
             batch = _batch(np.array([0]), columns, [held[0]], ranges, {"n": pa.array([words_n], pa.int64())})
             return batch.set_column(1, "range", pa.array([held[1]], pa.int32()))
 
@@ -356,21 +372,17 @@ def united(parts: DataFrame, least: int, ranges: int) -> DataFrame:
                 if key != held:
                     if held is not None:
                         yield done()
-                    held, dictionary, grams, counts, words_n, waiting = key, pa.array([], pa.string()), [], [], 0, 0
+                    held, texts_, grams, counts, words_n, waiting = key, [], [], [], 0, 0
                 part = Automaton(batch, k)
-                place = pc.index_in(part.words, value_set=dictionary)
-                fresh = part.words.filter(pc.is_null(place))
-                number = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
-                number[number < 0] = len(dictionary) + np.arange(len(fresh))
-                dictionary = pa.concat_arrays([dictionary, fresh]) if len(fresh) else dictionary
                 g, c = part.phrases()
-                grams.append(np.where(g >= 0, number[g], -1))
+                texts_.append(part.words)
+                grams.append(g.astype(np.int32))
                 counts.append(c)
                 words_n += batch.column("n")[k].as_py()
                 waiting += len(g)
                 if waiting > PENDING:
-                    g, c = summed()
-                    grams, counts, waiting = [g], [c], 0
+                    dictionary, g, c = summed()
+                    texts_, grams, counts, waiting = [dictionary], [g], [c], 0
         if held is not None:
             yield done()
 
