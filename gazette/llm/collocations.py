@@ -256,17 +256,15 @@ def _sum(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     if not len(grams):
         return grams, counts
     base = np.int64(grams.max() + 2)
-    packed = lambda d: (grams[:, d] + np.int64(1)) * base + (grams[:, d + 1] + np.int64(1))
-    one = packed(0)
-    if (grams[:, 2] < 0).all():
-        order = np.argsort(one, kind="stable")
-        one = one[order]
-        new = np.concatenate([[True], one[1:] != one[:-1]])
-    else:
-        two = packed(2)
-        order = np.lexsort((two, one))
-        one, two = one[order], two[order]
-        new = np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])])
+    some = [d for d in range(grams.shape[1]) if d < 2 or (grams[:, d] >= 0).any()]
+    value = lambda d: grams[:, d] + np.int64(1)
+    keys = [value(d[0]) * base + value(d[1]) if len(d) > 1 else value(d[0]) for d in (some[k : k + 2] for k in range(0, len(some), 2))]
+    order = np.lexsort(keys[::-1]) if len(keys) > 1 else np.argsort(keys[0], kind="stable")
+    new = np.zeros(len(order), bool)
+    new[0] = True
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
     first = np.flatnonzero(new)
     return grams[order[first]], np.add.reduceat(counts[order], first)
 
