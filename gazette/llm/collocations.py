@@ -36,9 +36,9 @@ from .common import BATCH_BYTES, BATCH_DEFAULT, BATCH_SETTING, bits_for, drop_wr
 
 LONGEST = 4
 #: Bytes of text of which a shard makes one transducer.
-SHARD_BYTES = 5 << 20
+SHARD_BYTES = 3 << 20
 #: Phrases that a union holds unsummed at most.
-PENDING = 3 << 18
+PENDING = 1 << 19
 #: Scores are in parts of this number.
 SCALE = 2_000_000
 #: An automaton's row. words: its labels' texts; degree: arcs of each state, the last state is the root, state 0 the final one; label, weight, target: of each arc, by state and label.
@@ -278,13 +278,14 @@ def _shard_phrases(body, offsets, lang, hashes_of, bits):
     empty = np.zeros((0, LONGEST), np.int64)
     if not len(starts):
         return np.zeros(0, np.int64), empty, np.zeros(0, np.int64), vocabulary, hashes
-    text, at = ragged(body, starts, ends - starts)
-    told = pa.StringArray.from_buffers(len(starts), pa.py_buffer(at.astype(np.int32)), pa.py_buffer(text)).dictionary_encode()
+    at = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    told = pa.StringArray.from_buffers(len(starts), pa.py_buffer(at), pa.py_buffer(body[~(_BREAK | _GAP)[body]])).dictionary_encode()
     vocabulary, word = told.dictionary, told.indices.to_numpy().astype(np.int64)
     hashes = text_hashes(vocabulary)
-    piece = np.cumsum(brk)[starts] + row
+    piece = np.cumsum(brk, dtype=np.int32)[starts] + row
     langs, base = lang[row], np.int64(len(vocabulary))
     together = piece[1:] == piece[:-1]
+    del body, brk, told, starts, ends, row, piece, at
     if bits is None:
         one, n1 = np.unique(langs * base + word, return_counts=True)
         at = np.flatnonzero(together)
