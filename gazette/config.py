@@ -87,7 +87,7 @@ class Config:
     importance_targets: tuple[tuple[str, int], ...] = (("economy", 8), ("technology", 6), ("culture", 3), ("society", 3))
     importance_limit: int = 24
     semantic_limit: int = 32
-    required_fields: tuple[str, ...] = ("id", "date", "category", "title", "dedupe_key", "source_name")
+    required_fields: tuple[str, ...] = ("id", "date", "category", "title", "lines", "why", "rationale", "detail", "dedupe_key", "source_name", "source_url", "published_at", "status", "importance", "quality", "quality_reason")
     allowed_tags: tuple[str, ...] = ("clickbait", "promo", "opinion", "rumor", "listing")
     # judgments: importance by signals; quality words; category, its synonyms and its fragments; stock texts
     fallback_levels: tuple[tuple[int, tuple[str, ...]], ...] = ((4, ("policy", "sanctions")), (3, ("capex", "infra", "security")))
@@ -111,6 +111,9 @@ class Config:
     why_default: str = "It may change the direction of the field."
     why_missing: str = "The article gives no clear reason."
     rationale_low: str = "Little evidence, so of little weight."
+    quality_low_reason: str = "too little information"
+    #: Words of a title or summary beside which missing signals aren't accepted.
+    alignment_triggers: tuple[str, ...] = ("license", "apache", "token", "tion the")
     rationale_default: str = "The summary shows no evidence of its weight."
     drop_texts: tuple[tuple[str, str], ...] = (("outdated", "too old"), ("stale_incident", "about an old incident"), ("low_quality", "too little information"))
     drop_default: str = "left out"

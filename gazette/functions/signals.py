@@ -83,7 +83,7 @@ def specificity(label: Column, evidence: Column, cfg: Config) -> Column:
 
 
 def evidence_key(c: Column) -> Column:
-    return F.lower(collapse(F.regexp_replace(c, r"[^0-9A-Za-z가-힣\s]", "")))
+    return F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9가-힣]+", " "))
 
 
 def too_short(c: Column) -> Column:
@@ -109,34 +109,170 @@ def best_per_label(found: Column, cfg: Config) -> Column:
     return F.aggregate(ranked, empty, step, lambda acc: acc["out"])
 
 
+def _ranked(found: Column, cfg: Config) -> Column:
+    """Each pair with what it is sorted by: longer, with a number, more keywords, earlier."""
+
+    def one(x: Column, i: Column) -> Column:
+        s = specificity(x["label"], x["evidence"], cfg)
+        return F.struct((-s["length"]).alias("l"), (-s["number"]).alias("n"), (-s["hits"]).alias("h"), i.alias("i"), x["label"].alias("label"), x["evidence"].alias("evidence"))
+
+    return F.transform(found, one)
+
+
+def one_per_label(found: Column, cfg: Config) -> Column:
+    """The most specific pair of each label, in the order in which the labels first occur."""
+
+    def best(ranked: Column) -> Column:
+        def of(label: str) -> Column:
+            mine = lambda r: F.filter(r, lambda x: x["label"] == label)
+            return bound(mine(ranked), lambda m: F.when(F.size(m) > 0, F.struct(F.array_min(F.transform(m, lambda x: x["i"])).alias("first"), F.array_min(m).alias("best"))))
+
+        return F.transform(F.array_sort(F.array_compact(F.array(*(of(label) for label, _ in cfg.signals)))), lambda x: x["best"])
+
+    return F.transform(bound(_ranked(found, cfg), best), lambda x: F.struct(x["label"].alias("label"), x["evidence"].alias("evidence")))
+
+
+def unique_evidence(found: Column) -> Column:
+    """The first pair of each evidence; a pair without one goes."""
+    keyed = F.transform(found, lambda x: F.struct(evidence_key(x["evidence"]).alias("k"), x.alias("pair")))
+    kept = bound(keyed, lambda ks: bound(F.transform(ks, lambda x: x["k"]), lambda keys: F.filter(ks, lambda x, i: (x["k"] != "") & (F.array_position(keys, x["k"]) == i + 1))))
+    return F.transform(kept, lambda x: x["pair"])
+
+
+def stands_in(evidence: Column, text: Column) -> Column:
+    """Whether a text holds the evidence, whatever the case."""
+    return F.contains(F.lower(text), F.lower(evidence))
+
+
 def sanitized(found: Column, full_text: Column, cfg: Config) -> Column:
-    """Allowed label, evidence long enough, standing in the text and valid; the best per label. Without a text: nothing."""
-    good = F.filter(found, lambda x: x["label"].isin(*keywords(cfg)) & ~too_short(x["evidence"]) & F.contains(full_text, x["evidence"]) & valid_pair(x["label"], x["evidence"], cfg))
-    return F.when(F.length(F.coalesce(full_text, F.lit(""))) > 0, best_per_label(good, cfg)).otherwise(pairs())
+    """Allowed label, evidence long enough, standing in the text and valid; the best of each label, the most specific first, each evidence once. Without a text: nothing."""
+    good = F.filter(found, lambda x: x["label"].isin(*keywords(cfg)) & ~too_short(x["evidence"]) & stands_in(x["evidence"], full_text) & valid_pair(x["label"], x["evidence"], cfg))
+
+    def ordered(best: Column) -> Column:
+        ranked = F.array_sort(_ranked(best, cfg))
+        return unique_evidence(F.transform(ranked, lambda x: F.struct(x["label"].alias("label"), x["evidence"].alias("evidence"))))
+
+    return F.when(F.length(F.coalesce(full_text, F.lit(""))) > 0, bound(one_per_label(good, cfg), ordered)).otherwise(pairs())
+
+
+def best_sentence(parts: Column, label: str, cfg: Config) -> Column:
+    """The most specific sentence that holds for a label and is long enough; null without any."""
+    good = F.filter(parts, lambda s: ~too_short(s) & evidence_valid(label, s, cfg))
+    ranked = F.transform(good, lambda s, i: F.struct((-F.length(s)).alias("l"), (-has_number(s).cast("int")).alias("n"), (-hits(s, label, cfg)).alias("h"), i.alias("i"), s.alias("s")))
+    return F.array_min(ranked)["s"]
+
+
+def _with_neighbour(parts: Column, label: str, cfg: Config) -> Column:
+    """A valid sentence that is too short, joined with the next one or else the one before; the first that gives enough."""
+
+    def told(s: Column, i: Column) -> Column:
+        after, before = F.concat_ws(" ", s, F.get(parts, i + 1)), F.concat_ws(" ", F.get(parts, i - 1), s)
+        holds = lambda c, there: there & ~too_short(c) & evidence_valid(label, c, cfg)
+        joined = F.when(holds(after, i + 1 < F.size(parts)), after).when(holds(before, i > 0), before)
+        return F.when(evidence_valid(label, s, cfg), F.when(~too_short(s), s).otherwise(joined))
+
+    return F.get(F.array_compact(F.transform(parts, told)), F.lit(0))
 
 
 def mined(text: Column, cfg: Config) -> Column:
-    """Evidence sentences mined from the text: per label, in export order, the longest valid one; a short one takes its neighbour along."""
-    ranked = F.transform(sentences(text), lambda s, i: F.struct(F.length(s).alias("l"), (-i).alias("i"), s.alias("s")))
+    """Pairs mined from the text: each label whose keywords occur, in export order, with its best sentence, a short one with its neighbour; where that gives nothing, the first label that has any evidence."""
+
+    def of_text(x: Column) -> Column:
+        parts, text_ = x["parts"], x["text"]
+        evidence = {label: F.coalesce(best_sentence(parts, label, cfg), _with_neighbour(parts, label, cfg)) for label in cfg.export_order}
+        pair = lambda label, e: F.when(e.isNotNull(), F.struct(F.lit(label).alias("label"), e.alias("evidence")))
+        told = F.struct(*(e.alias(label) for label, e in evidence.items()))
+
+        def chosen(t: Column) -> Column:
+            said = F.array_compact(F.array(*(F.when(mentions(text_, keywords(cfg).get(label, ())) | F.lit(not keywords(cfg).get(label)), pair(label, t[label])) for label in cfg.export_order)))
+            last = F.array_compact(F.array(F.coalesce(*(pair(label, t[label]) for label in cfg.export_order))))
+            return bound(said, lambda s: F.when(F.size(s) > 0, s).otherwise(last))
+
+        return bound(told, chosen)
+
+    flat = collapse(F.coalesce(text, F.lit("")))
+    return bound(bound(F.struct(sentences(flat).alias("parts"), flat.alias("text")), of_text), lambda found: sanitized(found, text, cfg))
 
-    def of_label(parts: Column, label: str) -> Column:
-        def told(best: Column) -> Column:
-            joined = F.concat_ws(" ", best["s"], F.get(parts, 1 - best["i"])["s"])
-            evidence = F.when(~too_short(best["s"]), best["s"]).when(~too_short(joined), joined)
-            return F.when(evidence.isNotNull(), F.struct(F.lit(label).alias("label"), evidence.alias("evidence")))
 
-        return bound(F.get(F.reverse(F.array_sort(F.filter(parts, _valid_sentence(label, cfg)))), F.lit(0)), told)
+def _clean(c: Column) -> Column:
+    return collapse(F.coalesce(c, F.lit("")))
 
-    return bound(ranked, lambda parts: F.array_compact(F.array(*(of_label(parts, label) for label in cfg.export_order))))
 
+def given_pairs(raw: Column, labels: Column) -> Column:
+    """Pairs that a judgment's JSON gives, in the first of three forms that gives any.
 
-def _valid_sentence(label: str, cfg: Config):
-    return lambda x: evidence_valid(label, x["s"], cfg)
+    detail: objects with label and evidence; else signals: the same; else signals as labels (or the
+    row's own labels where it has none) and evidence: a map from label to evidence. Entries that
+    aren't what the form asks for, and pairs without label or evidence, go. No JSON: no pairs.
+    """
+    v = F.try_parse_json(raw)
+    listed = lambda path: F.try_variant_get(v, path, "array<variant>")
+    text = lambda x, path: F.try_variant_get(x, path, "string")
+    full = lambda xs: F.filter(F.coalesce(xs, pairs()), lambda x: (x["label"] != "") & (x["evidence"] != ""))
+    objects = lambda path: full(F.transform(listed(path), lambda x: F.struct(F.lower(_clean(text(x, "$.label"))).alias("label"), _clean(text(x, "$.evidence")).alias("evidence"))))
+    is_object = F.try_variant_get(F.get(listed("$.signals"), F.lit(0)), "$", "map<string,variant>").isNotNull()
+    said = F.filter(F.transform(listed("$.signals"), lambda x: text(x, "$")), lambda x: x.isNotNull())
+    told = F.try_variant_get(v, "$.evidence", "map<string,variant>")
+    named = bound(F.when(F.coalesce(F.size(said), F.lit(0)) > 0, said).otherwise(F.coalesce(labels, lit_array(()))), lambda ls: F.transform(ls, lambda x: F.struct(F.lower(_clean(x)).alias("label"), _clean(text(F.try_element_at(told, x), "$")).alias("evidence"))))
+    forms = F.array(objects("$.detail"), F.when(is_object, objects("$.signals")).otherwise(pairs()), F.when(is_object, pairs()).otherwise(full(named)))
+    return F.coalesce(F.get(F.filter(forms, lambda x: F.size(x) > 0), F.lit(0)), pairs())
 
 
 def signal_detail(given: Column, full_text: Column, cfg: Config) -> Column:
     """Given pairs, sanitised; evidence mined from the text where none holds."""
-    return bound(sanitized(given, full_text, cfg), lambda good: F.when(F.size(good) > 0, good).otherwise(F.slice(mined(full_text, cfg), 1, 2)))
+    return bound(sanitized(given, full_text, cfg), lambda good: F.when(F.size(good) > 0, good).otherwise(mined(full_text, cfg)))
+
+
+def remapped(evidence: Column, cfg: Config) -> Column:
+    """The first label, in export order, that an evidence holds for."""
+    return F.coalesce(*(F.when(evidence_valid(label, evidence, cfg), F.lit(label)) for label in cfg.export_order))
+
+
+def repaired(found: Column, full_text: Column, cfg: Config) -> Column:
+    """struct(pairs, fixes): pairs with a label that fits their evidence and evidence that stands in the text.
+
+    A label that isn't allowed gives way to one that the evidence holds for; evidence that is
+    short or not in the text gives way to the label's best sentence there; a pair that still
+    doesn't hold gets the label that its evidence does hold for, or goes. One pair stays per label,
+    the most specific, and per evidence, the one whose label is exported first. Without any pair
+    the text is mined.
+    """
+
+    def all_of(x: Column) -> Column:
+        parts, text = x["parts"], x["text"]
+        sentence = F.create_map(*[c for label, _ in cfg.signals for c in (F.lit(label), best_sentence(parts, label, cfg))])
+
+        def one(p: Column, best: Column) -> Column:
+            known = p["label"].isin(*keywords(cfg))
+            first = F.struct(F.when(known, p["label"]).otherwise(remapped(p["evidence"], cfg)).alias("label"), p["evidence"].alias("evidence"), (~known).alias("relabelled"))
+
+            def sound(a: Column) -> Column:
+                bad = (a["evidence"] == "") | too_short(a["evidence"]) | ~stands_in(a["evidence"], text)
+                return F.struct(a["label"].alias("label"), F.when(bad, F.try_element_at(best, a["label"])).otherwise(a["evidence"]).alias("evidence"), a["relabelled"].alias("relabelled"), bad.alias("replaced"))
+
+            def fitting(b: Column) -> Column:
+                holds = valid_pair(b["label"], b["evidence"], cfg)
+                return F.struct(F.when(holds, b["label"]).otherwise(remapped(b["evidence"], cfg)).alias("label"), b["evidence"].alias("evidence"), b["relabelled"].alias("relabelled"), b["replaced"].alias("replaced"), (~holds).alias("again"))
+
+            none = F.lit(None).cast("string")
+            lost = lambda b: F.struct(none.alias("label"), none.alias("evidence"), b["relabelled"].alias("relabelled"), b["replaced"].alias("replaced"), F.lit(False).alias("again"))
+            return bound(bound(first, lambda a: F.when(a["label"].isNotNull(), sound(a))), lambda b: F.when(b["evidence"].isNotNull(), fitting(b)).when(b["label"].isNotNull(), lost(b)))
+
+        tried = bound(sentence, lambda best: F.transform(found, lambda p: one(p, best)))
+
+        def kept(ts: Column) -> Column:
+            good = F.transform(F.filter(ts, lambda t: t["label"].isNotNull()), lambda t: F.struct(t["label"].alias("label"), t["evidence"].alias("evidence")))
+            place = {label: k for k, label in enumerate(cfg.export_order)}
+            by_rank = lambda ps: F.transform(F.array_sort(F.transform(ps, lambda p: F.struct(F.coalesce(*(F.when(p["label"] == label, F.lit(k)) for label, k in place.items()), F.lit(99)).alias("k"), p.alias("p")))), lambda y: y["p"])
+            first = bound(one_per_label(good, cfg), lambda ps: F.transform(F.array_sort(F.transform(unique_evidence(by_rank(ps)), lambda p: F.struct(F.array_position(F.transform(ps, lambda q: evidence_key(q["evidence"])), evidence_key(p["evidence"])).alias("at"), p.alias("p")))), lambda y: y["p"]))
+            fixes = F.flatten(F.transform(ts, lambda t: F.array_compact(F.array(F.when(t["relabelled"], "relabelled"), F.when(t["replaced"] & t["evidence"].isNotNull(), "replaced_evidence"), F.when(t["again"] & t["label"].isNotNull(), "relabelled")))))
+            return F.struct(first.alias("pairs"), F.coalesce(fixes, lit_array(())).alias("fixes"))
+
+        filled = bound(mined(text, cfg), lambda m: F.struct(m.alias("pairs"), F.when(F.size(m) > 0, F.array(F.lit("filled"))).otherwise(lit_array(())).alias("fixes")))
+        return F.when(F.size(found) == 0, filled).otherwise(bound(tried, kept))
+
+    flat = collapse(F.coalesce(full_text, F.lit("")))
+    return bound(F.struct(sentences(flat).alias("parts"), flat.alias("text")), all_of)
 
 
 def judged_pairs(given: Column, candidates: Column, full_text: Column, cfg: Config) -> Column:

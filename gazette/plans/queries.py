@@ -534,50 +534,6 @@ def output_ids(spark, sf_dir):
     return selection.output_ids(df).select("item_id", "id")
 
 
-# evidence and validation
-
-
-def _detailed(spark, sf_dir) -> DataFrame:
-    df = keyed(spark, sf_dir)
-    first = F.get(tx.sentences(tx.collapse(F.col("full_text"))), F.lit(0))
-    given = F.transform("signals", lambda s: F.struct(s.alias("label"), F.coalesce(first, F.lit("")).alias("evidence")))
-    df = df.withColumn("full_text", tx.collapse(F.col("full_text"))).withColumn("given", given)
-    return df.withColumn("detail", sg.signal_detail(F.col("given"), F.col("full_text"), CFG))
-
-
-@query()
-def signal_detail(spark, sf_dir):
-    """SIG-3 to SIG-9, SCR-4, WIN-3: evidence per article, mined where none is given."""
-    df = _detailed(spark, sf_dir)
-    rule = sg.rule_signals(F.col("full_text"), CFG)
-    return df.select("item_id", "detail", sg.judged_pairs(F.col("given"), rule, F.col("full_text"), CFG).alias("judged"), sg.merged_labels(F.col("signals"), rule, F.col("full_text"), CFG).alias("labels"), sg.inferred_importance(F.col("signals"), F.col("longs"), CFG).alias("importance"))
-
-
-def _checked(spark, sf_dir) -> DataFrame:
-    df = _detailed(spark, sf_dir).withColumns({
-        "importance": sg.inferred_importance(F.col("signals"), F.col("longs"), CFG),
-        "quality": F.when(F.length("full_text") < 200, "low_quality").otherwise("ok"),
-        "outdated": F.col("age") > CFG.stale_hours,
-        "stale": filters.stale_incident(F.col("full_text"), F.lit(CFG.run_ts).cast("date"), CFG)["stale"],
-        "date": F.date_format("published_at", "yyyy-MM-dd"),
-    })
-    # rows are staged before they are judged as editions: a filter on the outcome would otherwise be computed from all stages again
-    return dedupe.stored(validation.handled(df.withColumn("outdated", F.coalesce("outdated", F.lit(False))), CFG))
-
-
-@query()
-def validated(spark, sf_dir):
-    """VAL-1, VAL-2, FLT-13, KEY-4, SNK-5: errors before and after, action and reason."""
-    return _checked(spark, sf_dir).select("item_id", "errors_0", "errors_1", "errors_2", "action", "drop_reason", "importance")
-
-
-@query()
-def digest_valid(spark, sf_dir):
-    """VAL-3 over the day's kept rows."""
-    df = _checked(spark, sf_dir).where("action <> 'dropped'").select("item_id", F.col("item_id").cast("string").alias("id"), "date", "category", "title", "dedupe_key", F.col("source").alias("source_name"), (-F.col("score")).alias("pick_rank"), F.get("errors_2", F.lit(0)).alias("code"))
-    return validation.digest_valid(validation.numbered(df), CFG)
-
-
 @query(f"""{DERIVED} SELECT item_id, coalesce(abs(epoch(published_at) - epoch(TIMESTAMP '2024-01-03 00:00:00')) / 3600 > 48, FALSE) AS outdated FROM derived""")
 def outdated(spark, sf_dir):
     """FLT-12."""

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gazette.config import Config
+from gazette.operators import validation
+
 
 def write_dated(rows: DataFrame, path: str) -> None:
     """Replace the dates in rows and no others; the committer swaps whole partitions."""
@@ -58,3 +63,75 @@ def publish_dates(rows: DataFrame, verdict: DataFrame, path: str) -> None:
 
 def read_dated(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
+
+
+class BrokenEdition(ValueError):
+    """A row of an edition breaks a rule: nothing is published."""
+
+
+#: Codes of an edition that is as it should be, or short, which still goes out; and of one that can't be an edition, so that the one before stays.
+GOES_OUT, STAYS = ("ok", "TOO_FEW_ITEMS"), ("TOO_MANY_ITEMS",)
+
+
+def _pointer(spark: SparkSession, path: str) -> dict[str, str]:
+    """Which run each date's edition comes from; an entry a date."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    file = hadoop.Path(f"{path}/current.json")
+    if not file.getFileSystem(spark._jsc.hadoopConfiguration()).exists(file):
+        return {}
+    return json.loads("".join(r.value for r in spark.read.text(f"{path}/current.json").collect()))
+
+
+def swap_editions(rows: DataFrame, path: str, run: str, header: dict[str, Column], cfg: Config) -> dict[str, str]:
+    """Publish the editions in rows, several dates as one; returns the codes of those that stayed back.
+
+    One object a date, with the header's fields and its items, is staged in a folder of the run.
+    The staged rows are validated; then a small pointer file, which says for each date which run
+    holds its edition, is written beside and renamed over the old one, so a reader sees all dates
+    of before or all of now. A date with too many rows keeps the edition it had. A broken row, or
+    a date that has nothing to keep, raises: the pointer is as it was, and the staged folder is
+    never read. The rename is atomic on HDFS and local folders; on object stores it is as atomic
+    as their rename. Two runs at the same time don't know of each other.
+    """
+    spark = rows.sparkSession
+    staged = f"{path}/editions/run={run}"
+    nested(rows, "pos").withColumns(header).write.mode("overwrite").json(staged)
+    read = spark.read.schema(f"date string, items {rows_type(rows)}").json(staged)
+    verdict = {r["date"]: r["code"] for r in validation.editions_valid(read.select("date", F.inline("items")), cfg).select("date", "code").collect()}  # a row a date
+    broken = {d: c for d, c in verdict.items() if c not in GOES_OUT + STAYS}
+    now = _pointer(spark, path)
+    lost = {d: c for d, c in verdict.items() if c in STAYS and d not in now}
+    if broken or lost:
+        raise BrokenEdition(f"not published: {dict(sorted((broken | lost).items())[:8])}")
+    now |= {d: run for d, c in verdict.items() if c in GOES_OUT}
+    _renamed(spark, path, json.dumps(now, sort_keys=True))
+    return {d: c for d, c in verdict.items() if c in STAYS}
+
+
+def rows_type(rows: DataFrame) -> str:
+    fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "date")
+    return f"array<struct<{fields}>>"
+
+
+def _renamed(spark: SparkSession, path: str, text: str) -> None:
+    """Write the pointer beside and rename it over the old one in one step."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    new, old = hadoop.Path(f"{path}/.current.json.new"), hadoop.Path(f"{path}/current.json")
+    conf = spark._jsc.hadoopConfiguration()
+    out = new.getFileSystem(conf).create(new, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    options[0] = hadoop.Options.Rename.OVERWRITE
+    files = hadoop.FileContext.getFileContext(new.getFileSystem(conf).getUri(), conf)
+    files.rename(files.makeQualified(new), files.makeQualified(old), options)
+
+
+def read_editions(spark: SparkSession, path: str) -> DataFrame:
+    """(date, items, the header's fields, run) of every date's current edition."""
+    now = _pointer(spark, path)
+    if not now:
+        return spark.createDataFrame([], "date string, items array<struct<id:string>>, run string")
+    found = spark.read.option("basePath", f"{path}/editions").json([f"{path}/editions/run={run}" for run in sorted(set(now.values()))])
+    wanted = spark.createDataFrame(sorted(now.items()), "date string, run string")
+    return found.withColumn("run", F.col("run").cast("string")).join(F.broadcast(wanted), ["date", "run"], "left_semi")  # an entry a date

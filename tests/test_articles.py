@@ -300,7 +300,7 @@ def test_unfixed_errors_drop_the_row(spark):
     df = spark.createDataFrame(rows, "item_id long, title string, summary string, full_text string, dedupe_key string, cluster_key string, detail array<struct<label:string,evidence:string>>, importance int, quality string, outdated boolean, stale boolean")
     got = validation.handled(df, CFG).first()
     assert "KEY_MISALIGNED" in got["errors_0"]
-    assert got["action"] == ("dropped" if set(got["errors_2"]) & set(validation.FIXABLE) else "modified")
+    assert got["action"] == ("dropped" if set(got["errors_2"]) & set(validation.fixable(CFG)) else "modified")
 
 
 def test_stream_window_lets_late_repeats_through(spark, tmp_path):
