@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gazette.config import Config
+from gazette.functions.text import bound
 from gazette.functions.tokens import lit_array
 from gazette.operators.joins import related
 
@@ -73,83 +73,134 @@ def output_ids(rows: DataFrame) -> DataFrame:
     return rows.withColumn("id", F.concat_ws("_", "date", n))
 
 
-def _walk(pool: pd.DataFrame, limit: int, cfg: Config) -> list[int]:
-    """Row places picked from one edition's pool, sorted by score: category minimums, caps with outlet limit, then without."""
-    minimums, caps = dict(cfg.category_minimums), dict(cfg.category_caps)
-    have = pool["category"].value_counts().to_dict()
-    minimums = {c: min(n, have.get(c, 0)) for c, n in minimums.items()}
-    for c in sorted(minimums, key=lambda c: (minimums[c], c)):
-        if sum(minimums.values()) > limit:
-            minimums[c] = max(0, minimums[c] - (sum(minimums.values()) - limit))
-    picked: list[int] = []
-    by_category: dict[str, int] = {}
-    by_source: dict[str, int] = {}
-
-    def take(k: int) -> None:
-        picked.append(k)
-        by_category[pool["category"][k]] = by_category.get(pool["category"][k], 0) + 1
-        by_source[pool["source"][k]] = by_source.get(pool["source"][k], 0) + 1
-
-    def sweep(may) -> None:
-        for k in range(len(pool)):
-            if len(picked) >= limit:
-                return
-            if k not in picked and may(pool["category"][k], pool["source"][k]):
-                take(k)
-
-    for c, n in minimums.items():
-        sweep(lambda x, s, c=c, n=n: x == c and by_category.get(c, 0) < n and by_source.get(s, 0) < cfg.source_cap)
-    sweep(lambda x, s: by_category.get(x, 0) < caps.get(x, limit) and by_source.get(s, 0) < cfg.source_cap)
-    sweep(lambda x, s: by_category.get(x, 0) < caps.get(x, limit))
-    sweep(lambda x, s: True)
-    return picked
-
-
-def _cap_signals(pool: pd.DataFrame, picked: list[int], limit: int, cfg: Config) -> list[int]:
-    """Rows with capped labels beyond the share give way, the lowest first, to the best others that score almost as much.
+# the mixed pick: folds over one edition's pool, an array of rows from the best on
+
+
+def _count(chosen: Column, field: str, value: Column) -> Column:
+    return F.size(F.filter(chosen, lambda r: r[field].eqNullSafe(value)))
+
+
+def _among(chosen: Column, row: Column) -> Column:
+    return F.exists(chosen, lambda r: r["item_id"] == row["item_id"])
+
+
+def _below_cap(chosen: Column, row: Column, cfg: Config) -> Column:
+    """Whether the row's category may have one more."""
+    out = F.lit(True)
+    for category, most in cfg.category_caps:
+        out = F.when(row["category"] == category, _count(chosen, "category", row["category"]) < most).otherwise(out)
+    return out
+
+
+def _outlet_free(chosen: Column, row: Column, cfg: Config) -> Column:
+    return _count(chosen, "source", row["source"]) < cfg.source_cap if cfg.source_cap > 0 else F.lit(True)
+
+
+def _needs(pool: Column, limit: Column, cfg: Config) -> Column:
+    """(category, least) of each minimum: no more than there are; beyond the limit one after the other is lowered, the category with the weakest best row first."""
+    of = lambda c: F.filter(pool, lambda r: r["category"] == c)
+    one = lambda c, n: bound(of(c), lambda mine: F.struct(F.coalesce(F.get(mine, F.lit(0))["score"], F.lit(0.0)).alias("strength"), F.lit(c).alias("category"), F.least(F.lit(n), F.size(mine)).alias("least")))
+    rounds = max((n for _, n in cfg.category_minimums), default=0)
+
+    def lowered(needs: Column) -> Column:
+        total = F.aggregate(needs, F.lit(0), lambda acc, x: acc + x["least"])
+        start = F.struct((total - limit).alias("over"), lit_array(()).alias("cut"))
+
+        def step(acc: Column, x: Column) -> Column:
+            hit = (acc["over"] > 0) & (F.size(F.filter(acc["cut"], lambda c: c == x["category"])) < x["least"])
+            return F.struct((acc["over"] - hit.cast("int")).alias("over"), F.when(hit, F.array_append(acc["cut"], x["category"])).otherwise(acc["cut"]).alias("cut"))
+
+        cut = F.aggregate(F.flatten(F.array_repeat(F.array_sort(needs), rounds)), start, step, lambda acc: acc["cut"])
+        return bound(cut, lambda gone: F.transform(needs, lambda x: F.struct(x["category"].alias("category"), (x["least"] - F.size(F.filter(gone, lambda c: c == x["category"]))).alias("least"))))
+
+    return bound(F.array(*(one(c, n) for c, n in cfg.category_minimums)), lowered)
+
+
+def _swept(pool: Column, chosen: Column, limit: Column, may) -> Column:
+    """chosen with each row of the pool that may(chosen, row) lets in, in order, up to the limit."""
+    fits = lambda acc, r: (F.size(acc) < limit) & ~_among(acc, r) & may(acc, r)
+    return F.aggregate(pool, chosen, lambda acc, r: F.when(fits(acc, r), F.array_append(acc, r)).otherwise(acc))
+
+
+def mixed(pool: Column, limit: Column, cfg: Config) -> Column:
+    """The rows picked from a pool: category minimums, then by score under caps of categories and outlets, then without the outlets', then without any."""
+
+    def whole(needs: Column) -> Column:
+        chosen = F.slice(pool, 1, 0)
+        for k, (category, _) in enumerate(cfg.category_minimums):
+            least = needs[k]["least"]
+            chosen = _swept(pool, chosen, limit, lambda acc, r, c=category, n=least: (r["category"] == c) & (_count(acc, "category", F.lit(c)) < n) & _outlet_free(acc, r, cfg))
+        chosen = _swept(pool, chosen, limit, lambda acc, r: _below_cap(acc, r, cfg) & _outlet_free(acc, r, cfg))
+        chosen = _swept(pool, chosen, limit, lambda acc, r: _below_cap(acc, r, cfg))
+        return _swept(pool, chosen, limit, lambda acc, r: F.lit(True))
+
+    return bound(_needs(pool, limit, cfg), whole)
+
+
+def signal_capped(pool: Column, chosen: Column, limit: Column, cfg: Config) -> Column:
+    """struct(chosen, replaced): rows with capped labels beyond the share give way, the lowest first, to the best others that score almost as much.
 
     A row that nothing can replace stays, and the next one is tried; replacements go to the end.
     """
-    caps, most = dict(cfg.category_caps), max(1, int(limit * cfg.signal_share))
-    out = list(picked)
-    capped = [k for k in out if pool["capped"][k]]
-    over = len(capped) - most
-    for victim in sorted(capped, key=lambda k: (pool["score"][k], out.index(k))):
-        if over <= 0:
-            break
-        others = [k for k in out if k != victim]
-        category, source = (pd.Series([pool[c][k] for k in others], dtype=object).value_counts() for c in ("category", "source"))
-        may = (
-            k for k in range(len(pool))
-            if k not in out and not pool["capped"][k] and pool["score"][k] >= pool["score"][victim] - cfg.signal_slack
-            and category.get(pool["category"][k], 0) < caps.get(pool["category"][k], limit + 1) and source.get(pool["source"][k], 0) < cfg.source_cap
-        )
-        best = next(may, None)
-        if best is not None:
-            out = [*others, best]
-            over -= 1
-    return out
+    most = F.greatest(F.lit(1), F.floor(limit * cfg.signal_share).cast("int"))
 
+    def swapped(first: Column) -> Column:
+        marked = F.filter(first, lambda r: r["capped"])
+        victims = F.transform(F.array_sort(F.transform(marked, lambda r, i: F.struct(r["score"].alias("score"), i.alias("i"), r.alias("r")))), lambda x: x["r"])
+        start = F.struct(first.alias("chosen"), F.greatest(F.size(marked) - most, F.lit(0)).alias("over"), F.lit(0).alias("replaced"))
 
-def mix_pick(rows: DataFrame, cfg: Config, limit: int | None = None) -> DataFrame:
-    """(edition, item_id, pick_rank) of each edition's mixed pick.
+        def step(acc: Column, victim: Column) -> Column:
+            others = F.filter(acc["chosen"], lambda r: r["item_id"] != victim["item_id"])
+            may = lambda rest: F.get(F.filter(pool, lambda r: ~r["capped"] & (r["score"] >= victim["score"] - cfg.signal_slack) & ~_among(rest, r) & (r["item_id"] != victim["item_id"]) & _below_cap(rest, r, cfg) & _outlet_free(rest, r, cfg)), F.lit(0))
+            best = F.when(acc["over"] > 0, bound(others, may))
+            done = lambda x: F.struct(F.when(x.isNotNull(), F.array_append(others, x)).otherwise(acc["chosen"]).alias("chosen"), (acc["over"] - x.isNotNull().cast("int")).alias("over"), (acc["replaced"] + x.isNotNull().cast("int")).alias("replaced"))
+            return bound(best, done)
 
-    The walk accepts or rejects a row by its category, outlet and signal flag only, so of each
-    such cell the first 2 * limit rows can matter: the rest never reaches the grouped function,
-    whose input is bounded by the number of cells.
+        return F.aggregate(victims, start, step, lambda acc: F.struct(acc["chosen"], acc["replaced"]))
+
+    return bound(chosen, swapped)
+
+
+def pools(rows: DataFrame, cfg: Config, limit: int) -> DataFrame:
+    """(edition, pool): an edition's rows that a pick of up to `limit` can look at, as one sorted array.
+
+    A row is let in or not by category, outlet and flag alone, so of such a cell no more than
+    2 * limit rows count, and in a category no more than 2 * limit outlets can stand before a row
+    that is picked, each with two cells: 8 * limit^2 rows of a category and flag are enough. An
+    array has at most that many per category and flag, however many rows and outlets there are.
     """
-    limit = limit or cfg.top_limit
     capped = F.arrays_overlap("signals", lit_array(cfg.capped_signals)) & ~(F.coalesce("importance", F.lit(0)) >= 4) & ~F.arrays_overlap("longs", lit_array(cfg.capped_signals))
-    df = rows.select("edition", "item_id", "category", "source", "score", capped.alias("capped"))
-    w = Window.partitionBy("edition", "category", "source", "capped").orderBy(F.desc("score"), "item_id")
-    cell = df.withColumn("n", F.row_number().over(w)).where(F.col("n") <= 2 * limit).drop("n")
+    df = rows.select("edition", "item_id", "category", "source", "score", F.coalesce(capped, F.lit(False)).alias("capped"))
+    best = lambda *keys: F.row_number().over(Window.partitionBy("edition", *keys).orderBy(F.desc("score"), "item_id"))
+    cells = df.withColumn("n", best("category", "source", "capped")).where(F.col("n") <= 2 * limit)
+    kept = cells.withColumn("n", best("category", "capped")).where(F.col("n") <= 8 * limit * limit).drop("n")
+    row = F.struct((-F.col("score")).alias("rank"), "item_id", "category", "source", "score", "capped")
+    return kept.groupBy("edition").agg(F.array_sort(F.collect_list(row)).alias("pool"))
 
-    def pick(pool: pd.DataFrame) -> pd.DataFrame:
-        pool = pool.sort_values(["score", "item_id"], ascending=[False, True], kind="stable").reset_index(drop=True)
-        chosen = _cap_signals(pool, _walk(pool, limit, cfg), limit, cfg)
-        return pd.DataFrame({"edition": pool["edition"][chosen], "item_id": pool["item_id"][chosen], "pick_rank": range(1, len(chosen) + 1)})
 
-    return cell.groupBy("edition").applyInPandas(pick, "edition string, item_id long, pick_rank int")
+def picks(pool: DataFrame, cfg: Config, limit: Column) -> DataFrame:
+    """(edition, chosen, replaced) for pools and a limit each; the folds stay in the JVM."""
+    first = pool.withColumn("limit", limit.cast("int")).withColumn("first", mixed(F.col("pool"), F.col("limit"), cfg))
+    done = first.withColumn("done", signal_capped(F.col("pool"), F.col("first"), F.col("limit"), cfg))
+    return done.select("edition", "limit", F.col("done.chosen").alias("chosen"), F.col("done.replaced").alias("replaced"))
+
+
+def _listed(found: DataFrame) -> DataFrame:
+    return found.select("edition", F.posexplode("chosen").alias("p", "r")).select("edition", F.col("r.item_id").alias("item_id"), (F.col("p") + 1).cast("int").alias("pick_rank"))
+
+
+def mix_pick(rows: DataFrame, cfg: Config, limit: int | None = None) -> DataFrame:
+    """(edition, item_id, pick_rank) of each edition's mixed pick."""
+    limit = limit or cfg.top_limit
+    return _listed(picks(pools(rows, cfg, limit), cfg, F.lit(limit)))
+
+
+def pick_stats(rows: DataFrame, cfg: Config, limit: int | None = None) -> DataFrame:
+    """What each edition's pick came to: picked, the signal cap and how many rows it replaced, outlets and categories picked."""
+    limit = limit or cfg.top_limit
+    found = picks(pools(rows, cfg, limit), cfg, F.lit(limit))
+    names = lambda field: F.size(F.array_distinct(F.transform("chosen", lambda r: r[field])))
+    return found.select("edition", F.size("chosen").alias("picked"), F.greatest(F.lit(1), F.floor(F.col("limit") * cfg.signal_share).cast("int")).alias("cap_limit"), "replaced", names("source").alias("sources"), names("category").alias("categories"))
 
 
 def allowlist_pick(rows: DataFrame, cfg: Config, strict: bool) -> DataFrame:
@@ -172,10 +223,11 @@ def filled(picked: DataFrame, rows: DataFrame, cfg: Config) -> DataFrame:
 
 
 def refill(picked: DataFrame, rows: DataFrame, cfg: Config) -> DataFrame:
-    """Picks that are still eligible stay; the pick is run again on the rest, for what is missing (one round)."""
+    """Picks that are still eligible stay; the rest is picked from again for the number that is missing (one round)."""
     good = rows.where("eligible")
     kept = picked.join(good.select("edition", "item_id"), ["edition", "item_id"], "left_semi")
     have = kept.groupBy("edition").agg(F.count("*").alias("have"))
-    more = mix_pick(good.join(kept.select("edition", "item_id"), ["edition", "item_id"], "left_anti"), cfg).join(have, "edition", "left")
-    more = more.where(F.col("pick_rank") + F.coalesce("have", F.lit(0)) <= cfg.top_limit)
+    rest = pools(good.join(kept.select("edition", "item_id"), ["edition", "item_id"], "left_anti"), cfg, cfg.top_limit).join(have, "edition", "left")
+    missing = rest.withColumn("missing", cfg.top_limit - F.coalesce("have", F.lit(0))).where("missing > 0")
+    more = _listed(picks(missing, cfg, F.col("missing")))
     return kept.unionByName(more.select("edition", "item_id", (F.col("pick_rank") + cfg.top_limit).alias("pick_rank")))

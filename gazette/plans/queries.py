@@ -502,31 +502,6 @@ def importance_candidates(spark, sf_dir):
     return selection.importance_candidates(derived(spark, sf_dir).select("item_id", "category", "score"), CFG).select("item_id", "phase")
 
 
-def _editions(spark, sf_dir) -> DataFrame:
-    df = derived(spark, sf_dir).where("reason IS NULL")
-    return df.select(F.date_format("published_at", "yyyy-MM-dd").alias("edition"), "item_id", "category", "source", "score", "signals", "longs", (1 + F.size("signals")).alias("importance"), filters.top_fresh(F.col("age"), F.col("longs"), CFG).alias("top_fresh"), filters.eligible(F.lit(None).cast("string"), filters.body_reason(F.col("full_text"), F.lit(200), F.lit("heuristic"))).alias("eligible"), filters.source_allowed(F.col("source"), CFG).alias("allowed"))
-
-
-@query()
-def mix_pick(spark, sf_dir):
-    """TOP-1, TOP-2: each day's mixed pick."""
-    return selection.mix_pick(_editions(spark, sf_dir), CFG)
-
-
-@query()
-def refilled_pick(spark, sf_dir):
-    """TOP-4, JON-7, FLT-9: refill after body checks, then fill from fresh rows."""
-    rows = _editions(spark, sf_dir)
-    picked = selection.refill(selection.mix_pick(rows, CFG), rows, CFG)
-    return selection.filled(picked, rows.where("top_fresh"), CFG)
-
-
-@query()
-def allowlist_pick(spark, sf_dir):
-    """TOP-3, FLT-7: allowed outlets first, then the best fresh rows."""
-    return selection.allowlist_pick(_editions(spark, sf_dir), CFG, strict=False)
-
-
 @query(f"""{DERIVED} SELECT item_id, strftime(published_at, '%Y-%m-%d') || '_' || row_number() OVER (PARTITION BY strftime(published_at, '%Y-%m-%d') ORDER BY -score, item_id) AS id FROM derived WHERE published_at IS NOT NULL""")
 def output_ids(spark, sf_dir):
     """WIN-4."""

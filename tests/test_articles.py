@@ -178,9 +178,28 @@ def test_mix_pick_follows_the_rules(spark, seed):
 
 
 def test_a_victim_without_replacement_is_passed_over(spark):
-    pool = pd.DataFrame({"category": list("aabbx"), "source": ["p", "p", "q", "r", "s"], "score": [9.0, 1.0, 8.5, 8.0, 8.2], "capped": [True, True, True, True, False]})
-    # the lowest capped row (1.0) could be replaced by any; 8.0 by 8.2 as well, but only one is left over
-    assert selection._cap_signals(pool, [0, 2, 3], 5, CFG) == [0, 2, 4]
+    pool = [(-v, k, c, o, v, m) for k, (c, o, v, m) in enumerate([("a", "p", 9.0, True), ("b", "q", 8.5, True), ("x", "s", 8.2, False), ("b", "r", 8.0, True), ("a", "p", 1.0, True)])]
+    df = spark.createDataFrame([(pool, [pool[0], pool[1], pool[3]])], "pool array<struct<rank:double,item_id:int,category:string,source:string,score:double,capped:boolean>>, chosen array<struct<rank:double,item_id:int,category:string,source:string,score:double,capped:boolean>>")
+    got = df.select(selection.signal_capped(F.col("pool"), F.col("chosen"), F.lit(5), CFG).alias("x")).first().x
+    # 8.0 is replaced by 8.2, and nothing is left over for 8.5
+    assert ([r.item_id for r in got.chosen], got.replaced) == ([0, 1, 2], 1)
+
+
+def test_minimums_beyond_the_limit_give_way_from_the_weakest(spark):
+    rows = [("e", 1, "economy", "a", 5.0), ("e", 2, "technology", "b", 4.0), ("e", 3, "culture", "c", 6.0), ("e", 4, "other", "d", 9.0)]
+    df = spark.createDataFrame([(*r, [], [], 0) for r in rows], "edition string, item_id long, category string, source string, score double, signals array<string>, longs array<string>, importance int")
+    assert [r.item_id for r in selection.mix_pick(df, CFG, 2).orderBy("pick_rank").collect()] == [1, 3]
+
+
+def test_refill_picks_what_is_missing(spark):
+    """60 rows, of which 30 carry a capped label; 16 of the first pick stay, so four more are picked, with the limits of four."""
+    schema = "edition string, item_id long, category string, source string, score double, signals array<string>, longs array<string>, importance int, eligible boolean"
+    first = [("e", 100 + k, "other", f"f{k}", 90.0 - k, [], [], 0, k < 16) for k in range(20)]
+    rest = [("e", k, "other", f"s{k}", 10.0 - k / 100, ["policy"] if k < 30 else [], [], 0, True) for k in range(60)]
+    rows = spark.createDataFrame(first + rest, schema)
+    picked = spark.createDataFrame([("e", r[1], n + 1) for n, r in enumerate(first)], "edition string, item_id long, pick_rank int")
+    got = [r.item_id for r in selection.refill(picked, rows, CFG).orderBy("pick_rank").collect()]
+    assert got == [*range(100, 116), 0, 30, 31, 32]
 
 
 @pytest.mark.parametrize("strict", [True, False])
