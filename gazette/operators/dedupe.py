@@ -45,7 +45,7 @@ def resolve(edges: DataFrame) -> DataFrame:
     merged: DataFrame | None = None
     open_ = edges
     while True:
-        hit = open_.join(kept.withColumnRenamed("id", "hi"), "hi", "left_semi").groupBy("lo").agg(F.min_by("hi", "rank").alias("matched_to"))
+        hit = open_.join(kept.withColumnRenamed("id", "hi"), "hi", "left_semi").groupBy("lo").agg(F.min_by("hi", F.struct("rank", "hi")).alias("matched_to"))
         merged = stored(hit if merged is None else merged.unionByName(hit.join(merged.select("lo"), "lo", "left_anti")))
         left = open_.join(merged.select("lo"), "lo", "left_anti")  # undecided rows
         waiting = left.join(merged.select(F.col("lo").alias("hi")), "hi", "left_anti")  # edges to rows that may still be kept
@@ -55,7 +55,7 @@ def resolve(edges: DataFrame) -> DataFrame:
         if not open_.limit(1).count():
             break
     # the earliest kept match, over all edges
-    return edges.join(merged.select("lo"), "lo", "left_semi").join(kept.withColumnRenamed("id", "hi"), "hi", "left_semi").groupBy("lo").agg(F.min_by("hi", "rank").alias("matched_to"))
+    return edges.join(merged.select("lo"), "lo", "left_semi").join(kept.withColumnRenamed("id", "hi"), "hi", "left_semi").groupBy("lo").agg(F.min_by("hi", F.struct("rank", "hi")).alias("matched_to"))
 
 
 def _edges(pairs: DataFrame, rows: DataFrame) -> DataFrame:
@@ -162,20 +162,37 @@ def exact_keys(rows: DataFrame) -> DataFrame:
     return out.where("lo <> matched_to")
 
 
+def may_meet(sides: DataFrame, groups: DataFrame) -> DataFrame:
+    """(x, y) of rows in classes that meet, sides(c1, c2), whose numbers don't contradict; groups(id, c, numbers).
+
+    Rows meet by a number that they share, and rows without numbers meet all. So a class whose rows
+    have many different numbers makes as many pairs as rows share numbers, not one for each two rows.
+    """
+    side = lambda name, c: groups.select(F.col("id").alias(name), F.col("c").alias(c), F.explode_outer("numbers").alias("number"))
+    bare = lambda name, c: groups.where(F.size("numbers") == 0).select(F.col("id").alias(name), F.col("c").alias(c))
+    every = lambda name, c: groups.select(F.col("id").alias(name), F.col("c").alias(c))
+    shared = sides.join(side("x", "c1").where("number IS NOT NULL"), "c1").join(side("y", "c2"), ["c2", "number"])
+    first = sides.join(bare("x", "c1"), "c1").join(every("y", "c2"), "c2")
+    second = sides.join(bare("y", "c2"), "c2").join(every("x", "c1"), "c1")
+    out = shared.select("x", "y").unionByName(first.select("x", "y")).unionByName(second.select("x", "y"))
+    return out.where("x <> y").distinct()
+
+
 def key_similarity(rows: DataFrame, cfg: Config) -> DataFrame:
     """rows(id, rank, dedupe_key, numbers, entities): equal keys, then keys with like bigrams; both vetoed by numbers or entities that contradict."""
     if cfg.key_threshold <= 0:
         return merged_into(rows, rows.select(F.col("id").alias("lo"), F.col("id").alias("matched_to")).limit(0), "key_similarity")
     exact = stored(exact_keys(rows))
     left = rows.join(exact.select(F.col("lo").alias("id")), "id", "left_anti")
-    # rows with the same bigrams, numbers and entities are one class; classes that differ in numbers only still meet each other
+    # rows with the same bigrams, numbers and entities are one class
     told = left.withColumns({"tokens": key_ngrams(F.col("dedupe_key")), "numbers": F.array_sort("numbers"), "entities": F.array_sort("entities")})
     told = stored(told.where(F.size("tokens") > 0).select("id", "rank", F.array_sort(F.array_distinct("tokens")).alias("tokens"), "numbers", "entities"))
     heads = stored(told.groupBy("tokens", "numbers", "entities").agg(F.min(F.struct("rank", "id")).alias("f")).select("f.id", "f.rank", "tokens", "numbers", "entities"))
     reps = set_similarity_join(heads.select("id", "rank", "tokens"), cfg.key_threshold).select(F.col("lo").alias("c1"), F.col("hi").alias("c2"))
-    groups = stored(equal_sets(heads.select("id", "rank", "tokens")).select("id", F.col("first").alias("c")))
+    groups = equal_sets(heads.select("id", "rank", "tokens")).select("id", F.col("first").alias("c"))
+    groups = stored(groups.join(heads.select("id", "numbers"), "id"))
     sides = reps.unionByName(groups.select(F.col("c").alias("c1"), F.col("c").alias("c2")).distinct())
-    near = sides.join(groups.select(F.col("id").alias("x"), F.col("c").alias("c1")), "c1").join(groups.select(F.col("id").alias("y"), F.col("c").alias("c2")), "c2")
+    near = may_meet(sides, groups)
     ranked = near.join(heads.select(F.col("id").alias("x"), F.col("rank").alias("rx")), "x").join(heads.select(F.col("id").alias("y"), F.col("rank").alias("ry")), "y")
     later = F.struct(F.col("rx").alias("r"), F.col("x").alias("i")) > F.struct(F.col("ry").alias("r"), F.col("y").alias("i"))
     near = ranked.where("x <> y").select(F.when(later, F.col("x")).otherwise(F.col("y")).alias("lo"), F.when(later, F.col("y")).otherwise(F.col("x")).alias("hi")).distinct()
@@ -257,6 +274,29 @@ def semantic_passes(rows: DataFrame, pairs: DataFrame, cfg: Config) -> DataFrame
     return first.where("status = 'merged'").unionByName(second)
 
 
+def passes(rows: DataFrame, cfg: Config) -> DataFrame:
+    """(id, status, merge_reason, matched_to) after title, cluster, entity and key passes, each over the rows that the one before kept.
+
+    rows(id, arrival, rank, title, dedupe_key, cluster_key, entities, events, action, numbers) are the
+    recorded ones: those that pass the filters. Titles are compared in order of arrival, all else by rank.
+    """
+    now = stored(rows)
+    steps = (
+        lambda df: title_duplicates(df.select("id", F.col("arrival").alias("rank"), "title"), cfg),
+        lambda df: cluster_duplicates(df.select("id", "rank", "title", "dedupe_key", "cluster_key"), cfg),
+        lambda df: entity_events(df.select("id", "rank", "entities", "events", "action"), cfg),
+        lambda df: key_similarity(df.select("id", "rank", "dedupe_key", "numbers", "entities"), cfg),
+    )
+    out: DataFrame | None = None
+    for step in steps:
+        told = stored(step(now).select("id", "status", "merge_reason", "matched_to"))
+        gone = told.where("status = 'merged'")
+        out = gone if out is None else out.unionByName(gone)
+        now = stored(now.join(gone.select("id"), "id", "left_anti"))
+    none = F.lit(None)
+    return out.unionByName(now.select("id", F.lit("kept").alias("status"), none.cast("string").alias("merge_reason"), none.cast(dict(rows.dtypes)["id"]).alias("matched_to")))
+
+
 def unique_keys(rows: DataFrame, reference_rule: bool = False) -> DataFrame:
     """The best row of each key by (quality ok, tier, importance, newest). Rows without a key stay, unless the old rule is asked for; they pass no window."""
     w = Window.partitionBy("dedupe_key").orderBy(F.desc(F.col("quality") == "ok"), F.desc("tier"), F.desc("importance"), F.desc("published_at"), "id")

@@ -396,13 +396,13 @@ def _merged(df: DataFrame) -> DataFrame:
 SELECT item_id, CASE WHEN matched_to IS NULL THEN 'kept' ELSE 'merged' END AS status, CASE WHEN matched_to IS NOT NULL THEN 'title_duplicate' END AS merge_reason, matched_to FROM done"""))
 def title_duplicates(spark, sf_dir):
     """DED-1 (resolver and pass are tested against a sequential walk)."""
-    return _merged(dedupe.title_duplicates(keyed(spark, sf_dir).select("id", "rank", "title"), CFG))
+    return _merged(dedupe.title_duplicates(dedupe.stored(keyed(spark, sf_dir).select("id", "rank", "title")), CFG))
 
 
 @query(f"{CLUSTERED} SELECT * FROM clustered")
 def cluster_duplicates(spark, sf_dir):
     """DED-2."""
-    return _merged(dedupe.cluster_duplicates(keyed(spark, sf_dir).select("id", "rank", "title", "dedupe_key", "cluster_key"), CFG))
+    return _merged(dedupe.cluster_duplicates(dedupe.stored(keyed(spark, sf_dir).select("id", "rank", "title", "dedupe_key", "cluster_key")), CFG))
 
 
 @query(recursive(f"""{KEYED}, told AS (SELECT item_id, score, list_concat(rt, rs) AS tk, {first_of_kind('own')} AS ow FROM keyed),
@@ -413,19 +413,13 @@ def cluster_duplicates(spark, sf_dir):
 SELECT item_id, CASE WHEN hit IS NULL THEN 'kept' ELSE 'merged' END AS status, CASE WHEN hit IS NOT NULL THEN 'entity_event' END AS merge_reason, hit AS matched_to FROM walked"""))
 def entity_events(spark, sf_dir):
     """DED-3."""
-    return _merged(dedupe.entity_events(keyed(spark, sf_dir).select("id", "rank", "entities", "events", "action"), CFG))
-
-
-@query()
-def key_similarity(spark, sf_dir):
-    """DED-4."""
-    return _merged(dedupe.key_similarity(keyed(spark, sf_dir).select("id", "rank", "dedupe_key", "numbers", "entities"), CFG))
+    return _merged(dedupe.entity_events(dedupe.stored(keyed(spark, sf_dir).select("id", "rank", "entities", "events", "action")), CFG))
 
 
 @query(f"{KEYED}, {PREFIXED} SELECT * FROM prefixed")
 def key_prefixes(spark, sf_dir):
     """DED-5."""
-    return dedupe.key_prefixes(keyed(spark, sf_dir).select("id", "rank", "dedupe_key")).select(F.col("id").alias("item_id"), "matched_to")
+    return dedupe.key_prefixes(dedupe.stored(keyed(spark, sf_dir).select("id", "rank", "dedupe_key"))).select(F.col("id").alias("item_id"), "matched_to")
 
 
 @query()
@@ -486,7 +480,7 @@ def merged_sources(spark, sf_dir):
 @query(f"""{CLUSTERED}, {PREFIXED} SELECT merge_reason, count(*) AS n FROM (SELECT merge_reason FROM clustered WHERE merge_reason IS NOT NULL UNION ALL SELECT 'key_prefix' FROM prefixed WHERE matched_to IS NOT NULL) GROUP BY 1""")
 def merge_metrics(spark, sf_dir):
     """AGG-2 over two passes."""
-    rows = keyed(spark, sf_dir)
+    rows = dedupe.stored(keyed(spark, sf_dir).select("id", "rank", "title", "dedupe_key", "cluster_key"))
     a = dedupe.cluster_duplicates(rows.select("id", "rank", "title", "dedupe_key", "cluster_key"), CFG).select("merge_reason")
     b = dedupe.key_prefixes(rows.select("id", "rank", "dedupe_key")).select("merge_reason")
     return aggregates.merge_metrics(a.unionByName(b))

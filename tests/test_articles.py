@@ -2,7 +2,6 @@
 
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -404,3 +403,25 @@ def test_cluster_pass_compares_with_the_first(spark):
     rows = [(1, 1.0, "alpha bravo charlie", "alpha-bravo-charlie", "x/y"), (2, 2.0, "alpha bravo charlie delta", "alpha-bravo-charlie", "x/y"), (3, 3.0, "other words here", "zz-yy", "x/y"), (4, 4.0, "alpha bravo charlie", "alpha-bravo-charlie", "solo"), (5, 5.0, "alpha bravo charlie", "alpha-bravo-charlie", "solo"), (6, 6.0, "alpha", "alpha", ""), (7, 7.0, "alpha", "alpha", None)]
     df = spark.createDataFrame(rows, "id long, rank double, title string, dedupe_key string, cluster_key string")
     assert {r["id"]: r["matched_to"] for r in dedupe.cluster_duplicates(df, CFG).collect()} == {1: None, 2: 1, 3: None, 4: None, 5: None, 6: None, 7: None}
+
+
+def test_ties_of_rank_go_to_the_smaller_id(spark):
+    edges = spark.createDataFrame([(9, 4, 1.0), (9, 2, 1.0), (9, 7, 1.0)], "lo long, hi long, rank double")
+    assert [tuple(r) for r in dedupe.resolve(edges).collect()] == [(9, 2)]
+
+
+def test_rows_with_different_numbers_never_meet(spark):
+    rows = [(k, 0, [str(k)]) for k in range(3000)] + [(3000, 0, []), (3001, 0, ["5", "7"]), (3002, 1, ["5"])]
+    groups = spark.createDataFrame(rows, "id long, c long, numbers array<string>")
+    sides = spark.createDataFrame([(0, 0), (0, 1), (1, 1)], "c1 long, c2 long")
+    met = {tuple(r) for r in dedupe.may_meet(sides, groups).collect()}
+    assert {(5, 3001), (7, 3001), (3001, 5), (5, 3002), (3001, 3002), (3000, 3002), (3000, 9)} <= met and (1, 2) not in met
+    assert len(met) < 3 * len(rows)
+
+
+def test_passes_see_only_what_is_left(spark):
+    """A row that an earlier pass merged can't take others with it, and titles are compared in order of arrival."""
+    rows = [(1, 1, -1.0, "alpha bravo charlie delta", "alpha-bravo-charlie", "x/y", [], [], None, []), (2, 2, -9.0, "alpha bravo charlie delta", "alpha-bravo-charlie", "x/y", [], [], None, []), (3, 3, -5.0, "other words of mine", "alpha-bravo-charlie", "x/z", [], [], None, [])]
+    df = spark.createDataFrame(rows, "id long, arrival long, rank double, title string, dedupe_key string, cluster_key string, entities array<string>, events array<string>, action string, numbers array<string>")
+    got = {r.id: (r.merge_reason, r.matched_to) for r in dedupe.passes(df, CFG).collect()}
+    assert got == {1: ("key_similarity", 3), 2: ("title_duplicate", 1), 3: (None, None)}
