@@ -96,8 +96,12 @@ def raw(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
-_P, _A = 0x9E3779B97F4A7C15 | 1, np.uint64(0xD6E8FEB86659FD93)
+_A = np.uint64(0xD6E8FEB86659FD93)
+#: Spans are hashed by a polynomial modulo this prime; the base was drawn at random once.
+PRIME = (1 << 61) - 1
+_BASE = 0x0F3C9A1D5E7B2486
 _powers: dict[str, np.ndarray] = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+_LOW31, _LOW30, _P61 = np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1), np.uint64(PRIME)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -110,23 +114,51 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """Below PRIME."""
+    x = (x >> np.uint64(61)) + (x & _P61)
+    return np.where(x >= _P61, x - _P61, x)
+
+
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME for factors below it, in halves of 31 bits."""
+    high_a, low_a, high_b, low_b = a >> np.uint64(31), a & _LOW31, b >> np.uint64(31), b & _LOW31
+    middle = low_a * high_b + high_a * low_b
+    return _reduced(high_a * high_b * np.uint64(2) + (middle >> np.uint64(30)) + ((middle & _LOW30) << np.uint64(31)) + low_a * low_b)
+
+
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers["up"]) < n:
         m = max(n, CHUNK_BYTES * 2 + 1)
-        for key, base in (("up", _P), ("down", pow(_P, -1, 1 << 64))):
-            steps = np.full(m, base, np.uint64)
-            steps[0] = 1
-            _powers[key] = np.multiply.accumulate(steps)
+        for key, base in (("up", _BASE), ("down", pow(_BASE, -1, PRIME))):
+            powers = np.ones(1, np.uint64)
+            while len(powers) < m:  # the table doubles
+                powers = np.concatenate([powers, _times(powers, np.full(1, pow(base, len(powers), PRIME), np.uint64))])
+            _powers[key] = powers
     return _powers["up"][:n], _powers["down"][:n]
 
 
+def _sums(x: np.ndarray) -> np.ndarray:
+    out = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum(x, out=out[1:])
+    return out
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of values[start:end] by prefix sums of a polynomial, all spans at once."""
-    n = len(values)
-    up, down = _power(n + 1)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((values.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _A)
+    """64-bit hashes of values[start:end] by prefix sums of a polynomial modulo a prime, all spans at once.
+
+    A power of two as the modulus would be cheaper, but regular texts of two letters collide under it.
+    """
+    up, down = _power(len(values) + 1)
+    up = up[: len(values)]
+    terms = (values.astype(np.uint64) + np.uint64(1)) if values.dtype == np.uint8 else _times(_reduced(values.astype(np.uint64)), up)
+    if values.dtype == np.uint8:  # the powers in halves: no sum of a chunk leaves 64 bits
+        high, low = _sums(terms * (up >> np.uint64(31))), _sums(terms * (up & _LOW31))
+    else:
+        high, low = _sums(terms >> np.uint64(31)), _sums(terms & _LOW31)
+    high, low = _reduced(high[ends] - high[starts]), _reduced(low[ends] - low[starts])
+    total = _reduced(_times(high, np.full(1, 1 << 31, np.uint64)) + low)
+    return mix(_times(total, down[starts]) + (ends - starts).astype(np.uint64) * _A)
 
 
 def words(body: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -63,7 +63,10 @@ class Channel:
         for n in range(1, ORDER + 1):
             c = counts.sum(tuple(range(ORDER - n))) if n < ORDER else counts
             share = (c + 4 * share) / (c.sum(-1, keepdims=True) + 4)
-        self.log = np.log(share).ravel().tolist()
+        self.table = np.log(share)
+        self.log = self.table.ravel().tolist()
+        # in a run of stars each symbol read costs 0.8 or more beyond reading nothing, and four lead to any state
+        self.longest = int(4 * (2 - self.table.min()) / 0.8) + 2
 
 
 def _base(c: str) -> str:
@@ -95,6 +98,8 @@ def emissions(token: str) -> list[list[tuple[int, float]]]:
 
 def decode(token: str, channel: Channel) -> str:
     """The best path through the token's lattice: words of small letters, one space between. Viterbi over the last three symbols."""
+    if "*" in token:
+        return _decode_dense(re.sub(r"\*{%d,}" % channel.longest, "*" * channel.longest, token), channel.table)
     log, keep = channel.log, SYMBOLS ** (ORDER - 1)
     states: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}  # last symbols -> score, what was read
     for may in emissions(token):
@@ -119,6 +124,50 @@ def decode(token: str, channel: Channel) -> str:
     return "".join(reversed(out)).strip()
 
 
+def _decode_dense(token: str, table: np.ndarray) -> str:
+    """The same for tokens with stars, which stand for any letter: all 27^3 states as an array, a step at a time.
+
+    A star reads nothing more cheaply than a letter, so of a long run only so many stars matter as
+    could pay for the way to any state; decode() cuts it to that, and the best reading stays the same.
+    """
+    shape = table.shape[:-1]
+    score = np.full(shape, -np.inf)
+    score[0, 0, 0] = 0.0
+    back: list[tuple[np.ndarray, np.ndarray]] = []
+    number = np.arange(score.size).reshape(shape)
+    ended = number % SYMBOLS == 0
+    for may in emissions(token):
+        best, come, read = np.full(score.size, -np.inf), number.ravel().copy(), np.full(score.size, -1, np.int8)
+
+        def offer(at: np.ndarray, value: np.ndarray, origin: np.ndarray, symbol: int) -> None:
+            better = value > best[at]
+            at = at[better]
+            best[at], come[at], read[at] = value[better], origin[better], symbol
+
+        for symbol, cost in may:
+            if symbol < 0:
+                offer(number.ravel(), (score + cost).ravel(), number.ravel(), -1)
+            elif symbol == 0:
+                offer(number[ended], score[ended] + cost, number[ended], -1)
+                told = np.where(ended, -np.inf, score + cost + table[..., 0]).ravel()
+                k = int(told.argmax())
+                offer(np.zeros(1, np.int64), told[k : k + 1], np.array([k]), 0)
+            else:
+                told = score + cost + table[..., symbol]
+                first = told.argmax(axis=0)
+                rest = number[0]  # the last two symbols
+                offer((rest * SYMBOLS + symbol).ravel(), np.take_along_axis(told, first[None], 0).ravel(), (first * SYMBOLS**2 + rest).ravel(), symbol)
+        back.append((come, read))
+        score = best.reshape(shape)
+    final = (score + np.where(number == 0, 0.0, table[..., 0])).ravel()
+    state, out = len(final) - 1 - int(final[::-1].argmax()), []
+    for come, read in reversed(back):
+        if read[state] >= 0:
+            out.append(chr(read[state] + 96) if read[state] else " ")
+        state = int(come[state])
+    return "".join(reversed(out)).strip()
+
+
 def _disguised(body: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Which words hold signs among letters, a digit or money sign beside a letter, or three equal letters."""
     letter, sign = _LETTER[body], _SIGN[body]
