@@ -72,6 +72,9 @@ class Config:
     # page texts: marks of code, of style sheets and of log-in pages
     script_marks: tuple[str, ...] = ("function(", "var ", "window.", "document.", "=>")
     style_marks: tuple[str, ...] = ("{", "}", "px;", "margin:", "font-")
+    #: One of these makes a licence page; two of the others make a listing, beside dashes.
+    strong_marks: tuple[str, ...] = ("permission is hereby granted", "mit license")
+    section_hints: tuple[str, ...] = ("economy", "latest", "markets")
     login_marks: tuple[str, ...] = ("log in", "sign in", "cookies")
     # numbers: one spelling for each unit
     currencies: tuple[str, ...] = ("usd", "eur", "gbp", "jpy", "krw")

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gazette.config import Config
-from gazette.functions.text import bound, collapse, mentions, sentences
+from gazette.functions.text import bound, collapse, mentions, normalize_source, sentences
 from gazette.functions.tokens import lit_array
 
 PAIR = "array<struct<label:string,evidence:string>>"
@@ -288,8 +288,11 @@ def merged_labels(rule: Column, judged: Column, text: Column, cfg: Config) -> Co
 
 
 def source_weight(source: Column, cfg: Config) -> Column:
+    """By tier of the outlet, under its own name or the normalised one."""
     low = F.lower(F.coalesce(source, F.lit("")))
-    return F.when(low.isin(*cfg.tier_a), 3.0).when(low.isin(*cfg.tier_b), 1.5).otherwise(0.3)
+    short = lambda c: F.lower(normalize_source(c, cfg))
+    listed = lambda names: low.isin(*names) | short(low).isin(*(short(F.lit(n)) for n in names))
+    return F.when(listed(cfg.tier_a), 3.0).when(listed(cfg.tier_b), 1.5).otherwise(0.3)
 
 
 def source_boost(weight: Column) -> Column:

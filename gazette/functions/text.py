@@ -65,9 +65,11 @@ def sanitize(c: Column) -> Column:
 
 
 def strip_source(summary: Column, source: Column) -> Column:
-    """The outlet's name, with a separator or glued on, off the end of the summary."""
-    tail = F.concat(F.lit(r"(?i)[\s\-|·:]*\Q"), source, F.lit(r"\E[\s.]*$"))
-    return F.when(F.coalesce(source, F.lit("")) == "", summary).otherwise(F.regexp_replace(summary, tail, ""))
+    """The outlet's name, with a separator or glued on, off the end of the summary. The tail is compared by its length: a name isn't a pattern."""
+    bare = lambda c: F.regexp_replace(c, r"[\s.]*$", "")
+    name = bare(F.coalesce(source, F.lit("")))
+    cut = lambda t: F.regexp_replace(F.substring(t, F.lit(1), F.length(t) - F.length(name)), r"[\s\-|·:]*$", "")
+    return bound(bare(summary), lambda t: F.when((name != "") & F.endswith(F.lower(t), F.lower(name)), cut(t)).otherwise(summary))
 
 
 def trim_title(title: Column, source: Column, cfg: Config) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gazette.config import Config
 from gazette.functions.signals import long_labels
-from gazette.functions.text import bound, collapse, contains_binary, jaccard, mentions
+from gazette.functions.text import normalize_source, bound, collapse, contains_binary, jaccard, mentions
 from gazette.functions.tokens import HANGUL, lit_array, raw_tokens
 
 
@@ -34,8 +34,9 @@ def top_fresh(age: Column, longs: Column, cfg: Config, required: bool = False) -
 
 
 def source_allowed(source: Column, cfg: Config) -> Column:
-    """The outlet contains an allowed name of 3 or more characters. An empty outlet fails."""
-    return mentions(source, tuple(s for s in cfg.top_sources if len(s) >= 3))
+    """The outlet, as it is or normalised, contains an allowed name of 3 or more characters. An empty outlet fails."""
+    names = tuple(s for s in cfg.top_sources if len(s) >= 3)
+    return mentions(source, names) | mentions(normalize_source(F.coalesce(source, F.lit("")), cfg), names)
 
 
 def skip_reason(text: Column, link: Column, matched: Column, signals: Column, age: Column, category: Column, cfg: Config) -> Column:
@@ -73,7 +74,7 @@ def outdated(published: Column, digest_date: Column, carried: Column, hours: flo
     return F.coalesce(gap > hours, F.lit(False)) & ~F.coalesce(carried, F.lit(False))
 
 
-#: How a calendar date may be written: 2024-01-31 (or with dots or slashes), 2024년 1월 31일, January 31, 2024.
+#: How a calendar date may be written (months by name are an extension of ours): 2024-01-31 (or with dots or slashes), 2024년 1월 31일, January 31, 2024.
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
 DATES = r"\d{4}[-./]\d{1,2}[-./]\d{1,2}|\d{4}년\s*\d{1,2}월\s*\d{1,2}일|(?:" + "|".join(m[:3] for m in MONTHS) + r")[a-z]*\.?\s+\d{1,2},?\s+\d{4}"
 
@@ -179,17 +180,17 @@ def url_class(url: Column) -> Column:
 
 
 def article_gate(text: Column, cfg: Config, least: int = 50) -> Column:
-    """Reason to reject a page's text; null if it reads like an article."""
+    """Reason to reject a page's text; null if it reads like an article. Dashes alone don't make a listing: two section names or, with fewer, three ellipses do."""
     low = F.lower(text)
     count = lambda words: F.size(F.filter(lit_array([w.lower() for w in words]), lambda w: F.contains(low, w)))
-    dashes, dots = F.size(F.split(text, " - ", -1)) - 1, F.size(F.split(text, r"\.\.\.|…", -1)) - 1
+    dashes, dots = F.size(F.split(text, " - ", -1)) - 1, F.size(F.split(text, "…", -1)) - 1
     return (
         F.when(F.length(F.trim(F.coalesce(text, F.lit("")))) < least, "too_short")
         .when(count(cfg.script_marks) >= 3, "script")
         .when(count(cfg.style_marks) >= 3, "style")
-        .when(count(cfg.boilerplate) >= 2, "policy")
+        .when((count(cfg.boilerplate) >= 2) | (count(cfg.strong_marks) >= 1), "policy")
         .when(count(cfg.login_marks) >= 1, "login")
-        .when((dashes >= 4) | ((dots >= 3) & (dashes >= 2)), "listing")
+        .when(((dashes >= 4) & (count(cfg.section_hints) >= 2)) | ((dots >= 3) & (dashes >= 2)), "listing")
     )
 
 

@@ -524,11 +524,19 @@ def _count(words) -> str:
     return "(" + " + ".join(f"contains(lower(text), '{w}')::INT" for w in words) + ")"
 
 
-@query(f"""SELECT doc_id AS item_id, CASE WHEN length(trim(coalesce(text, ''))) < 50 THEN 'too_short' WHEN {_count(CFG.script_marks)} >= 3 THEN 'script' WHEN {_count(CFG.style_marks)} >= 3 THEN 'style'
- WHEN {_count(w.lower() for w in CFG.boilerplate)} >= 2 THEN 'policy' WHEN {_count(CFG.login_marks)} >= 1 THEN 'login' WHEN len(string_split(text, ' - ')) - 1 >= 4 THEN 'listing' END AS reason FROM documents""")
+_ENDINGS = {1: " - one - two - three - four of the latest economy", 2: " - one - two - three - four of the latest", 3: " and so on… and on… and on… - here - there", 4: " and on… and on… - here - there", 5: " permission is hereby granted"}
+
+
+@query(f"""WITH t AS (SELECT doc_id, coalesce(text, '') || CASE doc_id % 8 {' '.join(f"WHEN {k} THEN '{x}'" for k, x in _ENDINGS.items())} ELSE '' END AS text FROM documents), d AS (SELECT *, len(string_split(text, ' - ')) - 1 AS dashes, len(string_split(text, '…')) - 1 AS dots FROM t)
+SELECT doc_id AS item_id, CASE WHEN length(trim(text)) < 50 THEN 'too_short' WHEN {_count(CFG.script_marks)} >= 3 THEN 'script' WHEN {_count(CFG.style_marks)} >= 3 THEN 'style'
+ WHEN {_count(w.lower() for w in CFG.boilerplate)} >= 2 OR {_count(CFG.strong_marks)} >= 1 THEN 'policy' WHEN {_count(CFG.login_marks)} >= 1 THEN 'login' WHEN (dashes >= 4 AND {_count(CFG.section_hints)} >= 2) OR (dots >= 3 AND dashes >= 2) THEN 'listing' END AS reason FROM d""")
 def article_gate(spark, sf_dir):
-    """FLT-20."""
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), filters.article_gate(F.col("text"), CFG).alias("reason"))
+    """FLT-20, over texts of which some end in the shape of a listing, or nearly, or in a licence."""
+    end = F.lit("")
+    for k, x in _ENDINGS.items():
+        end = F.when(F.col("doc_id") % 8 == k, x).otherwise(end)
+    text = F.concat(F.coalesce("text", F.lit("")), end)
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("item_id"), filters.article_gate(text, CFG).alias("reason"))
 
 
 # pages

@@ -40,8 +40,12 @@ def judgments(raw: Column) -> Column:
 
 
 def digests(spark: SparkSession, path: str) -> DataFrame:
-    """Dated snapshots, as files YYYY-MM-DD.json or folders snapshot=YYYY-MM-DD; other names are left out, unreadable ones keep a row without items."""
-    df = spark.read.schema(f"date string, items array<struct<{', '.join(f'{c.split()[0]}:{c.split()[1]}' for c in DIGEST_ITEM.split(', '))}>>, _corrupt_record string").option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+    """Dated snapshots, as files YYYY-MM-DD.json or folders snapshot=YYYY-MM-DD; other names are left out, unreadable ones keep a row without items. A folder that isn't there has none."""
+    schema = f"date string, items array<struct<{', '.join(f'{c.split()[0]}:{c.split()[1]}' for c in DIGEST_ITEM.split(', '))}>>, _corrupt_record string"
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], f"{schema}, snapshot string")
+    df = spark.read.schema(schema).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
     return df.withColumn("snapshot", F.regexp_extract(F.input_file_name(), r"(?:snapshot=|/)(\d{4}-\d{2}-\d{2})(?:\.json$|/)", 1)).where("snapshot <> ''")
 
 

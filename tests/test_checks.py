@@ -143,3 +143,23 @@ def test_swapped_editions(spark, tmp_path):
     assert current() == [("2024-01-01", "one", 6, "one"), ("2024-01-02", "one", 2, "one"), ("2024-01-03", "two", 5, "two")]
     publish("four", rows("2024-01-01", 7), rows("2024-01-02", 8))
     assert [x[1] for x in current()] == ["four", "four", "two"]
+
+
+def test_outlets_that_look_like_patterns(spark):
+    from gazette.functions import text as tx
+
+    rows = [("The news - A.B (c)", "A.B (c)"), ("The news | \\Eback", "\\Eback"), ("The newsSRC0. ", "src0"), ("All src0 of it", "src0"), ("x", ""), ("y", None), ("src0", "src0")]
+    df = spark.createDataFrame(rows, "t string, s string")
+    assert [r.v for r in df.select(tx.strip_source(F.col("t"), F.col("s")).alias("v")).collect()] == ["The news", "The news", "The news", "All src0 of it", "x", "y", ""]
+
+
+def test_tiers_take_normalised_names(spark):
+    df = spark.createDataFrame([("SRC0 Daily",), ("src2news",), ("src2",), ("other",), (None,)], "s string")
+    assert [r.v for r in df.select(sg.source_weight(F.col("s"), CFG).alias("v")).collect()] == [3.0, 1.5, 1.5, 0.3, 0.3]
+
+
+def test_an_archive_that_is_not_there(spark, tmp_path):
+    from gazette.sources import feeds
+
+    found = feeds.digests(spark, f"{tmp_path}/none")
+    assert feeds.last_edition(found).count() == 0 and feeds.archived(found).count() == 0
