@@ -253,11 +253,43 @@ def feed_cap(spark, sf_dir):
     return selection.per_feed_cap(df, CFG.feed_cap).select("item_id", "feed_id")
 
 
-@query("""SELECT source AS feed_id, count(CASE WHEN n_chars >= 200 THEN 1 END) AS entries, CASE WHEN bool_or(n_chars < 100) AND count(CASE WHEN n_chars >= 200 THEN 1 END) = 0 THEN 'failure' WHEN bool_or(n_chars < 100) THEN 'warning' ELSE 'ok' END AS state FROM documents GROUP BY source""")
+FEED_KINDS = """k0 AS (SELECT source AS feed_id, coalesce(try_cast(regexp_extract(source, '([0-9]+)$', 1) AS INT), 0) AS k, doc_id, lang, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS place FROM documents WHERE source IS NOT NULL),
+ k1 AS (SELECT *, k % 5 = 1 AS cut, k % 5 = 2 AS gone FROM k0 WHERE place <= 150), k2 AS (SELECT * FROM k1 WHERE NOT gone AND (NOT cut OR place <= 3))"""
+
+
+def _land(spark, sf_dir) -> tuple[str, str]:
+    """Feeds as files, a source each, of 150 entries at most: RSS for odd numbers, lines of JSON for even ones. Some break off after three entries, some hold none."""
+    docs = table(spark, sf_dir, "documents").where("source IS NOT NULL").select("source", "doc_id", "lang")
+    docs = selection.per_feed_cap(docs.select("*", F.col("source").alias("feed_id"), F.col("doc_id").alias("pos")), CFG.feed_cap)
+    k = F.coalesce(F.nullif(F.regexp_extract("source", "([0-9]+)$", 1), F.lit("")).cast("int"), F.lit(0))
+    at = F.row_number().over(Window.partitionBy("source").orderBy("doc_id")) - 1
+    docs = docs.select(F.col("source").alias("feed"), k.alias("k"), at.alias("at"), "doc_id", "lang", "source").where((F.col("k") % 5 != 1) | (F.col("at") < 3))
+    d = F.col("doc_id").cast("string")
+    item = F.concat(F.lit("<item><title>No. &lt;"), d, F.lit("&gt; &amp; more</title><description>"), F.col("lang"), F.lit('</description><source url="u"> '), F.col("source"), F.lit("</source></item>"))
+    whole = docs.groupBy("feed", "k").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", item.alias("x")))), lambda e: e["x"]), "").alias("items"))  # 150 entries at most
+    rss = F.when(F.col("k") % 5 == 2, "<html>no feed today").when(F.col("k") % 5 == 1, F.concat(F.lit("<rss><channel>"), "items", F.lit("<item><title>cut of"))).otherwise(F.concat(F.lit("<rss><channel>"), "items", F.lit("</channel></rss>")))
+    lines = docs.where("k % 5 <> 2").select("feed", "k", F.to_json(F.struct(F.col("at").alias("pos"), F.concat(F.lit("No. <"), d, F.lit("> & more")).alias("title"), F.col("lang").alias("summary"), F.struct(F.col("source").alias("title")).alias("source"))).alias("value"))
+    broken = docs.where("k % 5 IN (1, 2)").select("feed", "k").distinct().select("feed", "k", F.lit('{"pos": 9, "ti').alias("value"))
+    xml, js = _folder(spark), _folder(spark)
+    whole.where("k % 2 = 1").select("feed", rss.alias("value")).write.partitionBy("feed").text(xml)
+    lines.unionByName(broken).where("k % 2 = 0").select("feed", "value").write.partitionBy("feed").text(js)
+    return xml, js
+
+
+@query(f"""WITH {FEED_KINDS} SELECT feed_id, (place - 1)::INT AS pos, 'No. <' || doc_id || '> & more' AS title, lang AS summary, feed_id AS source FROM k2""")
+def feed_entries(spark, sf_dir):
+    """SRC-1, SET-1, SRC-3, PRJ-7: entries of feeds in two formats as one table, as far as each file can be read."""
+    xml, js = _land(spark, sf_dir)
+    rows = feeds.union_feeds(feeds.landed_xml(spark, xml), feeds.landed_json(spark, js)).where("NOT corrupt")
+    return rows.select("feed_id", F.col("pos").cast("int").alias("pos"), "title", "summary", "source")
+
+
+@query(f"""WITH {FEED_KINDS}, n AS (SELECT feed_id, count(*) AS entries FROM k2 GROUP BY 1), a AS (SELECT feed_id, bool_or(cut OR gone) AS broken FROM k1 GROUP BY 1)
+SELECT feed_id, coalesce(entries, 0) AS entries, CASE WHEN broken AND coalesce(entries, 0) = 0 THEN 'failure' WHEN broken THEN 'warning' ELSE 'ok' END AS state FROM a LEFT JOIN n USING (feed_id)""")
 def feed_health(spark, sf_dir):
-    """SRC-4: very short documents stand for broken entries."""
-    df = table(spark, sf_dir, "documents").select(F.col("source").alias("feed_id"), F.when(F.col("n_chars") >= 200, "t").alias("title"), (F.col("n_chars") < 100).alias("corrupt"))
-    return aggregates.feed_health(df)
+    """SRC-4: broken files with and without entries, found by reading them."""
+    xml, js = _land(spark, sf_dir)
+    return aggregates.feed_health(feeds.union_feeds(feeds.landed_xml(spark, xml), feeds.landed_json(spark, js)))
 
 
 @query("SELECT doc_id AS item_id, 'item_' || row_number() OVER (ORDER BY source, doc_id) AS running_id FROM documents")

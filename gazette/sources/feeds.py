@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazette.config import Config
@@ -22,6 +22,31 @@ def rss_entries(spark: SparkSession, path: str) -> DataFrame:
     return df.select("feed_id", "corrupt", "pos", "e.title", "e.link", F.col("e.description").alias("summary"), F.col("e.pubDate").alias("published"), F.trim(F.coalesce("e.source._VALUE", F.lit(""))).alias("source"))
 
 
+def landed_xml(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of feeds landed as RSS under path/feed=<id>, in file order; what a broken file still gives stays, with a corrupt row beside it.
+
+    (feed_id, corrupt, pos, title, link, summary, published, source). pos counts a feed's entries from 0.
+    """
+    item = "title string, link string, description string, pubDate string, source struct<_VALUE:string,_url:string>, _corrupt_record string"
+    df = spark.read.format("xml").option("rowTag", "item").option("mode", "PERMISSIVE").schema(item).load(path)
+    corrupt = F.col("_corrupt_record").isNotNull()
+    place = F.row_number().over(Window.partitionBy("feed", corrupt).orderBy(F.input_file_name(), F.monotonically_increasing_id())) - 1
+    outlet = F.trim(F.coalesce("source._VALUE", F.lit("")))
+    told = lambda c: F.when(~corrupt, F.col(c))
+    found = df.select(F.col("feed").cast("string").alias("feed_id"), corrupt.alias("corrupt"), F.when(~corrupt, place).alias("pos"), told("title").alias("title"), told("link").alias("link"), told("description").alias("summary"), told("pubDate").alias("published"), F.when(~corrupt, outlet).alias("source"))
+    # a file that doesn't end as a feed is broken too: the reader may find nothing in it at all
+    open_ = spark.read.option("wholetext", True).text(path).where(~F.rtrim(F.col("value")).rlike("</(?:rss|channel)>\\s*$")).select(F.col("feed").cast("string").alias("feed_id")).distinct()
+    return found.unionByName(open_.withColumn("corrupt", F.lit(True)), allowMissingColumns=True)
+
+
+def landed_json(spark: SparkSession, path: str) -> DataFrame:
+    """The same of feeds landed as lines of JSON (pos, title, link, summary, published, source); a line that can't be read is a corrupt row."""
+    line = "pos int, title string, link string, summary string, published string, source struct<title:string>, _corrupt_record string"
+    df = spark.read.schema(line).option("mode", "PERMISSIVE").json(path)
+    corrupt = F.col("_corrupt_record").isNotNull()
+    return df.select(F.col("feed").cast("string").alias("feed_id"), corrupt.alias("corrupt"), F.when(~corrupt, F.col("pos")).alias("pos"), F.when(~corrupt, F.col("title")).alias("title"), "link", "summary", "published", F.trim(F.coalesce("source.title", F.lit(""))).alias("source"))
+
+
 def json_entries(spark: SparkSession, path: str) -> DataFrame:
     schema = "feed_id string, pos int, topic string, title string, summary string, link string, content array<struct<value:string>>, published string, updated string, source struct<title:string>, _corrupt_record string"
     df = spark.read.schema(schema).option("mode", "PERMISSIVE").json(path)
