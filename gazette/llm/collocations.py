@@ -335,6 +335,8 @@ def counted(docs: DataFrame, ranges: int, bits: np.ndarray | None = None, shard_
                 single = grams[:, 1] < 0
                 np.add.at(total, np.searchsorted(cells, cell[single]), counts[single])
                 yield _batch(cells, columns, names, ranges, {"n": pa.array(total, pa.int64())})
+                del cell, cells, columns, total, single
+            del body, offsets, lang, owner, grams, counts, vocabulary, hashes  # the next shard is gathered meanwhile
 
     return docs.mapInArrow(run, f"{CELL}, {AUTOMATON}, n long")
 
