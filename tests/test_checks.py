@@ -163,3 +163,23 @@ def test_an_archive_that_is_not_there(spark, tmp_path):
 
     found = feeds.digests(spark, f"{tmp_path}/none")
     assert feeds.last_edition(found).count() == 0 and feeds.archived(found).count() == 0
+
+
+def test_feeds_in_two_formats_some_of_them_broken(spark, tmp_path):
+    from gazette.operators import aggregates
+    from gazette.sources import feeds
+
+    def land(kind, **files):
+        for feed, text in files.items():
+            folder = tmp_path / kind / f"feed={feed}"
+            folder.mkdir(parents=True)
+            (folder / "part-0.txt").write_text(text)
+
+    item = "<item><title>{} &amp; co</title><source url='u'> Out </source></item>"
+    land("xml", sound=f"<rss><channel>{item.format('a')}{item.format('b')}</channel></rss>", cut=f"<rss><channel>{item.format('a')}<item><title>c", gone="<html>none", bare="<rss><channel><title>t</title></channel></rss>\n")
+    land("json", lines='{"pos": 0, "title": "x", "source": {"title": "Out"}}\n{"pos": 1, "ti', torn='{"pos"')
+    rows = feeds.union_feeds(feeds.landed_xml(spark, f"{tmp_path}/xml"), feeds.landed_json(spark, f"{tmp_path}/json"))
+    found = sorted((r.feed_id, r.pos, r.title, r.source) for r in rows.where("NOT corrupt").select("feed_id", "pos", "title", "source").collect())
+    assert found == [("cut", 0, "a & co", "Out"), ("lines", 0, "x", "Out"), ("sound", 0, "a & co", "Out"), ("sound", 1, "b & co", "Out")]
+    health = {r.feed_id: (r.entries, r.state) for r in aggregates.feed_health(rows).collect()}
+    assert health == {"cut": (1, "warning"), "lines": (1, "warning"), "sound": (2, "ok"), "gone": (0, "failure"), "torn": (0, "failure")}  # a whole feed without entries says nothing
