@@ -42,6 +42,13 @@ def test_title_noise(spark):
     assert [r[0] for r in df.select(tx.trim_title(F.col("t"), F.col("s"), CFG)).collect()] == ["Big story (photo)", "Plain"]
 
 
+def test_outlets_come_off_cleaned_texts(spark):
+    """clean_text() runs Python, which Spark allows in no lambda."""
+    df = spark.createDataFrame([("<b>News</b> &amp; more - src9", "src9"), ("x &lt; y", None), (None, "src9")], "t string, s string")
+    assert [r[0] for r in df.select(tx.strip_source(tx.clean_text(F.col("t")), F.col("s"))).collect()] == ["News & more", "x < y", None]
+    assert [r[0] for r in df.select(tx.trim_title(tx.clean_text(F.col("t")), F.col("s"), CFG)).collect()] == ["News & more", "x < y", None]
+
+
 def test_normal_tokens_strip_endings(spark):
     assert one(spark, "The licensed banking Nations of 2024 x", lambda c: tk.normal_tokens(c, CFG)) == ["license", "bank", "nations", "2024"]
 
