@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+import tempfile
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,6 +17,8 @@ OFFSET_HOURS = 9
 #: A column of the processor's own.
 DAY = "calendar_day_"
 DAY_MS = 24 * 3_600_000
+#: Bytes of one key's rows of a micro-batch that are held in memory; beyond, they wait in a file of the task's own.
+HELD = 32 << 20
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -44,11 +49,25 @@ class RecentRepeats(StatefulProcessor):
             self.handle.registerTimer(_closes(day, self.days))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for chunk in rows:
-            for day, part in chunk.groupby(DAY, sort=True):
+        # a key's rows come in several chunks where an Arrow batch ends, with days in any order, so its days are judged once all are known
+        with tempfile.SpooledTemporaryFile(max_size=HELD) as held:
+            days: Counter[int] = Counter()
+            chunks = 0
+            for chunk in rows:
+                days.update(chunk[DAY].value_counts().to_dict())
+                pickle.dump(chunk, held)
+                chunks += 1
+            kept = []
+            for day in sorted(days):
                 if not any(self.survived.containsKey((int(day) - back,)) for back in range(1, self.days + 1)):
-                    self._mark(int(day), len(part))
-                    yield part.drop(columns=DAY)
+                    self._mark(int(day), int(days[day]))
+                    kept.append(day)
+            held.seek(0)
+            for _ in range(chunks):
+                chunk = pickle.load(held)
+                left = chunk[chunk[DAY].isin(kept)]
+                if len(left):
+                    yield left.drop(columns=DAY)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         day = (expiredTimerInfo.getExpiryTimeInMs() + OFFSET_HOURS * 3_600_000) // DAY_MS - self.days - 1
@@ -65,7 +84,7 @@ def without_recent(entries: DataFrame, key: str = "cluster_key", at: str = "publ
     """The entries of a stream whose key has no surviving row on one of the `days` calendar days before their own.
 
     Today doesn't count, so rows of one day all stay or all go. A row is judged by what has
-    survived when it arrives; within an Arrow batch of one key earlier days go first. Rows older
+    survived when it arrives; of one key's rows in a micro-batch, earlier days go first. Rows older
     than the watermark (`delay` behind the newest time) are dropped by Spark. history(key, date)
     holds the days before the stream began. Rows without key or time have no past: they pass
     without state. A key's state is at most days + delay + 1 numbers, however many rows it has.

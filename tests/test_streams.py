@@ -4,6 +4,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from gazette.plans.queries import _streamed
 from gazette.streaming.recent import calendar_day, without_recent
 
 SCHEMA = "n int, cluster_key string, published_at timestamp"
@@ -40,6 +41,19 @@ def test_suppressed_rows_prolong_nothing(spark, tmp_path):
     assert run(spark, tmp_path, days, days=3, delay="2 days")[0] == [1, 5, 9]
 
 
+def test_a_key_with_more_rows_than_an_arrow_batch_is_judged_by_day(spark, tmp_path):
+    """One micro-batch in several chunks whose days come latest first, and a landed step of many files."""
+    rows = [(d * 100 + k, "a", f"2024-01-{d:02d} 03:00:00") for d in range(11, 0, -1) for k in range(5)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        kept, _ = run(spark, tmp_path, [rows], days=3, delay="2 days")
+        df = spark.createDataFrame(rows, "n int, cluster_key string, at string").select("n", "cluster_key", F.col("at").cast("timestamp").alias("published_at"))
+        landed = _streamed(df.repartition(11, "n"), ["published_at < '2024-01-07'", "published_at >= '2024-01-07'"], days=3, delay="2 days")
+        assert sorted(r.n for r in landed.collect()) == kept == [d * 100 + k for d in (1, 5, 9) for k in range(5)]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_timers_clear_the_state(spark, tmp_path):
     first = [(k, f"k{k}", "2024-01-01 03:00:00") for k in range(20)]
     kept, states = run(spark, tmp_path, [first, [(100, "z", "2024-01-20 03:00:00")], [(101, "z2", "2024-01-21 03:00:00")]], days=3, delay="1 day")
