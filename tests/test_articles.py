@@ -432,3 +432,12 @@ def test_passes_see_only_what_is_left(spark):
     df = spark.createDataFrame(rows, "id long, arrival long, rank double, title string, dedupe_key string, cluster_key string, entities array<string>, events array<string>, action string, numbers array<string>")
     got = {r.id: (r.merge_reason, r.matched_to) for r in dedupe.passes(df, CFG).collect()}
     assert got == {1: ("key_similarity", 3), 2: ("title_duplicate", 1), 3: (None, None)}
+
+
+def test_signatures_hold_pairs_apart_before_the_shuffle(spark):
+    """Sets that share one rare token and nothing else aren't candidates; similar ones always are."""
+    rows = [(k, float(k), [f"rare{k // 50}", *(f"w{k}x{i}" for i in range(20))]) for k in range(100)] + [(200, 0.0, [f"s{i}" for i in range(20)]), (201, 1.0, [f"s{i}" for i in range(16)])]
+    sets = spark.createDataFrame(rows, "c long, r double, tokens array<string>").select("c", F.size("tokens").alias("n"), "tokens")
+    p = joins.prefixes(sets, 0.55)
+    met = {(r.c1, r.c2) for r in joins.prefix_meet(p, p, 0.55).select("c1", "c2").collect()}
+    assert {(200, 201), (201, 200)} <= met and len(met) < 100
