@@ -434,6 +434,32 @@ def test_passes_see_only_what_is_left(spark):
     assert got == {1: ("key_similarity", 3), 2: ("title_duplicate", 1), 3: (None, None)}
 
 
+def test_like_keys_are_the_sequential_walk_and_near_copies_make_few_pairs(spark):
+    """Near copies of one key, rows without entities, numbers and equal ranks; pairs don't grow with the square of the group."""
+    rng = random.Random(4)
+    words = ["alpha", "bravo", "charlie", "delta", "echo", "foxtrot", "golfing", "hotel"]
+    rows = []
+    for k in range(150):
+        own = sorted({*rng.sample(words, 6), rng.choice("pqrs") * 3} if k < 110 else {"".join(rng.choices("abcdefghijklm", k=6)) for _ in range(4)})
+        rows.append((k, float(k % 7), sorted({a + b for w in ["".join(own)] for a, b in zip(w, w[1:])}), sorted(rng.sample(["7", "8"], k % 3)) if k % 4 == 0 else [], own if k % 9 else []))
+    like = lambda a, b: len({*a} & {*b}) >= CFG.key_threshold * len({*a} | {*b})
+    apart = lambda a, b: bool(a and b and not {*a} & {*b})
+    order = sorted(rows, key=lambda r: (r[1], r[0]))
+    kept, want = [], {}
+    for r in order:
+        hit = next((q for q in kept if like(r[2], q[2]) and not apart(r[3], q[3]) and not apart(r[4], q[4])), None)
+        if hit:
+            want[r[0]] = hit[0]
+        else:
+            kept.append(r)
+    heads = spark.createDataFrame(rows, "id long, rank double, tokens array<string>, numbers array<string>, entities array<string>")
+    edges = dedupe.stored(dedupe.like_keys(heads, CFG.key_threshold))
+    found = {r["lo"]: r["matched_to"] for r in dedupe.resolve(dedupe._edges(edges, heads)).collect()}
+    assert found == want
+    copies = spark.createDataFrame([(k, 0.0, [*"abcdefghijkl", str(k)], [], ["one"]) for k in range(400)], "id long, rank double, tokens array<string>, numbers array<string>, entities array<string>")
+    assert dedupe.like_keys(copies, CFG.key_threshold).count() == 399
+
+
 def test_signatures_hold_pairs_apart_before_the_shuffle(spark):
     """Sets that share one rare token and nothing else aren't candidates; similar ones always are."""
     rows = [(k, float(k), [f"rare{k // 50}", *(f"w{k}x{i}" for i in range(20))]) for k in range(100)] + [(200, 0.0, [f"s{i}" for i in range(20)]), (201, 1.0, [f"s{i}" for i in range(16)])]
