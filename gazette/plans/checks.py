@@ -163,8 +163,8 @@ SELECT item_id, {_shown_sql('found')} AS detail, n_given, mined FROM found""")
 def signal_detail(spark, sf_dir):
     """SIG-7, SIG-6, SIG-8, SIG-5, WIN-3: pairs from judgments in three JSON forms, sanitised, or mined where none holds."""
     df = dedupe.stored(told(spark, sf_dir).select("item_id", "body", "signals", "lab", "e1", "e2"))
-    df = df.withColumn("given", sg.given_pairs(json_forms(), F.col("signals"))).withColumn("good", sg.sanitized(F.col("given"), F.col("body"), CFG))
-    df = df.withColumn("found", F.when(F.size("good") > 0, F.col("good")).otherwise(sg.mined(F.col("body"), CFG)))
+    df = tx.staged(tx.staged(df, given=sg.given_pairs(json_forms(), F.col("signals"))), good=sg.sanitized(F.col("given"), F.col("body"), CFG))
+    df = tx.staged(df, found=F.when(F.size("good") > 0, F.col("good")).otherwise(sg.mined(F.col("body"), CFG)))
     return df.select("item_id", _shown("found").alias("detail"), F.size("given").alias("n_given"), ((F.size("good") == 0) & (F.size("found") > 0)).alias("mined"))
 
 
