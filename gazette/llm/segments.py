@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, drop_written, held, id_bits, in_bits, mix, ragged, raw, released, span_hashes, texts, words, written
+from .common import chunks, drop_written, held, id_bits, in_bits, mix, ragged, raw, released, span_hashes, texts, window_hashes, words, written
 
 
 #: Tasks of the index stage at most; with more shards, a task takes several, one after the other.
@@ -71,8 +71,7 @@ def cut(values: np.ndarray, bounds: np.ndarray, unit: Unit) -> tuple[np.ndarray,
     n, w = len(values), unit.width - unit.k + 1
     if n < unit.width:
         return none
-    at = np.arange(n - unit.k + 1)
-    h = span_hashes(values, at, at + unit.k)
+    h = window_hashes(values, unit.k)
     row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     place = np.arange(n) - bounds[row]
     low = np.uint64((1 << 30) - 1)
