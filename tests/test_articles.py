@@ -460,6 +460,29 @@ def test_like_keys_are_the_sequential_walk_and_near_copies_make_few_pairs(spark)
     assert dedupe.like_keys(copies, CFG.key_threshold).count() == 399
 
 
+def test_like_keys_in_spans_are_the_sequential_walk_and_a_merged_row_meets_no_more(spark):
+    """Many spans, equal ranks across their borders, rows with and without entities; each merged row comes once, with its earliest kept match."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(240):
+        own = sorted(rng.sample(["alpha", "bravo", "charlie", "delta", "echo", "foxtrot"], 3)) if k % 5 else []
+        rows.append((k, float(rng.randrange(4)), sorted(rng.sample("abcdefghijklmn", 6)), sorted(rng.sample(["7", "8"], k % 3)) if k % 4 == 0 else [], own))
+    like = lambda a, b: len({*a} & {*b}) >= CFG.key_threshold * len({*a} | {*b})
+    apart = lambda a, b: bool(a and b and not {*a} & {*b})
+    kept, want = [], {}
+    for r in sorted(rows, key=lambda r: (r[1], r[0])):
+        hit = next((q for q in kept if like(r[2], q[2]) and not apart(r[3], q[3]) and not apart(r[4], q[4])), None)
+        if hit:
+            want[r[0]] = hit[0]
+        else:
+            kept.append(r)
+    heads = spark.createDataFrame(rows, "id long, rank double, tokens array<string>, numbers array<string>, entities array<string>")
+    assert dedupe.spans(heads, 4, 4)[1] == 3
+    got = dedupe.like_keys(heads, CFG.key_threshold, least=4, growth=4).collect()
+    assert len(got) == len(want) and {r["lo"]: r["hi"] for r in got} == want
+
+
+
 def test_signatures_hold_pairs_apart_before_the_shuffle(spark):
     """Sets that share one rare token and nothing else aren't candidates; similar ones always are."""
     rows = [(k, float(k), [f"rare{k // 50}", *(f"w{k}x{i}" for i in range(20))]) for k in range(100)] + [(200, 0.0, [f"s{i}" for i in range(20)]), (201, 1.0, [f"s{i}" for i in range(16)])]
