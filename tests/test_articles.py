@@ -490,3 +490,17 @@ def test_signatures_hold_pairs_apart_before_the_shuffle(spark):
     p = joins.prefixes(sets, 0.55)
     met = {(r.c1, r.c2) for r in joins.prefix_meet(p, p, 0.55).select("c1", "c2").collect()}
     assert {(200, 201), (201, 200)} <= met and len(met) < 100
+
+
+def test_cosines_by_blocks_are_those_of_each_pair_and_read_each_side_once(spark):
+    """Small blocks, vectors of two lengths, copies, zeros and nulls; the plan doesn't grow with the queries."""
+    rng = random.Random(7)
+    rows = [(k, [rng.uniform(-1, 1) for _ in range(6 if k % 10 else 4)]) for k in range(120)] + [(120, [0.0] * 6), (121, None), (122, []), (123, [1.0, None]), (None, [1.0] * 6)]
+    rows += [(k + 200, rows[k][1]) for k in range(0, 120, 3)]
+    df = spark.createDataFrame(rows, "id long, vector array<float>")
+    found = joins.cosine_join(df, df.where("id % 2 = 0"), 0.5, block=16)
+    unit = df.select("id", joins.unit(F.col("vector")).alias("u")).where("id IS NOT NULL AND size(u) > 0")
+    q = unit.where("id % 2 = 0").select(F.col("id").alias("query"), F.col("u").alias("u2"))
+    want = q.crossJoin(unit).where((F.col("query") != F.col("id")) & (F.size("u") == F.size("u2"))).select("query", "id", joins.cosine(F.col("u2"), F.col("u")).alias("cosine")).where("cosine >= 0.5")
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect())) and want.count() > 100
+    assert "Union" not in found._jdf.queryExecution().optimizedPlan().toString()
