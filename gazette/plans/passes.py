@@ -83,7 +83,7 @@ def _shown(df: DataFrame) -> DataFrame:
 @query(recursive(f"{TOLD}, {key_sql('known', 'keys')} SELECT item_id, CASE WHEN hit IS NULL THEN 'kept' ELSE 'merged' END AS status, CASE WHEN hit IS NOT NULL THEN 'key_similarity' END AS merge_reason, hit AS matched_to FROM keys"))
 def key_similarity(spark, sf_dir):
     """DED-4: equal keys, then like bigrams, both vetoed by numbers or entities that contradict."""
-    rows = dedupe.stored(keyed(spark, sf_dir).select("id", "rank", "dedupe_key", "numbers", "entities"))
+    rows = dedupe.stored(keyed(spark, sf_dir, only=("numbers", "entities")).select("id", "rank", "dedupe_key", "numbers", "entities"))
     return dedupe.key_similarity(rows, CFG).select(F.col("id").alias("item_id"), "status", "merge_reason", "matched_to")
 
 

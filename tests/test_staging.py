@@ -10,6 +10,7 @@ from gazette.functions import signals as sg
 from gazette.functions import tokens as tk
 from gazette.llm.common import window_hashes
 from gazette.plans.articles import derived, keyed
+from gazette.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,6 +29,16 @@ def test_a_key_is_made_once_though_filters_read_it(spark):
     assert len(re.findall(r"split\(lower\(title", plan(df))) == 1
 
 
+def test_what_nobody_reads_of_a_key_is_not_computed(spark):
+    whole = keyed(spark, SF)
+    few = keyed(spark, SF, only=("cluster_key",))
+    assert {"reason", "numbers", "entities", "events", "action", "key_prefix"} == {*whole.columns} - {*few.columns}
+    names = ["id", "rank", "title", "dedupe_key", "cluster_key"]
+    assert sorted(map(tuple, few.select(names).collect())) == sorted(map(tuple, whole.select(names).collect()))
+    for name in ("key_prefixes", "quality_gates", "cluster_duplicates", "recent_duplicates"):
+        assert not re.search("hard_exclude_keyword", plan(QUERIES[name](spark, SF)))
+
+
 def test_endings_go_as_by_the_pattern(spark):
     words = ["nationing", "eding", "ingment", "esesesesxes", "es", "aes", "abes", "tion", "xtion", "xytion", "licence", "ing", "theing", "가나ed", "q", "abcdmented"]
     ending = "^(.{2,}?)(?:" + "|".join(sorted(CFG.endings, key=len, reverse=True)) + ")$"
