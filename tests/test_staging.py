@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 
 from gazette.config import DEFAULT as CFG
 from gazette.functions import signals as sg
+from gazette.functions import text as tx
 from gazette.functions import tokens as tk
 from gazette.llm.common import window_hashes
-from gazette.plans.articles import derived, keyed
+from gazette.operators import filters, validation
+from gazette.plans.articles import derived, keyed, texts
 from gazette.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -65,3 +67,28 @@ def test_byte_windows_are_equal_where_their_hashes_are():
         windows = [body[i : i + k].tobytes() for i in range(len(body) - k + 1)]
         assert len(h) == len(windows)
         assert len(set(zip(windows, h.tolist()))) == len(set(windows)) == len(set(h.tolist()))
+
+
+def test_looked_up_keywords_say_what_the_text_says(spark):
+    low = tx.Lowered(tx.lowered(F.col("full_text")))
+    labels = sg.impact_signals(low, CFG)
+    plain = derived(spark, SF).withColumns({"signals_2": labels, "longs_2": sg.long_labels(low, labels, CFG), "reason_2": filters.skip_reason(low, F.col("link"), F.lit(None).cast("string"), labels, F.col("age"), F.col("category"), CFG)})
+    assert plain.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert plain.where("NOT (signals <=> signals_2 AND longs <=> longs_2 AND reason <=> reason_2)").count() == 0
+    assert derived(spark, SF, reasons=False).join(plain.select("item_id", "signals_2", "longs_2"), "item_id").where("NOT (signals <=> signals_2 AND longs <=> longs_2)").count() == 0
+
+
+def test_title_and_summary_are_the_first_two_lines(spark, tmp_path):
+    said = [None, "", "a", "a\n", "\n", "\nb", "\n\nb", "a\n\nc", "a\nb", "a\nb\n", "a\nb\nc\nd", "é\r\nü\nß"]
+    spark.createDataFrame(list(enumerate(said)), "doc_id long, text string").selectExpr("*", "'src0' AS source", "'en' AS lang", "0L AS n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["item_id"]: (r["title"], r["summary"], r["full_text"]) for r in texts(spark, str(tmp_path)).collect()}
+    lines = [(t or "").split("\n") for t in said]
+    assert got == {i: (x[0], x[1] if len(x) > 1 else "", said[i] or "") for i, x in enumerate(lines)}
+
+
+def test_an_edition_key_is_made_once_for_a_row(spark):
+    rows = [("d", 1, "a  b", None), ("d", 2, "a b", "X"), ("d", 3, "", "Y"), ("e", 1, "c", None), ("e", 2, None, "Z"), ("e", 3, "e", "W")]
+    verdict = validation.digest_valid(spark.createDataFrame(rows, "date string, pos int, dedupe_key string, code string"), CFG, 3)
+    assert {r["date"]: (r["n_items"], r["code"], r["valid"]) for r in verdict.collect()} == {"d": (3, "DUPLICATE_KEY", False), "e": (3, "Z", False)}
+    physical = verdict._jdf.queryExecution().sparkPlan().toString()
+    assert not [line for line in physical.splitlines() if "Aggregate" in line and "regexp_replace" in line]
\ No newline at end of file
