@@ -89,9 +89,9 @@ def last_edition(snapshots: DataFrame) -> DataFrame:
 
 
 def archived(snapshots: DataFrame) -> DataFrame:
-    """(snapshot, n): the published items of each dated snapshot; null where it couldn't be read."""
+    """(snapshot, n): the published items of each dated snapshot, of all its documents; null where one couldn't be read."""
     shown = F.filter("items", lambda x: x["status"].isin("kept", "published"))
-    return snapshots.select("snapshot", F.when(F.col("items").isNotNull(), F.size(shown)).alias("n"))
+    return snapshots.groupBy("snapshot").agg(F.when(F.count("*") == F.count("items"), F.sum(F.size(shown)).cast("int")).alias("n"))
 
 
 def recent_history(history: DataFrame, run_date: str, days: int, cfg: Config, prior: DataFrame | None = None) -> DataFrame:

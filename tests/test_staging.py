@@ -13,6 +13,7 @@ from gazette.llm.common import window_hashes
 from gazette.operators import filters, validation
 from gazette.plans.articles import derived, keyed, texts
 from gazette.plans.queries import QUERIES
+from gazette.sources import feeds, sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -91,4 +92,16 @@ def test_an_edition_key_is_made_once_for_a_row(spark):
     verdict = validation.digest_valid(spark.createDataFrame(rows, "date string, pos int, dedupe_key string, code string"), CFG, 3)
     assert {r["date"]: (r["n_items"], r["code"], r["valid"]) for r in verdict.collect()} == {"d": (3, "DUPLICATE_KEY", False), "e": (3, "Z", False)}
     physical = verdict._jdf.queryExecution().sparkPlan().toString()
-    assert not [line for line in physical.splitlines() if "Aggregate" in line and "regexp_replace" in line]
\ No newline at end of file
+    assert not [line for line in physical.splitlines() if "Aggregate" in line and "regexp_replace" in line]
+
+
+def test_a_large_edition_is_several_documents_and_loses_nothing(spark, tmp_path):
+    rows = spark.range(25).selectExpr("IF(id < 23, '2024-01-02', '2024-01-01') AS date", "CAST(id AS int) AS pick_rank", "CAST(id AS string) AS id", "'c' AS category", "'t' AS title", "'k' AS dedupe_key", "'' AS cluster_key", "IF(id = 0, 'merged', 'kept') AS status", "1 AS importance", "'s' AS source_name")
+    sinks.write_snapshots(rows, f"{tmp_path}/a", most=10)
+    found = feeds.digests(spark, f"{tmp_path}/a")
+    assert sorted((r["snapshot"], r["n"]) for r in found.selectExpr("snapshot", "size(items) AS n").collect()) == [("2024-01-01", 2), ("2024-01-02", 3), ("2024-01-02", 10), ("2024-01-02", 10)]
+    assert {r["snapshot"]: r["n"] for r in feeds.archived(found).collect()} == {"2024-01-01": 2, "2024-01-02": 22}
+    assert sorted(int(r["id"]) for r in feeds.last_edition(found).collect()) == list(range(23))
+    # a date that is written again has what it has now; the other stays
+    sinks.write_snapshots(rows.where("pick_rank < 3"), f"{tmp_path}/a", most=10)
+    assert {r["snapshot"]: r["n"] for r in feeds.archived(feeds.digests(spark, f"{tmp_path}/a")).collect()} == {"2024-01-01": 2, "2024-01-02": 2}
