@@ -10,9 +10,9 @@ from gazette.functions import signals as sg
 from gazette.functions import text as tx
 from gazette.functions import tokens as tk
 from gazette.llm.common import window_hashes
-from gazette.operators import filters, validation
+from gazette.operators import filters, output, validation
 from gazette.plans.articles import derived, keyed, texts
-from gazette.plans.queries import QUERIES
+from gazette.plans.queries import QUERIES, _published
 from gazette.sources import feeds, sinks
 
 SF = "/root/testdata/sf0.001"
@@ -70,6 +70,16 @@ def test_byte_windows_are_equal_where_their_hashes_are():
         assert len(set(zip(windows, h.tolist()))) == len(set(windows)) == len(set(h.tolist()))
 
 
+def test_text_work_comes_before_the_join_and_each_keyword_is_looked_up_once(spark):
+    said = plan(derived(spark, SF))
+    for word in ("license", "apache", "version", "scum"):
+        assert len(re.findall(rf"Contains\(low#\d+, {word}\)", said)) == 1
+    published = plan(output.output_rows(_published(spark, SF), CFG))
+    assert published.count("Relation [doc_id") == 2  # documents and labels, each read once
+    above, below = published.split("Join Inner")  # with events
+    assert "full_text" not in above and "low#" not in above and "Contains(low#" in below
+
+
 def test_looked_up_keywords_say_what_the_text_says(spark):
     low = tx.Lowered(tx.lowered(F.col("full_text")))
     labels = sg.impact_signals(low, CFG)
@@ -87,6 +97,17 @@ def test_title_and_summary_are_the_first_two_lines(spark, tmp_path):
     assert got == {i: (x[0], x[1] if len(x) > 1 else "", said[i] or "") for i, x in enumerate(lines)}
 
 
+def test_rows_that_do_not_count_all_go_out_beside_the_first_of_a_key(spark):
+    rows = [(1, "k", None), (2, " k ", None), (3, "K", None), (4, "", None), (5, None, None), (6, "k", "merged"), (6, "k", "merged"), (7, "k", "dropped"), (8, "z", "published")]
+    df = spark.createDataFrame(rows, "item_id long, dedupe_key string, status string").selectExpr(
+        "'2024-01-01' AS date", "1.0D AS pick_rank", "*", "'t' AS title", "array('l') AS lines", "'' AS resolved_url", "'u' AS link", "TIMESTAMP '2024-01-01' AS published_at", "TIMESTAMP '2024-01-01' AS updated_at", "'s' AS source", "'c' AS category",
+        "'' AS why", "'' AS rationale", "array(named_struct('label', 'policy', 'evidence', '')) AS detail", "array('policy') AS longs", "3 AS importance", "'ok' AS quality", "'' AS quality_reason", "'' AS cluster_key", "CAST(NULL AS string) AS drop_reason",
+    )
+    out = output.output_rows(df, CFG)
+    assert sorted(r["item_id"] for r in out.collect()) == [1, 3, 4, 5, 6, 6, 8]
+    assert plan(out).count("Union") == 0
+
+
 def test_an_edition_key_is_made_once_for_a_row(spark):
     rows = [("d", 1, "a  b", None), ("d", 2, "a b", "X"), ("d", 3, "", "Y"), ("e", 1, "c", None), ("e", 2, None, "Z"), ("e", 3, "e", "W")]
     verdict = validation.digest_valid(spark.createDataFrame(rows, "date string, pos int, dedupe_key string, code string"), CFG, 3)
